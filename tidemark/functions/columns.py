@@ -102,10 +102,10 @@ def elapsed_ms(start: Column | str, end: Column | str, places: int = 2) -> Colum
 
 
 def grid_string(grid: Column | str) -> Column:
-    """``array<map<string,string>>`` to ``a=1, b=2 | a=1, b=3``."""
+    """``array<map<string,string>>`` to ``a=1, b=2 | a=1, b=3``, parameters sorted by name."""
     return F.array_join(
         F.transform(col(grid), lambda point: F.array_join(
-            F.transform(F.map_entries(point), lambda e: F.concat_ws("=", e["key"], e["value"])), ", ")),
+            F.transform(F.array_sort(F.map_entries(point)), lambda e: F.concat_ws("=", e["key"], e["value"])), ", ")),
         " | ")
 
 

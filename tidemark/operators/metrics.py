@@ -80,8 +80,7 @@ def _accumulated(df: DataFrame, score: str, label: str, by: Sequence[str], bins:
     counts = score_counts(df, score, label, by, bins)
     totals = {"pos": F.col("pos"), "neg": F.col("neg")}
     if bins is None:
-        source = df.where(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("score"))
-        return running_totals(counts, "score", totals, by, descending=True, bounds_from=source)
+        return running_totals(counts, "score", totals, by, descending=True)
     group = Window.partitionBy(*by)  # at most bins + 1 rows per group
     so_far = group.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return counts.select("*", *[F.sum(n).over(so_far).alias(f"{n}_run") for n in totals],

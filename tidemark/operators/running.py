@@ -22,29 +22,29 @@ def exact_total(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def _with_range(df: DataFrame, order: str, ranges: int, bounds_from: DataFrame | None) -> DataFrame:
-    """Add the range number of each row; the bounds are one array from a scalar subquery."""
-    cuts = [i / ranges for i in range(1, ranges)]
-    source = df if bounds_from is None else bounds_from
-    bounds = source.agg(F.percentile_approx(order, cuts, 10 * ranges)).scalar()
-    return (df.withColumn("__bounds", bounds)
-            .withColumn("__range", search_bounds(F.col("__bounds"), order, len(cuts)))
-            .drop("__bounds"))
-
-
 def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by: Sequence[str] = (),
                    descending: bool = False, tiebreak: Sequence[Column | str] = (),
-                   ranges: int = RANGES, bounds_from: DataFrame | None = None) -> DataFrame:
+                   ranges: int = RANGES) -> DataFrame:
     """For each ``name: column`` of ``totals`` append ``name_run`` (sum over the rows of the
     group up to this one in ``order``) and ``name_all`` (sum over the whole group).
 
     ``order`` is a number, date or timestamp without nulls and with few repeats (group
     equal values first). Rows of ``by`` with null keys form their own group.
-    ``bounds_from`` may name the ungrouped table holding the same column: its quantiles
-    need no shuffle and bound the distinct values of a range just as well.
+
+    The input is read by three branches: the quantiles, the totals per range, and the rows.
+    They use the same columns, so an input that ends in a ``groupBy`` is shuffled only once.
     """
     by = list(by)
-    work = _with_range(df, order, ranges, bounds_from).withColumns({f"__{n}": c for n, c in totals.items()})
+    cuts = [i / ranges for i in range(1, ranges)]
+    # One row: the range bounds and the grand totals, as a scalar subquery.
+    overall = df.agg(F.struct(F.percentile_approx(order, cuts, 10 * ranges).alias("bounds"),
+                              *[F.sum(c).alias(n) for n, c in totals.items()])).scalar()
+    work = (df.withColumn("__overall", overall)
+            .withColumn("__range", search_bounds(F.col("__overall.bounds"), order, len(cuts)))
+            .withColumns({f"__{n}": c for n, c in totals.items()}))
+    if not by:
+        work = work.withColumns({f"__{n}_all": F.col(f"__overall.{n}") for n in totals})
+    work = work.drop("__overall")
 
     per_range = work.groupBy(*by, "__range").agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in totals])
     direction = F.col("__range").desc() if descending else F.col("__range").asc()
@@ -53,7 +53,7 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
     offsets = per_range.select(
         *[F.col(c).alias(f"__k_{c}") for c in by], F.col("__range").alias("__k_range"),
         *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}_before") for n in totals],
-        *[F.sum(f"__{n}").over(group).alias(f"{n}_all") for n in totals])
+        *[F.sum(f"__{n}").over(group).alias(f"__{n}_all") for n in totals if by])
 
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by],
                    F.col("__range").eqNullSafe(F.col("__k_range")))
@@ -65,7 +65,7 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
     return joined.select(
         *df.columns,
         *[(F.col(f"__{n}_before") + F.sum(f"__{n}").over(within)).alias(f"{n}_run") for n in totals],
-        *[f"{n}_all" for n in totals])
+        *[F.col(f"__{n}_all").alias(f"{n}_all") for n in totals])
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float], by: Sequence[str] = (),
@@ -79,7 +79,7 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float], by: S
     count = F.sum(weight) if weight else F.count(F.lit(1))
     present = df.where(F.col(value).isNotNull())
     counted = present.groupBy(*by, value).agg(count.alias("__n"))
-    ranked = running_totals(counted, value, {"n": F.col("__n")}, by, ranges=ranges, bounds_from=present)
+    ranked = running_totals(counted, value, {"n": F.col("__n")}, by, ranges=ranges)
     out = []
     for q in quantiles:
         place = F.lit(float(q)) * (F.col("n_all") - 1)

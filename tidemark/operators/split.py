@@ -40,6 +40,15 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return df.withColumn("__mark", mark).orderBy("__mark", key).limit(n).drop("__mark")
 
 
+ROWS_PER_TASK = 50_000
+
+
+def compact(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Fewer partitions for a small table, so that the many short jobs of an iterative fit do not
+    pay for idle tasks. Never adds partitions: a large table keeps the ones it has."""
+    return df.coalesce(max(1, -(-rows // rows_per_task)))
+
+
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames for repeated reading, release them afterwards; lost blocks are recomputed."""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.columns import positive_score
 from tidemark.operators.features import feature_stages
 from tidemark.operators.metrics import auc_roc, confusion_matrix, metrics_from_counts
-from tidemark.operators.split import cached, with_folds
+from tidemark.operators.split import ROWS_PER_TASK, cached, compact, with_folds
 from tidemark.spec import FeatureSpec
 
 FOLDS = 3
@@ -95,7 +95,7 @@ def _fold_aucs(train: DataFrame, valid: DataFrame, algorithm: Algorithm, paralle
 
 
 def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm], folds: int = FOLDS,
-              parallelism: int = 4, seed: int = 42) -> dict[str, Tuned]:
+              parallelism: int = 8, seed: int = 42) -> dict[str, Tuned]:
     """k-fold cross-validation of several algorithms over the same folds.
 
     The feature stages are fitted on the training part of each fold only. They do not depend
@@ -105,28 +105,39 @@ def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm
     if spec.key is None:
         raise ValueError("folds are assigned by hashing the key column: set spec.key")
     marked = with_folds(train, spec.key, folds, seed).select(*spec.features, spec.label, "fold")
-    scores: dict[str, list[list[float]]] = {name: [] for name in algos}
     columns = ("features", "label")
-    with cached(marked) as (rows,):
-        for fold in range(folds):
+    with cached(marked) as (stored,):
+        n = stored.count()
+        rows = compact(stored, n)
+
+        def one_fold(fold: int) -> dict[str, list[float]]:
             rest, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
             prep = Pipeline(stages=feature_stages(spec)).fit(rest)
             with cached(prep.transform(rest).select(*columns), prep.transform(held).select(*columns)) as (a, b):
-                for name, algo in algos.items():
-                    scores[name].append(_fold_aucs(a, b, algo, parallelism))
+                return {name: _fold_aucs(a, b, algo, parallelism) for name, algo in algos.items()}
+
+        # A fit on a small table cannot fill the cores, so its folds run side by side.
+        # A large table is prepared one fold at a time, to keep one copy of it in storage.
+        pool = ThreadPool(folds if n <= ROWS_PER_TASK else 1)
+        try:
+            per_fold = pool.map(inheritable_thread_target(one_fold), range(folds))
+        finally:
+            pool.close()
+
         prep = Pipeline(stages=feature_stages(spec)).fit(rows)
         out = {}
         with cached(prep.transform(rows).select(*columns)) as (ready,):
             for name, algo in algos.items():
-                means = [sum(per) / folds for per in zip(*scores[name])]
+                scores = [fold[name] for fold in per_fold]
+                means = [sum(point) / folds for point in zip(*scores)]
                 best = max(range(len(means)), key=lambda i: means[i])
                 fitted = algo.classifier.fit(ready, algo.grid[best])
-                out[name] = Tuned(PipelineModel(prep.stages + [fitted]), best, means, scores[name])
+                out[name] = Tuned(PipelineModel(prep.stages + [fitted]), best, means, scores)
     return out
 
 
 def tune(train: DataFrame, spec: FeatureSpec, algo: Algorithm, folds: int = FOLDS,
-         parallelism: int = 4, seed: int = 42) -> Tuned:
+         parallelism: int = 8, seed: int = 42) -> Tuned:
     return tune_many(train, spec, {"one": algo}, folds, parallelism, seed)["one"]
 
 
@@ -140,7 +151,11 @@ def tuning_table(spark: SparkSession, algo: Algorithm, tuned: Tuned) -> DataFram
 
 def fit_once(train: DataFrame, spec: FeatureSpec, algo: Algorithm, point: int = 0) -> PipelineModel:
     """Fit the stages and one grid point of the classifier on all rows."""
-    return Pipeline(stages=[*feature_stages(spec), algo.classifier.copy(algo.grid[point])]).fit(train)
+    with cached(train.select(*spec.features, spec.label)) as (stored,):
+        rows = compact(stored, stored.count())
+        prep = Pipeline(stages=feature_stages(spec)).fit(rows)
+        with cached(prep.transform(rows).select("features", "label")) as (ready,):
+            return PipelineModel(prep.stages + [algo.classifier.fit(ready, algo.grid[point])])
 
 
 def predict(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -179,7 +194,7 @@ def training_params(algorithm: str, grid: Sequence[Mapping[str, str]], spec: Fea
                     training_rows: int, folds: int = FOLDS, fraction: float = 0.8) -> dict[str, str]:
     """The parameters recorded for a run. Folds and split are the values really used."""
     percent = round(fraction * 100)
-    text = " | ".join(", ".join(f"{k}={v}" for k, v in point.items()) for point in grid)
+    text = " | ".join(", ".join(f"{k}={v}" for k, v in sorted(point.items())) for point in grid)
     return {"algorithm": algorithm, "num_cv_folds": str(folds), "train_test_split": f"{percent}/{100 - percent}",
             "feature_count": str(len(spec.features)), "training_rows": str(training_rows),
             "param_grid_size": str(len(grid)), "param_grid": text}
@@ -187,7 +202,7 @@ def training_params(algorithm: str, grid: Sequence[Mapping[str, str]], spec: Fea
 
 def train_all(train: DataFrame, test: DataFrame, spec: FeatureSpec,
               algos: Mapping[str, Algorithm] | None = None, folds: int = FOLDS,
-              parallelism: int = 4, seed: int = 42) -> list[TrainedRun]:
+              parallelism: int = 8, seed: int = 42) -> list[TrainedRun]:
     """Tune, refit and evaluate each algorithm on the same cached split."""
     algos = algorithms() if algos is None else algos
     runs = []

@@ -115,4 +115,4 @@ def auc_roc_binned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("supplier_runs", with_sql(SUPPLIER_RUNS_SQL) + "SELECT * FROM supplier_runs")
 def all_supplier_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return supplier_runs(spark, sf)
+    return supplier_runs(spark, sf).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))

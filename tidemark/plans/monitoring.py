@@ -59,16 +59,16 @@ def latency_quantiles_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("error_rate", with_sql(_ranged(5 * HOUR, HOUR)) + """
 SELECT window_start, count(*) n, count(*) FILTER (WHERE status >= 400) errors,
-       round(100 * (count(*) FILTER (WHERE status >= 400))::DOUBLE / count(*), 6) error_pct FROM ranged GROUP BY window_start""")
+       round(100 * (count(*) FILTER (WHERE status >= 400))::DOUBLE / count(*), 9) error_pct FROM ranged GROUP BY window_start""")
 def error_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return mon.error_rate(live(spark, sf), "5 hours", "1 hour").withColumn("error_pct", F.round("error_pct", 6))
+    return mon.error_rate(live(spark, sf), "5 hours", "1 hour").withColumn("error_pct", F.round("error_pct", 9))
 
 
 @query("total_error_rate", with_sql(LIVE_SQL) + """
 SELECT count(*) n, count(*) FILTER (WHERE status >= 400) errors,
-       round(100 * (count(*) FILTER (WHERE status >= 400))::DOUBLE / count(*), 6) error_pct FROM live""")
+       round(100 * (count(*) FILTER (WHERE status >= 400))::DOUBLE / count(*), 9) error_pct FROM live""")
 def total_error_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return mon.total_error_rate(live(spark, sf)).withColumn("error_pct", F.round("error_pct", 6))
+    return mon.total_error_rate(live(spark, sf)).withColumn("error_pct", F.round("error_pct", 9))
 
 
 @query("total_requests", with_sql(LIVE_SQL) + "SELECT count(*) requests FROM live")
@@ -77,11 +77,11 @@ def total_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("avg_latency", with_sql(_ranged(5 * HOUR, HOUR)) + """
-SELECT window_start, handler, count(*) n, round(sum(latency_s), 6) latency_sum, round(avg(latency_s), 6) avg_latency
+SELECT window_start, handler, count(*) n, round(sum(latency_s), 6) latency_sum, round(avg(latency_s), 10) avg_latency
 FROM ranged GROUP BY ALL""")
 def avg_latency(spark: SparkSession, sf: str) -> DataFrame:
     out = mon.avg_latency(live(spark, sf), "5 hours", "1 hour", ["handler"])
-    return out.withColumns({c: F.round(c, 6) for c in ("latency_sum", "avg_latency")})
+    return out.withColumns({"latency_sum": F.round("latency_sum", 6), "avg_latency": F.round("avg_latency", 10)})
 
 
 @query("prediction_counts", with_sql(LOG_SQL) + """

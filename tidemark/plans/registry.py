@@ -10,7 +10,7 @@ from tidemark.operators.validate import gate as gate_operator
 from tidemark.plans.catalog import query
 from tidemark.plans.views import (
     DECISIONS_SQL, EVENTS_SQL, PROMOTED, ROLLED_BACK, SUPPLIER_GATE, SUPPLIER_RUNS_SQL, VERSIONS_SQL,
-    base_events, empty, ntz, promoted_events, states_sql, supplier_runs, table, versions, with_sql,
+    base_events, empty, promoted_events, runs_table, states_sql, table, versions, with_sql,
 )
 from tidemark.session import work_dir
 from tidemark.sources import sinks
@@ -38,16 +38,16 @@ run_params AS (
   UNION ALL SELECT run_id, 'param_grid', repeat(name || ' | ', 60) FROM supplier_runs)"""
 
 
-def _params(spark: SparkSession, sf: str) -> DataFrame:
+def _params(all_runs: DataFrame) -> DataFrame:
     pairs = F.array(F.struct(F.lit("algorithm").alias("key"), F.col("algorithm").alias("value")),
                     F.struct(F.lit("param_grid").alias("key"),
                              F.repeat(F.concat("name", F.lit(" | ")), F.lit(60)).alias("value")))
-    return runs.log_params(supplier_runs(spark, sf).select("run_id", F.inline(pairs)))
+    return runs.log_params(all_runs.select("run_id", F.inline(pairs)))
 
 
 @query("log_params", with_sql(_PARAMS_SQL) + 'SELECT run_id, "key", substr("value", 1, 500) AS "value" FROM run_params')
 def log_params(spark: SparkSession, sf: str) -> DataFrame:
-    return _params(spark, sf)
+    return _params(runs_table(spark, sf))
 
 
 @query("log_metrics", with_sql(SUPPLIER_RUNS_SQL) + " UNION ALL ".join(
@@ -55,7 +55,7 @@ def log_params(spark: SparkSession, sf: str) -> DataFrame:
 def log_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics appended to a table and read back."""
     path = work_dir(spark, "run-metrics")
-    sinks.append(runs.log_metrics(supplier_runs(spark, sf)), path)
+    sinks.append(runs.log_metrics(runs_table(spark, sf)), path)
     return spark.read.schema(runs.METRICS).parquet(path)
 
 
@@ -63,7 +63,7 @@ def log_metrics(spark: SparkSession, sf: str) -> DataFrame:
 SELECT run_id, substr(md5(algorithm), 1, 16) experiment_id, 'FINISHED' AS status, created_at started_at,
        created_at + INTERVAL 90 SECOND ended_at, 90.0::DOUBLE duration_seconds FROM supplier_runs""")
 def run_states(spark: SparkSession, sf: str) -> DataFrame:
-    rows = supplier_runs(spark, sf).withColumn("experiment_id", runs.experiment_id(F.col("algorithm")))
+    rows = runs_table(spark, sf).withColumn("experiment_id", runs.experiment_id(F.col("algorithm")))
     events = runs.log_run(rows, "RUNNING", "created_at").unionByName(
         runs.log_run(rows, "FINISHED", F.col("created_at") + F.expr("interval 90 seconds")))
     out = runs.run_states(events)
@@ -74,35 +74,35 @@ def run_states(spark: SparkSession, sf: str) -> DataFrame:
 SELECT run_id, {", ".join(f'"{m}"' for m in RUN_METRICS)}, algorithm, substr(repeat(name || ' | ', 60), 1, 500) param_grid
 FROM supplier_runs""")
 def run_view(spark: SparkSession, sf: str) -> DataFrame:
-    metrics = runs.log_metrics(supplier_runs(spark, sf))
-    return runs.run_view(metrics, _params(spark, sf), params=("algorithm", "param_grid"))
+    all_runs = runs_table(spark, sf)
+    return runs.run_view(runs.log_metrics(all_runs), _params(all_runs), params=("algorithm", "param_grid"))
 
 
 @query("union_runs", with_sql(SUPPLIER_RUNS_SQL) + "SELECT run_id, algorithm, auc_roc FROM supplier_runs")
 def union_runs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = supplier_runs(spark, sf).select("run_id", "algorithm", "auc_roc")
+    rows = runs_table(spark, sf).select("run_id", "algorithm", "auc_roc")
     names = ("Quantity Rule", "Discount Rule", "Tax Rule")
     return runs.union_runs(*[rows.where(F.col("algorithm") == n) for n in names])
 
 
 @query("compare_algorithms", with_sql(SUPPLIER_RUNS_SQL) + """
 SELECT run_id, algorithm, round(auc_roc, 4) auc_roc, round(accuracy, 4) accuracy, round(f1_score, 4) f1_score,
-       round(training_duration_seconds, 1) seconds FROM supplier_runs""")
+       round(training_duration_seconds, 1) AS "seconds" FROM supplier_runs""")
 def compare_algorithms(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.compare_algorithms(supplier_runs(spark, sf))
+    return runs.compare_algorithms(runs_table(spark, sf))
 
 
 @query("champion", with_sql(SUPPLIER_RUNS_SQL) + """
 SELECT name, run_id, algorithm, logged_order, auc_roc FROM supplier_runs
 QUALIFY row_number() OVER (PARTITION BY name ORDER BY auc_roc DESC, logged_order) = 1""")
 def champion(spark: SparkSession, sf: str) -> DataFrame:
-    rows = supplier_runs(spark, sf).select("name", "run_id", "algorithm", "logged_order", "auc_roc")
+    rows = runs_table(spark, sf).select("name", "run_id", "algorithm", "logged_order", "auc_roc")
     return runs.champion(rows, ["name"])
 
 
 @query("describe_run", with_sql(VERSIONS_SQL) + "SELECT run_id, description FROM versions")
 def describe_run(spark: SparkSession, sf: str) -> DataFrame:
-    return supplier_runs(spark, sf).select("run_id", runs.describe_run(*[F.col(c) for c in (
+    return runs_table(spark, sf).select("run_id", runs.describe_run(*[F.col(c) for c in (
         "algorithm", "auc_roc", "accuracy", "f1_score", "training_duration_seconds")]).alias("description"))
 
 
@@ -112,24 +112,24 @@ FROM supplier_runs""")
 def model_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Summary rows written as JSON and read back."""
     path = work_dir(spark, "summaries")
-    sinks.write_json(runs.model_summary(supplier_runs(spark, sf), 6), path)
+    sinks.write_json(runs.model_summary(runs_table(spark, sf), 6), path)
     return spark.read.schema("algorithm string, run_id string, auc_roc double, accuracy double, f1_score double, "
                              "training_seconds double, pipeline_stages int").json(path)
 
 
 @query("grid_string", with_sql(SUPPLIER_RUNS_SQL) + """
-SELECT run_id, 'threshold=0.5, order=' || CAST(logged_order AS VARCHAR) || ' | threshold=0.6, order=' || CAST(logged_order AS VARCHAR) grid
+SELECT run_id, 'order=' || CAST(logged_order AS VARCHAR) || ', threshold=0.5 | order=' || CAST(logged_order AS VARCHAR) || ', threshold=0.6' grid
 FROM supplier_runs""")
 def grid_text(spark: SparkSession, sf: str) -> DataFrame:
     order = F.col("logged_order").cast("string")
     points = F.array(*[F.create_map(F.lit("threshold"), F.lit(t), F.lit("order"), order) for t in ("0.5", "0.6")])
-    return supplier_runs(spark, sf).select("run_id", grid_string(points).alias("grid"))
+    return runs_table(spark, sf).select("run_id", grid_string(points).alias("grid"))
 
 
 @query("short_run_ids", with_sql(SUPPLIER_RUNS_SQL) + """
-SELECT run_id, substr(md5(run_id), 1, 8) id8, substr(md5(run_id), 1, 12) id12, printf('%.6f', auc_roc) auc6 FROM supplier_runs""")
+SELECT run_id, substr(md5(run_id), 1, 8) id8, substr(md5(run_id), 1, 12) id12, printf('%.6f', round(auc_roc, 6)) auc6 FROM supplier_runs""")
 def short_run_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return supplier_runs(spark, sf).select(
+    return runs_table(spark, sf).select(
         "run_id", prefix(F.md5("run_id"), 8).alias("id8"), prefix(F.md5("run_id"), 12).alias("id12"),
         fixed("auc_roc", 6).alias("auc6"))
 
@@ -140,70 +140,70 @@ def short_run_ids(spark: SparkSession, sf: str) -> DataFrame:
 SELECT DISTINCT name FROM supplier_runs WHERE name NOT IN (SELECT name FROM supplier_runs WHERE auc_roc >= 0.55::DOUBLE)""")
 def ensure_models(spark: SparkSession, sf: str) -> DataFrame:
     """Names of models with a good run exist already; the others are to be created."""
-    rows = supplier_runs(spark, sf)
+    rows = runs_table(spark, sf)
     existing = reg.ensure_models(empty(spark, "name string"), rows.where(F.col("auc_roc") >= 0.55))
     return reg.ensure_models(existing, rows)
 
 
 @query("register_versions", with_sql(VERSIONS_SQL) + "SELECT name, version, run_id, source, description FROM versions")
 def register_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return versions(spark, sf).select("name", "version", "run_id", "source", "description")
+    return versions(spark, runs_table(spark, sf)).select("name", "version", "run_id", "source", "description")
 
 
 @query("register_more_versions", with_sql(VERSIONS_SQL) + """
 SELECT name, (version + 3)::INTEGER AS version, run_id FROM versions""")
 def register_more_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Registering the same runs again continues the numbering."""
-    first = versions(spark, sf)
+    first = versions(spark, runs_table(spark, sf))
     again = first.select("name", "run_id", "source", "description", "created_at")
     return reg.register_versions(again, first).select("name", "version", "run_id")
 
 
 @query("tag_versions", with_sql(VERSIONS_SQL.rstrip() + """,
-tagged AS (SELECT v.name, v.version, r.algorithm, printf('%.4f', r.auc_roc) auc FROM versions v JOIN supplier_runs r USING (run_id))""") + """
+tagged AS (SELECT v.name, v.version, r.algorithm, printf('%.4f', round(r.auc_roc, 4)) auc FROM versions v JOIN supplier_runs r USING (run_id))""") + """
 SELECT name, version, 'team' AS "key", 'group-X' AS "value" FROM tagged
 UNION ALL SELECT name, version, 'use_case', 'churn_prediction' FROM tagged
 UNION ALL SELECT name, version, 'framework', 'spark_mllib' FROM tagged
 UNION ALL SELECT name, version, 'algorithm', algorithm FROM tagged
 UNION ALL SELECT name, version, 'auc_roc', auc FROM tagged""")
 def tag_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return _tags(spark, sf)
+    all_runs = runs_table(spark, sf)
+    return _tags(versions(spark, all_runs), all_runs)
 
 
-def _tags(spark: SparkSession, sf: str) -> DataFrame:
-    all_runs = supplier_runs(spark, sf)
-    rows = versions(spark, sf, all_runs).join(all_runs.select("run_id", "algorithm", "auc_roc"), "run_id")
+def _tags(mine: DataFrame, all_runs: DataFrame) -> DataFrame:
+    rows = mine.join(all_runs.select("run_id", "algorithm", "auc_roc"), "run_id")
     return reg.tag_versions(rows, reg.standard_tags(F.col("algorithm"), F.col("auc_roc")))
 
 
 @query("current_stages", with_sql(EVENTS_SQL.rstrip() + "," + states_sql("base_events", "states")) + "SELECT * FROM states")
 def current_stages(spark: SparkSession, sf: str) -> DataFrame:
-    return reg.current_stages(base_events(versions(spark, sf))).withColumn("since", F.col("since").cast("timestamp_ntz"))
+    return reg.current_stages(base_events(versions(spark, runs_table(spark, sf)))).withColumn("since", F.col("since").cast("timestamp_ntz"))
 
 
 @query("latest_version", with_sql(EVENTS_SQL.rstrip() + "," + states_sql("base_events", "states")) + """
 SELECT name, max(version) AS version, stage FROM states WHERE stage = 'Staging' GROUP BY name, stage""")
 def latest_version(spark: SparkSession, sf: str) -> DataFrame:
-    return reg.latest_version(reg.current_stages(base_events(versions(spark, sf))), "Staging")
+    return reg.latest_version(reg.current_stages(base_events(versions(spark, runs_table(spark, sf)))), "Staging")
 
 
 @query("version_metrics", with_sql(VERSIONS_SQL) + """
 SELECT v.name, v.version, v.run_id, r.algorithm, r.auc_roc, r.accuracy FROM versions v LEFT JOIN supplier_runs r USING (run_id)""")
 def version_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    all_runs = supplier_runs(spark, sf)
-    return reg.version_metrics(versions(spark, sf, all_runs), all_runs.select("run_id", "algorithm", "auc_roc", "accuracy")).select(
+    all_runs = runs_table(spark, sf)
+    return reg.version_metrics(versions(spark, all_runs), all_runs.select("run_id", "algorithm", "auc_roc", "accuracy")).select(
         "name", "version", "run_id", "algorithm", "auc_roc", "accuracy")
 
 
 @query("gate", with_sql(SUPPLIER_RUNS_SQL) + f"SELECT run_id, auc_roc, auc_roc >= {SUPPLIER_GATE}::DOUBLE passed FROM supplier_runs")
 def gate(spark: SparkSession, sf: str) -> DataFrame:
-    return gate_operator(supplier_runs(spark, sf).select("run_id", "auc_roc"), "auc_roc", SUPPLIER_GATE)
+    return gate_operator(runs_table(spark, sf).select("run_id", "auc_roc"), "auc_roc", SUPPLIER_GATE)
 
 
 @query("promotion_decisions", with_sql(DECISIONS_SQL) + "SELECT name, version, run_id, auc_roc, passed FROM decisions")
 def promotion_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    all_runs = supplier_runs(spark, sf)
-    mine = versions(spark, sf, all_runs)
+    all_runs = runs_table(spark, sf)
+    mine = versions(spark, all_runs)
     return reg.promotion_decisions(mine, base_events(mine), all_runs, SUPPLIER_GATE)
 
 
@@ -213,7 +213,7 @@ def _shown(events: DataFrame) -> DataFrame:
 
 @query("promote", with_sql(DECISIONS_SQL) + 'SELECT name, version, stage, "at", step FROM promote_events')
 def promote(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(promoted_events(spark, sf)[2])
+    return _shown(promoted_events(spark, sf)[3])
 
 
 @query("promote_forced", with_sql(DECISIONS_SQL) + f"""
@@ -221,15 +221,15 @@ SELECT name, 1 AS version, 'Archived' AS stage, TIMESTAMP '{PROMOTED}' AS "at",
 UNION ALL SELECT name, version, 'Production', TIMESTAMP '{PROMOTED}', 1 FROM up""")
 def promote_forced(spark: SparkSession, sf: str) -> DataFrame:
     """Without the gate every model's latest staged version goes live."""
-    all_runs = supplier_runs(spark, sf)
-    mine = versions(spark, sf, all_runs)
+    all_runs = runs_table(spark, sf)
+    mine = versions(spark, all_runs)
     return _shown(reg.promote(mine, base_events(mine), all_runs, F.lit(PROMOTED), force=True))
 
 
 @query("production_counts", with_sql(DECISIONS_SQL.rstrip() + "," + states_sql("after_promote", "now")) + """
 SELECT name, count(*) FILTER (WHERE stage = 'Production') in_production FROM now GROUP BY name""")
 def production_counts(spark: SparkSession, sf: str) -> DataFrame:
-    _, base, added = promoted_events(spark, sf)
+    _, _, base, added = promoted_events(spark, sf)
     return reg.production_counts(base.unionByName(added))
 
 
@@ -238,18 +238,19 @@ SELECT name, version, 'Archived' AS stage, TIMESTAMP '{ROLLED_BACK}' AS "at", 0
 UNION ALL SELECT name, 1, 'Production', TIMESTAMP '{ROLLED_BACK}', 1 FROM decisions WHERE passed""")
 def rollback(spark: SparkSession, sf: str) -> DataFrame:
     """Models that were promoted go back to the version that served before."""
-    _, base, added = promoted_events(spark, sf)
+    _, _, base, added = promoted_events(spark, sf)
     return _shown(reg.rollback(base.unionByName(added), F.lit(ROLLED_BACK)))
 
 
 @query("model_info", with_sql(DECISIONS_SQL.rstrip() + "," + states_sql("after_promote", "now")) + """
 SELECT n.name, n.version, n.stage, r.algorithm, r.auc_roc, r.f1_score, v.created_at registration_date, v.description,
-       'group-X' AS tag_team, printf('%.4f', r.auc_roc) tag_auc
+       'group-X' AS tag_team, printf('%.4f', round(r.auc_roc, 4)) tag_auc
 FROM now n JOIN versions v ON v.name = n.name AND v.version = n.version JOIN supplier_runs r ON r.run_id = v.run_id
 WHERE n.stage = 'Production'""")
 def model_info(spark: SparkSession, sf: str) -> DataFrame:
-    mine, base, added = promoted_events(spark, sf)
-    info = reg.model_info(mine, base.unionByName(added), supplier_runs(spark, sf).drop("name", "created_at"), _tags(spark, sf))
+    all_runs, mine, base, added = promoted_events(spark, sf)
+    tags = _tags(mine, all_runs)
+    info = reg.model_info(mine, base.unionByName(added), all_runs.drop("name", "created_at"), tags)
     return info.select("name", "version", "stage", "algorithm", F.col("training_metrics")["auc_roc"].alias("auc_roc"),
                        F.col("training_metrics")["f1_score"].alias("f1_score"),
                        F.col("registration_date").cast("timestamp_ntz").alias("registration_date"), "description",
@@ -276,7 +277,7 @@ compared AS (
 
 
 def _comparison(spark: SparkSession, sf: str, missing: str) -> DataFrame:
-    rows = supplier_runs(spark, sf).withColumn("version", F.col("logged_order"))
+    rows = runs_table(spark, sf).withColumn("version", F.col("logged_order"))
     rows = rows.withColumn("f1_score", F.when(F.col("version") != 2, F.col("f1_score")))
     return reg.compare_versions(rows, 1, 2, missing)
 

@@ -117,21 +117,21 @@ stats AS (
 
 
 @query("cohort_stats", with_sql(_STATS_SQL) + """
-SELECT cohort, success, errors, round(churn_rate_pct, 4) churn_rate_pct, round(avg_probability, 6) avg_probability FROM stats""")
+SELECT cohort, success, errors, round(churn_rate_pct, 9) churn_rate_pct, round(avg_probability, 9) avg_probability FROM stats""")
 def cohort_stats(spark: SparkSession, sf: str) -> DataFrame:
     return drift.cohort_stats(cohort_scores(spark, sf)).withColumns(
-        {"churn_rate_pct": F.round("churn_rate_pct", 4), "avg_probability": F.round("avg_probability", 6)})
+        {"churn_rate_pct": F.round("churn_rate_pct", 9), "avg_probability": F.round("avg_probability", 9)})
 
 
 @query("drift_report", with_sql(_STATS_SQL) + """
-SELECT m.measure, round(m.b, 6) baseline, round(m.s, 6) shifted, round(m.s - m.b, 6) AS change FROM (
+SELECT m.measure, round(m.b, 9) baseline, round(m.s, 9) shifted, round(m.s - m.b, 9) AS change FROM (
   SELECT 'churn_rate_pct' measure, max(churn_rate_pct) FILTER (WHERE cohort = 'baseline') b,
          max(churn_rate_pct) FILTER (WHERE cohort = 'shifted') s FROM stats
   UNION ALL SELECT 'avg_probability', max(avg_probability) FILTER (WHERE cohort = 'baseline'),
          max(avg_probability) FILTER (WHERE cohort = 'shifted') FROM stats) m""")
 def drift_report(spark: SparkSession, sf: str) -> DataFrame:
     return drift.drift_report(cohort_scores(spark, sf)).withColumns(
-        {c: F.round(c, 6) for c in ("baseline", "shifted", "change")})
+        {c: F.round(c, 9) for c in ("baseline", "shifted", "change")})
 
 
 def _share(test: str, cohort: str) -> str:
@@ -145,17 +145,17 @@ _BUCKETS += [("level", lv, f"confidence = '{lv}'") for lv in ("high", "medium",
 
 
 @query("distribution_shift", with_sql(_SHIFTED_SQL) + """
-SELECT kind, bucket, round(b, 6) baseline_share, round(s, 6) shifted_share, round(s - b, 6) AS change FROM (
+SELECT kind, bucket, round(b, 9) baseline_share, round(s, 9) shifted_share, round(s - b, 9) AS change FROM (
 """ + " UNION ALL ".join(
     f"SELECT '{kind}' kind, '{bucket}' bucket, {_share(test, 'baseline')} b, {_share(test, 'shifted')} s FROM cohort_scores"
     for kind, bucket, test in _BUCKETS) + ")")
 def distribution_shift(spark: SparkSession, sf: str) -> DataFrame:
     return drift.distribution_shift(cohort_scores(spark, sf)).withColumns(
-        {c: F.round(c, 6) for c in ("baseline_share", "shifted_share", "change")})
+        {c: F.round(c, 9) for c in ("baseline_share", "shifted_share", "change")})
 
 
 @query("progress", with_sql(LOG_SQL) + """
-SELECT handler, sent, total, round(100 * churned::DOUBLE / sent, 4) churn_pct, round(score_sum / sent, 6) avg_score,
+SELECT handler, sent, total, round(100 * churned::DOUBLE / sent, 9) churn_pct, round(score_sum / sent, 9) avg_score,
        0::BIGINT errors
 FROM (SELECT handler, row_number() OVER w sent, count(*) OVER (PARTITION BY handler) total,
              sum(CASE WHEN churn_prediction THEN 1 ELSE 0 END) OVER w churned, sum(score) OVER w score_sum
@@ -163,5 +163,5 @@ FROM (SELECT handler, row_number() OVER w sent, count(*) OVER (PARTITION BY hand
 WHERE sent % 50 = 0""")
 def progress(spark: SparkSession, sf: str) -> DataFrame:
     out = drift.progress(request_log(spark, sf), "event_id", 50, "handler", "score")
-    return out.withColumns({"churn_pct": F.round("churn_pct", 4), "avg_score": F.round("avg_score", 6),
+    return out.withColumns({"churn_pct": F.round("churn_pct", 9), "avg_score": F.round("avg_score", 9),
                             "errors": F.col("errors").cast("bigint")})

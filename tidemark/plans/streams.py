@@ -42,7 +42,7 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "events").schema
-    return shape_log(live.read_stream(spark, f"{sf}/events.parquet", schema))
+    return shape_log(live.read_stream(spark, sf, schema, name_pattern="events.parquet"))
 
 
 def _replay(spark: SparkSession, updates: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -13,11 +13,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.functions.columns import confidence_level
 from tidemark.operators import registry, runs
 from tidemark.operators.clean import clean_customers
 from tidemark.operators.metrics import evaluate_groups
 from tidemark.operators.scoring import score_batch
 from tidemark.operators.validate import validate
+from tidemark.session import work_dir
+from tidemark.sources.sinks import append
 from tidemark.spec import CUSTOMER_FIELDS, FeatureSpec
 
 CUTOFF = "2000-12-01 00:00:00"
@@ -252,11 +255,6 @@ def scored_sql(source: str, out: str, key: str = '"customerID"') -> str:
 SCORED_SQL = VALIDATED_SQL.rstrip() + "," + scored_sql("validated", "scored")
 
 
-def customer_spec() -> FeatureSpec:
-    from tidemark.spec import CUSTOMER
-    return CUSTOMER
-
-
 # --- request log ----------------------------------------------------------------------------------
 
 def shape_log(events: DataFrame) -> DataFrame:
@@ -268,12 +266,7 @@ def shape_log(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "signup", "batch").otherwise("fastapi").alias("job"),
         (F.col("value") / F.lit(100.0)).alias("latency_s"), score.alias("score"),
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("batch_id"),
-    ).withColumns({"churn_prediction": F.col("score") >= 0.5, "confidence": _level()})
-
-
-def _level() -> Column:
-    from tidemark.functions.columns import confidence_level
-    return confidence_level("score")
+    ).withColumns({"churn_prediction": F.col("score") >= 0.5, "confidence": confidence_level("score")})
 
 
 def request_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -344,9 +337,9 @@ def supplier_runs(spark: SparkSession, sf: str) -> DataFrame:
     rows = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
     return out.select(
         *RUN_KEYS, F.timestamp_seconds(F.lit(1704067200) + F.col("logged_order") * 86400).alias("created_at"),
-        F.round("auc_roc", 6).alias("auc_roc"), F.round("accuracy", 6).alias("accuracy"),
-        F.round("weighted_precision", 6).alias("precision"), F.round("weighted_recall", 6).alias("recall"),
-        F.round("weighted_f1", 6).alias("f1_score"), (rows / F.lit(1000.0)).alias("training_duration_seconds"))
+        F.round("auc_roc", 9).alias("auc_roc"), F.round("accuracy", 9).alias("accuracy"),
+        F.round("weighted_precision", 9).alias("precision"), F.round("weighted_recall", 9).alias("recall"),
+        F.round("weighted_f1", 9).alias("f1_score"), (rows / F.lit(1000.0)).alias("training_duration_seconds"))
 
 
 SUPPLIER_RUNS_SQL = RULE_SCORES_SQL.rstrip() + """,
@@ -368,10 +361,10 @@ run_ratios AS (
 supplier_runs AS (
   SELECT name, run_id, algorithm, logged_order,
          TIMESTAMP '2024-01-01 00:00:00' + to_days(logged_order) created_at,
-         round(auc, 6) auc_roc, round(acc, 6) accuracy, round((p0 * n + p1 * p) / (p + n), 6) "precision",
-         round((r0 * n + r1 * p) / (p + n), 6) recall,
+         round(auc, 9) auc_roc, round(acc, 9) accuracy, round((p0 * n + p1 * p) / (p + n), 9) "precision",
+         round((r0 * n + r1 * p) / (p + n), 9) recall,
          round(((CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END) * n
-              + (CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END) * p) / (p + n), 6) f1_score,
+              + (CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END) * p) / (p + n), 9) f1_score,
          (p + n) / 1000.0::DOUBLE training_duration_seconds
   FROM run_ratios)
 """
@@ -381,21 +374,32 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def versions(spark: SparkSession, sf: str, source: DataFrame | None = None) -> DataFrame:
-    """The runs of every supplier registered in the order they were logged."""
-    all_runs = supplier_runs(spark, sf) if source is None else source
+def runs_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The evaluated runs logged to a table: the large scan happens once, when it is written."""
+    return written(spark, supplier_runs(spark, sf), "runs")
+
+
+def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to a new table in the work folder and read it back."""
+    path = work_dir(spark, name)
+    append(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def versions(spark: SparkSession, all_runs: DataFrame) -> DataFrame:
+    """The runs of every supplier registered in the order they were logged, as a table."""
     text = runs.describe_run(*[F.col(c) for c in (
         "algorithm", "auc_roc", "accuracy", "f1_score", "training_duration_seconds")])
     candidates = all_runs.select("name", "run_id", F.concat(F.lit("runs:/"), "run_id", F.lit("/model")).alias("source"),
                                  text.alias("description"), "created_at")
-    return registry.register_versions(candidates, empty(spark, registry.VERSIONS))
+    return written(spark, registry.register_versions(candidates, empty(spark, registry.VERSIONS)), "versions")
 
 
 VERSIONS_SQL = SUPPLIER_RUNS_SQL.rstrip() + """,
 versions AS (
   SELECT name, run_id, 'runs:/' || run_id || '/model' AS source,
-         'Champion model: ' || algorithm || ' | AUC-ROC: ' || printf('%.4f', auc_roc) || ' | Accuracy: ' || printf('%.4f', accuracy)
-         || ' | F1: ' || printf('%.4f', f1_score) || ' | Trained in ' || printf('%.1f', training_duration_seconds) || 's' description,
+         'Champion model: ' || algorithm || ' | AUC-ROC: ' || printf('%.4f', round(auc_roc, 4)) || ' | Accuracy: ' || printf('%.4f', round(accuracy, 4))
+         || ' | F1: ' || printf('%.4f', round(f1_score, 4)) || ' | Trained in ' || printf('%.1f', round(training_duration_seconds, 1)) || 's' description,
          created_at, row_number() OVER (PARTITION BY name ORDER BY created_at)::INTEGER AS version
   FROM supplier_runs)
 """
@@ -440,13 +444,13 @@ after_promote AS (SELECT * FROM base_events UNION ALL SELECT * FROM promote_even
 """
 
 
-def promoted_events(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(versions, base events, events added by the gated promotion)."""
-    all_runs = supplier_runs(spark, sf)
-    all_versions = versions(spark, sf, all_runs)
+def promoted_events(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(runs, versions, base events, events added by the gated promotion)."""
+    all_runs = runs_table(spark, sf)
+    all_versions = versions(spark, all_runs)
     base = base_events(all_versions)
     added = registry.promote(all_versions, base, all_runs, F.lit(PROMOTED), SUPPLIER_GATE)
-    return all_versions, base, added
+    return all_runs, all_versions, base, added
 
 
 # --- documents ------------------------------------------------------------------------------------

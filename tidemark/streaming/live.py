@@ -19,9 +19,11 @@ from tidemark.spec import CUSTOMER_FIELDS, Field
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet",
-                files_per_batch: int | None = None) -> DataFrame:
-    """Files arriving in a folder, with a stated schema."""
+                files_per_batch: int | None = None, name_pattern: str | None = None) -> DataFrame:
+    """Files arriving in a folder, with a stated schema; ``name_pattern`` picks files by name."""
     reader = spark.readStream.schema(schema).format(format)
+    if name_pattern:
+        reader = reader.option("pathGlobFilter", name_pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
