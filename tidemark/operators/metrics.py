@@ -65,19 +65,20 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
 # --- ROC --------------------------------------------------------------------------------------
 
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
-                 bins: int | None = None) -> DataFrame:
+                 bins: int | None = None, extra: Sequence[Column] = ()) -> DataFrame:
     """Positives and negatives per distinct score (or per score bin), counted before the shuffle.
-    Rows without a score or label do not take part."""
+    Rows without a score or label do not take part. ``extra`` adds aggregates per score."""
     value = F.floor(F.col(score) * bins) / bins if bins else F.col(score)
     usable = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     return (usable.withColumn("__score", value.cast("double")).groupBy(*by, F.col("__score").alias("score"))
-            .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
+            .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"), *extra))
 
 
-def _accumulated(df: DataFrame, score: str, label: str, by: Sequence[str], bins: int | None) -> DataFrame:
+def _accumulated(df: DataFrame, score: str, label: str, by: Sequence[str], bins: int | None,
+                 extra: Sequence[Column] = ()) -> DataFrame:
     """Per distinct score the positives and negatives at or above it, and the group totals."""
     by = list(by)
-    counts = score_counts(df, score, label, by, bins)
+    counts = score_counts(df, score, label, by, bins, extra)
     totals = {"pos": F.col("pos"), "neg": F.col("neg")}
     if bins is None:
         return running_totals(counts, "score", totals, by, descending=True)
@@ -130,15 +131,21 @@ def class_totals(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def evaluate_groups(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
-                    threshold: float = 0.5) -> DataFrame:
-    """AUC, confusion counts and averaged metrics of every group from one counting pass."""
-    hit = F.col("score") >= threshold
+                    threshold: float = 0.5, prediction: str | None = None) -> DataFrame:
+    """AUC, confusion counts and averaged metrics of every group from one counting pass.
+
+    A score counts as positive from ``threshold`` on, or as the ``prediction`` column says
+    (equal scores have equal predictions).
+    """
+    extra = [] if prediction is None else [(F.max(prediction) == 1).alias("hit")]
+    rows = _accumulated(df, score, label, by, None, extra)
+    hit = F.col("hit") if prediction else F.col("score") >= threshold
 
     def cell(column: str, condition: Column) -> Column:
         return F.sum(F.when(condition, F.col(column)).otherwise(0))
 
     area = F.sum(F.col("neg") * (F.col("pos_run") - F.col("pos") / 2))
     pairs = F.max("pos_all").cast("double") * F.max("neg_all")
-    return metrics_from_counts(_accumulated(df, score, label, by, None).groupBy(*by).agg(
+    return metrics_from_counts(rows.groupBy(*by).agg(
         cell("pos", hit).alias("tp"), cell("neg", ~hit).alias("tn"),
         cell("neg", hit).alias("fp"), cell("pos", ~hit).alias("fn"), _ratio(area, pairs).alias("auc_roc")))

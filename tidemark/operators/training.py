@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import positive_score
 from tidemark.operators.features import feature_stages
-from tidemark.operators.metrics import auc_roc, confusion_matrix, metrics_from_counts
+from tidemark.operators.metrics import evaluate_groups
 from tidemark.operators.split import ROWS_PER_TASK, cached, compact, with_folds
+from tidemark.sources.sinks import materialize
 from tidemark.spec import FeatureSpec
 
 FOLDS = 3
@@ -39,7 +41,7 @@ class Algorithm:
 
 @dataclass
 class Tuned:
-    """The refitted best model and the mean fold AUC of each grid point."""
+    """The refitted best model and the AUC of each grid point, averaged and per fold."""
 
     model: PipelineModel
     best: int
@@ -75,23 +77,30 @@ def auc_evaluator() -> BinaryClassificationEvaluator:
                                          metricName="areaUnderROC")
 
 
-def _fold_aucs(train: DataFrame, valid: DataFrame, algorithm: Algorithm, parallelism: int) -> list[float]:
-    """Validation AUC of every grid point on one fold; fits are submitted from a few threads."""
-    fits = algorithm.classifier.fitMultiple(train, algorithm.grid)
+def _effort(point: dict) -> float:
+    """Rough relative cost of a grid point, to start the longest fits first."""
+    values = {p.name: v for p, v in point.items()}
+    return values.get("maxIter", 1) * values.get("numTrees", 1) * values.get("maxDepth", 1)
+
+
+def _grid_aucs(folds: Mapping[int, tuple[DataFrame, DataFrame]], algos: Mapping[str, Algorithm],
+               parallelism: int) -> dict[tuple[str, int, int], float]:
+    """Validation AUC of every (algorithm, grid point, fold); fits are submitted from a few threads."""
     evaluator = auc_evaluator()
-    aucs = [0.0] * len(algorithm.grid)
+    tasks = [(name, i, fold) for name, algo in algos.items() for i in range(len(algo.grid)) for fold in folds]
+    tasks.sort(key=lambda t: -_effort(algos[t[0]].grid[t[1]]))
 
-    def one(_: int) -> tuple[int, float]:
-        index, model = next(fits)
-        return index, evaluator.evaluate(model.transform(valid))
+    def one(task: tuple[str, int, int]) -> float:
+        name, i, fold = task
+        train, valid = folds[fold]
+        model = algos[name].classifier.fit(train, algos[name].grid[i])
+        return evaluator.evaluate(model.transform(valid))
 
-    pool = ThreadPool(min(parallelism, len(algorithm.grid)))
+    pool = ThreadPool(min(parallelism, len(tasks)))
     try:
-        for index, auc in pool.imap_unordered(inheritable_thread_target(one), range(len(algorithm.grid))):
-            aucs[index] = auc
+        return dict(zip(tasks, pool.map(inheritable_thread_target(one), tasks, chunksize=1)))
     finally:
         pool.close()
-    return aucs
 
 
 def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm], folds: int = FOLDS,
@@ -99,37 +108,41 @@ def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm
     """k-fold cross-validation of several algorithms over the same folds.
 
     The feature stages are fitted on the training part of each fold only. They do not depend
-    on the classifier, so each fold is prepared and cached once and every grid point of every
-    algorithm is fitted on it. The best point by mean AUC is refitted on all rows.
+    on the classifier, so each fold is prepared once and every grid point of every algorithm is
+    fitted on it. The best point by mean AUC is refitted on all rows.
+
+    Prepared rows are written to the work folder and cached from there: the thousands of short
+    jobs of iterative fits then carry a file scan, not the whole history of the table.
     """
     if spec.key is None:
         raise ValueError("folds are assigned by hashing the key column: set spec.key")
     marked = with_folds(train, spec.key, folds, seed).select(*spec.features, spec.label, "fold")
     columns = ("features", "label")
+    aucs: dict[tuple[str, int, int], float] = {}
     with cached(marked) as (stored,):
         n = stored.count()
         rows = compact(stored, n)
+        # A fit on a small table cannot fill the cores, so its folds run side by side.
+        # A large table is prepared one fold at a time, to keep one copy of it in storage.
+        rounds = [list(range(folds))] if n <= ROWS_PER_TASK else [[f] for f in range(folds)]
 
-        def one_fold(fold: int) -> dict[str, list[float]]:
-            rest, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+        def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
+            rest, valid = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
             prep = Pipeline(stages=feature_stages(spec)).fit(rest)
-            with cached(prep.transform(rest).select(*columns), prep.transform(held).select(*columns)) as (a, b):
-                return {name: _fold_aucs(a, b, algo, parallelism) for name, algo in algos.items()}
+            return tuple(materialize(prep.transform(side).select(*columns), "fold") for side in (rest, valid))
 
-        # A fit on a small table cannot fill the cores, so its folds run side by side.
-        # A large table is prepared one fold at a time, to keep one copy of it in storage.
-        pool = ThreadPool(folds if n <= ROWS_PER_TASK else 1)
-        try:
-            per_fold = pool.map(inheritable_thread_target(one_fold), range(folds))
-        finally:
-            pool.close()
+        for chosen in rounds:
+            with ExitStack() as held, ThreadPool(len(chosen)) as pool:
+                sides = pool.map(inheritable_thread_target(prepare), chosen)
+                prepared = {f: held.enter_context(cached(*pair)) for f, pair in zip(chosen, sides)}
+                aucs.update(_grid_aucs(prepared, algos, parallelism))
 
         prep = Pipeline(stages=feature_stages(spec)).fit(rows)
         out = {}
-        with cached(prep.transform(rows).select(*columns)) as (ready,):
+        with cached(materialize(prep.transform(rows).select(*columns), "prepared")) as (ready,):
             for name, algo in algos.items():
-                scores = [fold[name] for fold in per_fold]
-                means = [sum(point) / folds for point in zip(*scores)]
+                scores = [[aucs[name, i, f] for f in range(folds)] for i in range(len(algo.grid))]
+                means = [sum(point) / folds for point in scores]
                 best = max(range(len(means)), key=lambda i: means[i])
                 fitted = algo.classifier.fit(ready, algo.grid[best])
                 out[name] = Tuned(PipelineModel(prep.stages + [fitted]), best, means, scores)
@@ -154,7 +167,7 @@ def fit_once(train: DataFrame, spec: FeatureSpec, algo: Algorithm, point: int =
     with cached(train.select(*spec.features, spec.label)) as (stored,):
         rows = compact(stored, stored.count())
         prep = Pipeline(stages=feature_stages(spec)).fit(rows)
-        with cached(prep.transform(rows).select("features", "label")) as (ready,):
+        with cached(materialize(prep.transform(rows).select("features", "label"), "prepared")) as (ready,):
             return PipelineModel(prep.stages + [algo.classifier.fit(ready, algo.grid[point])])
 
 
@@ -164,14 +177,10 @@ def predict(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = ()) ->
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, float]:
-    """AUC, accuracy, weighted precision, recall and F1 on the test side.
-
-    Predictions are cached once and read by two aggregates. Two single-row results come back.
-    """
-    with cached(predict(model, test)) as (pred,):
-        auc = auc_roc(pred, "score", "label").first()
-        row = metrics_from_counts(confusion_matrix(pred)).first()
-    return {"auc_roc": auc["auc_roc"], "accuracy": row["accuracy"], "precision": row["weighted_precision"],
+    """AUC, accuracy, weighted precision, recall and F1 on the test side, from one pass that
+    counts labels per distinct score. A single row comes back."""
+    row = evaluate_groups(predict(model, test), "score", "label", prediction="prediction").first()
+    return {"auc_roc": row["auc_roc"], "accuracy": row["accuracy"], "precision": row["weighted_precision"],
             "recall": row["weighted_recall"], "f1_score": row["weighted_f1"]}
 
 

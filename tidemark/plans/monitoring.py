@@ -8,7 +8,7 @@ from tidemark.functions.columns import status_band
 from tidemark.operators import monitor as mon, validate as v
 from tidemark.plans.catalog import query
 from tidemark.plans.views import LOG_SQL, covered_sql, request_log, with_sql
-from tidemark.spec import BATCH_BOUNDS, LEVELS, SCORE_BOUNDS
+from tidemark.spec import BATCH_BOUNDS, LATENCY_BOUNDS, LEVELS, SCORE_BOUNDS
 
 JOB = "fastapi"
 HOUR = 3600
@@ -164,6 +164,20 @@ def histogram_quantile(spark: SparkSession, sf: str) -> DataFrame:
     return mon.histogram_quantile(hist, 0.95, ["handler"]).withColumn("p95", F.round("p95", 6))
 
 
+_LATENCY_HIST_SQL = _buckets_sql("ranged", "latency_s", LATENCY_BOUNDS, "cum", "window_start")
+
+
+@query("latency_histogram_quantiles", with_sql(_ranged(5 * HOUR, HOUR) + ", q50 AS (" + _hist_quantile_sql(
+    _LATENCY_HIST_SQL, 0.5, "window_start", 60.0) + "), q95 AS (" + _hist_quantile_sql(
+    _LATENCY_HIST_SQL, 0.95, "window_start", 60.0) + ")") + "SELECT window_start, p50, p95 FROM q50 JOIN q95 USING (window_start)")
+def latency_histogram_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Latency quantiles from bucket growth: a fixed number of counters per slot, whatever the traffic."""
+    hist = mon.bucket_increase(live(spark, sf), "latency_s", LATENCY_BOUNDS, "5 hours", "1 hour")
+    p50 = mon.histogram_quantile(hist, 0.5, ["window_start"], "increase")
+    p95 = mon.histogram_quantile(hist, 0.95, ["window_start"], "increase")
+    return p50.join(p95, "window_start").withColumns({c: F.round(c, 6) for c in ("p50", "p95")})
+
+
 _SIZE_RANGES = _SIZES_SQL + f", sized AS (SELECT *, {covered_sql(24 * HOUR, 6 * HOUR)} FROM sizes)"
 
 

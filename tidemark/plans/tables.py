@@ -40,7 +40,7 @@ def read_table_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     df = src.read_table(spark, path, infer=True)
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum("tenure").alias("tenure_sum"),
                   F.sum("SeniorCitizen").alias("seniors"),
-                  F.count_if(F.col("TotalCharges") == " ").alias("blank_totals"))
+                  F.count_if(F.col("TotalCharges").cast("string") == " ").alias("blank_totals"))
 
 
 @query("load_report", with_sql(CUSTOMERS_SQL) + """

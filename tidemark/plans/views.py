@@ -19,8 +19,7 @@ from tidemark.operators.clean import clean_customers
 from tidemark.operators.metrics import evaluate_groups
 from tidemark.operators.scoring import score_batch
 from tidemark.operators.validate import validate
-from tidemark.session import work_dir
-from tidemark.sources.sinks import append
+from tidemark.sources.sinks import materialize
 from tidemark.spec import CUSTOMER_FIELDS, FeatureSpec
 
 CUTOFF = "2000-12-01 00:00:00"
@@ -376,14 +375,7 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
 
 def runs_table(spark: SparkSession, sf: str) -> DataFrame:
     """The evaluated runs logged to a table: the large scan happens once, when it is written."""
-    return written(spark, supplier_runs(spark, sf), "runs")
-
-
-def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """Write rows to a new table in the work folder and read it back."""
-    path = work_dir(spark, name)
-    append(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return materialize(supplier_runs(spark, sf), "runs")
 
 
 def versions(spark: SparkSession, all_runs: DataFrame) -> DataFrame:
@@ -392,7 +384,7 @@ def versions(spark: SparkSession, all_runs: DataFrame) -> DataFrame:
         "algorithm", "auc_roc", "accuracy", "f1_score", "training_duration_seconds")])
     candidates = all_runs.select("name", "run_id", F.concat(F.lit("runs:/"), "run_id", F.lit("/model")).alias("source"),
                                  text.alias("description"), "created_at")
-    return written(spark, registry.register_versions(candidates, empty(spark, registry.VERSIONS)), "versions")
+    return materialize(registry.register_versions(candidates, empty(spark, registry.VERSIONS)), "versions")
 
 
 VERSIONS_SQL = SUPPLIER_RUNS_SQL.rstrip() + """,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.columns import fixed
+from tidemark.session import work_dir
 
 
 def write_importance(importance: DataFrame, path: str) -> None:
@@ -26,3 +27,13 @@ def write_exploration(summary: DataFrame, path: str) -> None:
 def append(rows: DataFrame, path: str) -> None:
     """Add rows to a registry, run or prediction-log table."""
     rows.write.mode("append").parquet(path)
+
+
+def materialize(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to a new table in the shared work folder and read it back.
+
+    Cuts the lineage: whatever follows, or is repeated after a lost executor, starts from files.
+    """
+    path = work_dir(rows.sparkSession, name)
+    append(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

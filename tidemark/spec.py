@@ -90,6 +90,8 @@ CUSTOMER = FeatureSpec(
 # --- Fixed values: monitoring -----------------------------------------------------------------
 SCORE_BOUNDS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 BATCH_BOUNDS = (1, 5, 10, 25, 50, 100, 250, 500, 1000)
+LATENCY_BOUNDS = (0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0,
+                  4.5, 5.0, 7.5, 10.0, 30.0, 60.0)
 LEVELS = ("high", "medium", "low")
 MAX_BATCH = 1000
 GATE_THRESHOLD = 0.80
