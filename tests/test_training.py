@@ -19,7 +19,7 @@ def rows(spark):
     rnd = random.Random(3)
     data = []
     for i in range(400):
-        color, size = rnd.choice(["red", "red", "blue", "green"]), rnd.random()
+        color, size = rnd.choice(["red", "red", "red", "blue", "blue", "green"]), rnd.random()
         data.append((i, color, size, "Yes" if size + 0.3 * (color == "red") + 0.2 * rnd.random() > 0.8 else "No"))
     return spark.createDataFrame(data, "k int, color string, size double, y string")
 

@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.monitor import confidence_counts, le_histogram
+from tidemark.operators.monitor import INF, bound_label
 from tidemark.operators.running import running_totals
-from tidemark.spec import SCORE_BOUNDS
+from tidemark.spec import LEVELS, SCORE_BOUNDS
 
 # The shifted cohort of brand-new, high-priced, month-to-month customers.
 SHIFT_SET = {"tenure": 1, "Contract": "Month-to-month", "PaymentMethod": "Electronic check",
@@ -29,8 +29,18 @@ def shifted_cohort(df: DataFrame) -> DataFrame:
     return what_if(df, derive={"TotalCharges": F.round(F.col("MonthlyCharges") * F.col("tenure"), 2)})
 
 
+def with_shifted(df: DataFrame) -> DataFrame:
+    """Every row twice, as it is and shifted, told apart by ``cohort``; the table is read once."""
+    names = df.columns
+    both = shifted_cohort(df.withColumn("__base", F.struct(*names)))
+    sides = F.array(
+        F.struct(*[F.col(f"__base.{c}").alias(c) for c in names], F.lit("baseline").alias("cohort")),
+        F.struct(*names, F.lit("shifted").alias("cohort")))
+    return both.select(F.inline(sides))
+
+
 def cohorts(base: DataFrame, shifted: DataFrame) -> DataFrame:
-    """Both cohorts in one table with a ``cohort`` column."""
+    """Two separate tables as cohorts of one."""
     return (base.withColumn("cohort", F.lit("baseline"))
             .unionByName(shifted.withColumn("cohort", F.lit("shifted"))))
 
@@ -58,28 +68,26 @@ def drift_report(scored: DataFrame, cohort: str = "cohort", base: str = "baselin
     return wide.select(F.inline(rows)).withColumn("change", F.col(shifted) - F.col(base))
 
 
-def _shares(counts: DataFrame, cohort: str, key: str, n: str, base: str, shifted: str,
-            whole: Column) -> DataFrame:
-    sides = counts.groupBy(key).agg(*[
-        F.max(F.when(F.col(cohort) == c, F.col(n) / whole)).alias(f"{c}_share") for c in (base, shifted)])
-    return sides.withColumn("change", F.col(f"{shifted}_share") - F.col(f"{base}_share"))
-
-
 def distribution_shift(scored: DataFrame, cohort: str = "cohort", base: str = "baseline",
                        shifted: str = "shifted", score: str = "churn_probability",
                        level: str = "confidence", bounds: Sequence[float] = SCORE_BOUNDS) -> DataFrame:
-    """Share of scores at or below each bound, and of each confidence level, per cohort."""
-    wide = scored.groupBy(cohort).agg(F.count(score).alias("__n"))
-    hist = le_histogram(scored, score, bounds, [cohort]).join(wide, cohort)
-    levels = confidence_counts(scored, level, [cohort]).join(wide, cohort)
-    whole = F.nullif(F.col("__n"), F.lit(0))
-    parts = [
-        _shares(hist, cohort, "le", "cumulative", base, shifted, whole).select(
-            F.lit("score_le").alias("kind"), F.col("le").alias("bucket"), f"{base}_share", f"{shifted}_share", "change"),
-        _shares(levels, cohort, "level", "predictions", base, shifted, whole).select(
-            F.lit("level").alias("kind"), F.col("level").alias("bucket"), f"{base}_share", f"{shifted}_share", "change"),
-    ]
-    return parts[0].unionByName(parts[1])
+    """Share of scores at or below each bound, and of each confidence level, per cohort.
+
+    One pass: all counters of a cohort come from the same aggregate.
+    """
+    value = F.col(score)
+    counters = [("score_le", bound_label(b), value <= F.lit(float(b))) for b in bounds]
+    counters += [("score_le", INF, value.isNotNull())]
+    counters += [("level", name, F.col(level) == name) for name in LEVELS]
+    wide = scored.groupBy(cohort).agg(
+        F.count(score).alias("__n"), *[F.count_if(c).alias(f"__{i}") for i, (_, _, c) in enumerate(counters)])
+    share = {i: F.col(f"__{i}") / F.nullif(F.col("__n"), F.lit(0)) for i in range(len(counters))}
+    long = wide.select(cohort, F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.lit(bucket).alias("bucket"), share[i].alias("share"))
+        for i, (kind, bucket, _) in enumerate(counters)])))
+    out = long.groupBy("kind", "bucket").agg(*[
+        F.max(F.when(F.col(cohort) == c, F.col("share"))).alias(f"{c}_share") for c in (base, shifted)])
+    return out.withColumn("change", F.col(f"{shifted}_share") - F.col(f"{base}_share"))
 
 
 def progress(scored: DataFrame, order: str, every: int = 50, cohort: str = "cohort",

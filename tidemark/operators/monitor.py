@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.columns import bool_label
+from tidemark.functions.columns import bool_label, status_band
 from tidemark.operators.running import exact_quantiles, quantile_name
 from tidemark.spec import LEVELS
 
@@ -141,9 +141,9 @@ def bucket_increase(log: DataFrame, value: str, bounds: Sequence[float], range:
     return _bucket_rows(wide, ["window_start", *by], bounds, "increase")
 
 
-def histogram_quantile(hist: DataFrame, q: float, by: Sequence[str] = (),
-                       cumulative: str = "cumulative") -> DataFrame:
-    """Quantile estimated from cumulative buckets, linear inside a bucket.
+def histogram_quantiles(hist: DataFrame, quantiles: Sequence[float], by: Sequence[str] = (),
+                        cumulative: str = "cumulative") -> DataFrame:
+    """Quantiles estimated from cumulative buckets, linear inside a bucket; columns ``p50``, ..
 
     An empty histogram gives null; a quantile in the ``+Inf`` bucket gives the highest finite
     bound; the first bucket starts at 0, or at its own bound when that is not positive.
@@ -158,13 +158,32 @@ def histogram_quantile(hist: DataFrame, q: float, by: Sequence[str] = (),
         F.coalesce(F.lag(cumulative).over(ordered), F.lit(0)).alias("__below"),
         F.lag("__le").over(ordered).alias("__low"),
         F.max(cumulative).over(group).alias("__all"), F.max(finite).over(group).alias("__top"))
-    rank = F.lit(float(q)) * F.col("__all")
     low = F.coalesce("__low", F.lit(0.0))
-    inside = low + (F.col("__le") - low) * (rank - F.col("__below")) / F.nullif(
-        F.col("__cum") - F.col("__below"), F.lit(0))
-    estimate = (F.when(F.col("__le") == float("inf"), F.col("__top"))
-                .when(F.col("__low").isNull() & (F.col("__le") <= 0), F.col("__le")).otherwise(
-                    F.coalesce(inside, low)))
-    hit = (F.col("__all") > 0) & (F.col("__cum") >= rank)
-    return rows.groupBy(*by).agg(
-        F.min_by(F.when(hit, estimate), F.when(hit, F.col("__le"))).alias(quantile_name(q)))
+    width, filled = F.col("__le") - low, F.nullif(F.col("__cum") - F.col("__below"), F.lit(0))
+    out = []
+    for q in quantiles:
+        rank = F.lit(float(q)) * F.col("__all")
+        estimate = (F.when(F.col("__le") == float("inf"), F.col("__top"))
+                    .when(F.col("__low").isNull() & (F.col("__le") <= 0), F.col("__le"))
+                    .otherwise(F.coalesce(low + width * (rank - F.col("__below")) / filled, low)))
+        hit = (F.col("__all") > 0) & (F.col("__cum") >= rank)
+        out.append(F.min_by(F.when(hit, estimate), F.when(hit, F.col("__le"))).alias(quantile_name(q)))
+    return rows.groupBy(*by).agg(*out)
+
+
+def histogram_quantile(hist: DataFrame, q: float, by: Sequence[str] = (),
+                       cumulative: str = "cumulative") -> DataFrame:
+    return histogram_quantiles(hist, [q], by, cumulative)
+
+
+def service_levels(log: DataFrame, range: str, step: str, by: Sequence[str] = (), ts: str = "ts",
+                   value: str = "latency_s", status: str = "status", latency_limits: tuple[float, float] = (0.5, 1.0),
+                   error_limits: tuple[float, float] = (0.5, 1.0)) -> DataFrame:
+    """Mean latency, error percentage and their traffic lights over each trailing range, in one pass."""
+    sums = {"n": _one(), "timed": _one(F.col(value).isNotNull()), "latency_sum": F.col(value),
+            "errors": _one(F.col(status) >= 400)}
+    out = trailing(log, sums, range, step, by, ts).withColumns({
+        "avg_latency": F.when(F.col("timed") > 0, F.col("latency_sum") / F.col("timed")),
+        "error_pct": 100 * F.col("errors") / F.col("n")})
+    return out.withColumns({"latency_band": status_band("avg_latency", *latency_limits),
+                            "error_band": status_band("error_pct", *error_limits)}).drop("timed")

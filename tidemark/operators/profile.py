@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import is_missing, percentage
 from tidemark.spec import FeatureSpec, categorical_columns
@@ -52,21 +52,27 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def exploration_summary(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """The profile as (section, name, value) text rows: totals, classes, missing, columns."""
-    shape = df.agg(F.count(F.lit(1)).alias("rows"))
-    text = "section string, name string, value string"
-    rows = shape.select(F.lit("total").alias("section"), F.lit("rows").alias("name"),
-                        F.col("rows").cast("string").alias("value"))
-    classes = class_distribution(df, spec.label).select(
-        F.lit("class").alias("section"), F.col(spec.label).cast("string").alias("name"),
-        F.format_string("%d (%.2f%%)", "count", "percentage").alias("value"))
-    missing = missing_counts(df).select(
-        F.lit("missing").alias("section"), F.col("column_name").alias("name"),
-        F.col("missing").cast("string").alias("value"))
-    layout = df.sparkSession.createDataFrame([
-        ("total", "columns", str(len(df.columns))),
-        ("columns", "all", ", ".join(df.columns)),
-        ("columns", "numeric", ", ".join(spec.numeric)),
-        ("columns", "categorical", ", ".join(categorical_columns(df.columns, spec))),
-    ], text)
-    return rows.unionByName(classes).unionByName(missing).unionByName(layout)
+    """The profile as (section, name, value) text rows: totals, classes, missing, columns.
+
+    One pass: everything is counted per label value, and those few rows make up the rest.
+    """
+    per_class = df.groupBy(spec.label).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count_if(is_missing(f.name, f.dataType.typeName())).alias(f"__{i}") for i, f in enumerate(df.schema.fields)])
+    whole = per_class.agg(
+        F.sum("__n").alias("n"), F.collect_list(F.struct(F.col(spec.label).alias("label"), F.col("__n").alias("n"))).alias("classes"),
+        *[F.sum(f"__{i}").alias(f"__{i}") for i in range(len(df.columns))])
+
+    def row(section: str, name: str, value: Column | str) -> Column:
+        text = F.lit(value) if isinstance(value, str) else value.cast("string")
+        return F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), text.alias("value"))
+
+    fixed_rows = F.array(
+        row("total", "rows", F.coalesce("n", F.lit(0))), row("total", "columns", str(len(df.columns))),
+        row("columns", "all", ", ".join(df.columns)), row("columns", "numeric", ", ".join(spec.numeric)),
+        row("columns", "categorical", ", ".join(categorical_columns(df.columns, spec))),
+        *[row("missing", c, F.coalesce(f"__{i}", F.lit(0))) for i, c in enumerate(df.columns)])
+    class_rows = F.transform("classes", lambda c: F.struct(
+        F.lit("class").alias("section"), c["label"].cast("string").alias("name"),
+        F.format_string("%d (%.2f%%)", c["n"], percentage(c["n"], F.col("n"))).alias("value")))
+    return whole.select(F.inline(F.concat(fixed_rows, class_rows)))

@@ -177,18 +177,32 @@ def compare_versions(metrics: DataFrame, v1: int, v2: int, missing: str = "no_vo
     return out.withColumn("winner", winner)
 
 
-def comparison_verdict(comparison: DataFrame, v1: int, v2: int) -> DataFrame:
-    """Votes of the two versions per model and the recommended version (null on a tie)."""
+def comparison_verdict(comparison: DataFrame, v1: int, v2: int, states: DataFrame | None = None) -> DataFrame:
+    """Votes of the two versions per model and the recommended version (null on a tie).
+
+    With ``states`` (name, version, stage) it also says whether the winner is still to be promoted.
+    """
+    is_auc = F.col("metric") == "auc_roc"
     tally = comparison.groupBy("name").agg(
         F.count_if(F.col("winner") == f"v{v1}").alias("v1_wins"),
-        F.count_if(F.col("winner") == f"v{v2}").alias("v2_wins"))
+        F.count_if(F.col("winner") == f"v{v2}").alias("v2_wins"),
+        F.max(F.when(is_auc, F.col("v1_value"))).alias("__auc1"),
+        F.max(F.when(is_auc, F.col("v2_value"))).alias("__auc2"))
     a, b = F.col("v1_wins"), F.col("v2_wins")
     best = F.when(a > b, v1).when(b > a, v2)
-    return (tally.withColumn("score", F.concat_ws("-", a.cast("string"), b.cast("string")))
-            .withColumn("winner_version", best)
-            .withColumn("recommendation", F.when(best.isNull(), "tie: keep the current Production version")
-                        .otherwise(F.concat(F.lit("version "), best.cast("string"),
-                                            F.lit(" has better overall metrics")))))
+    out = (tally.withColumn("score", F.concat_ws("-", a.cast("string"), b.cast("string")))
+           .withColumn("winner_version", best)
+           .withColumn("winner_auc", F.when(a > b, F.col("__auc1")).when(b > a, F.col("__auc2")))
+           .withColumn("recommendation", F.when(best.isNull(), "tie: keep the current Production version")
+                       .otherwise(F.concat(F.lit("version "), best.cast("string"),
+                                           F.lit(" has better overall metrics"))))
+           .drop("__auc1", "__auc2"))
+    if states is None:
+        return out
+    live = states.select("name", F.col("version").alias("winner_version"), F.col("stage").alias("__stage"))
+    return out.join(live, ["name", "winner_version"], "left").withColumn(
+        "to_promote", F.col("winner_version").isNotNull() & ~F.coalesce(F.col("__stage") == "Production", F.lit(False))
+    ).drop("__stage")
 
 
 def model_info(versions: DataFrame, events: DataFrame, runs: DataFrame, tags: DataFrame,

@@ -1,15 +1,14 @@
 """Running totals and exact quantiles that never put a whole group into one task.
 
 A window without, or with a very hot, partition key sorts all its rows in one task.
-Here the order column is cut into ranges at approximate quantiles; each range gets its
-own window, and the totals of the ranges before it (a few hundred rows per group) are
-added on top. The result is exact whatever the quantiles are.
+Here the order column is cut into ranges at approximate quantiles. Each range gets its own
+window, which starts with one extra row carrying the totals of the ranges before it (a few
+hundred rows per group). The result is exact whatever the quantiles are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -36,36 +35,30 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
     """
     by = list(by)
     cuts = [i / ranges for i in range(1, ranges)]
-    # One row: the range bounds and the grand totals, as a scalar subquery.
     overall = df.agg(F.struct(F.percentile_approx(order, cuts, 10 * ranges).alias("bounds"),
-                              *[F.sum(c).alias(n) for n, c in totals.items()])).scalar()
-    work = (df.withColumn("__overall", overall)
-            .withColumn("__range", search_bounds(F.col("__overall.bounds"), order, len(cuts)))
-            .withColumns({f"__{n}": c for n, c in totals.items()}))
-    if not by:
-        work = work.withColumns({f"__{n}_all": F.col(f"__overall.{n}") for n in totals})
-    work = work.drop("__overall")
+                              *[F.sum(c) for c in totals.values()])).scalar()
+    work = (df.withColumn("__bounds", overall["bounds"])
+            .withColumn("__range", search_bounds(F.col("__bounds"), order, len(cuts)))
+            .drop("__bounds").withColumns({f"__{n}": c for n, c in totals.items()}))
 
     per_range = work.groupBy(*by, "__range").agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in totals])
-    direction = F.col("__range").desc() if descending else F.col("__range").asc()
     group = Window.partitionBy(*by)
-    before = group.orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        *[F.col(c).alias(f"__k_{c}") for c in by], F.col("__range").alias("__k_range"),
-        *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}_before") for n in totals],
-        *[F.sum(f"__{n}").over(group).alias(f"__{n}_all") for n in totals if by])
-
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by],
-                   F.col("__range").eqNullSafe(F.col("__k_range")))
-    # Without group columns there are at most `ranges` offset rows; with them Spark picks by size.
-    joined = work.join(offsets if by else F.broadcast(offsets), match)
+    earlier = (group.orderBy(F.col("__range").desc() if descending else F.col("__range").asc())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carried = per_range.select(
+        *by, "__range", F.lit(0).alias("__kind"),
+        *[F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)).alias(f"__{n}") for n in totals],
+        *[F.sum(f"__{n}").over(group).alias(f"__{n}_all") for n in totals])
+
+    rows = work.withColumn("__kind", F.lit(1)).unionByName(carried, allowMissingColumns=True)
     order_by = F.col(order).desc() if descending else F.col(order).asc()
-    within = (Window.partitionBy(*by, "__range").orderBy(order_by, *tiebreak)
+    within = (Window.partitionBy(*by, "__range").orderBy("__kind", order_by, *tiebreak)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"__{n}_before") + F.sum(f"__{n}").over(within)).alias(f"{n}_run") for n in totals],
-        *[F.col(f"__{n}_all").alias(f"{n}_all") for n in totals])
+    return rows.select(
+        *df.columns, "__kind",
+        *[F.sum(f"__{n}").over(within).alias(f"{n}_run") for n in totals],
+        *[F.first(f"__{n}_all").over(within).alias(f"{n}_all") for n in totals],
+    ).where(F.col("__kind") == 1).drop("__kind")
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float], by: Sequence[str] = (),

@@ -87,6 +87,7 @@ def _grid_aucs(folds: Mapping[int, tuple[DataFrame, DataFrame]], algos: Mapping[
                parallelism: int) -> dict[tuple[str, int, int], float]:
     """Validation AUC of every (algorithm, grid point, fold); fits are submitted from a few threads."""
     evaluator = auc_evaluator()
+    spark = next(iter(folds.values()))[0].sparkSession
     tasks = [(name, i, fold) for name, algo in algos.items() for i in range(len(algo.grid)) for fold in folds]
     tasks.sort(key=lambda t: -_effort(algos[t[0]].grid[t[1]]))
 
@@ -98,7 +99,7 @@ def _grid_aucs(folds: Mapping[int, tuple[DataFrame, DataFrame]], algos: Mapping[
 
     pool = ThreadPool(min(parallelism, len(tasks)))
     try:
-        return dict(zip(tasks, pool.map(inheritable_thread_target(one), tasks, chunksize=1)))
+        return dict(zip(tasks, pool.map(inheritable_thread_target(spark)(one), tasks, chunksize=1)))
     finally:
         pool.close()
 
@@ -133,7 +134,7 @@ def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm
 
         for chosen in rounds:
             with ExitStack() as held, ThreadPool(len(chosen)) as pool:
-                sides = pool.map(inheritable_thread_target(prepare), chosen)
+                sides = pool.map(inheritable_thread_target(train.sparkSession)(prepare), chosen)
                 prepared = {f: held.enter_context(cached(*pair)) for f, pair in zip(chosen, sides)}
                 aucs.update(_grid_aucs(prepared, algos, parallelism))
 

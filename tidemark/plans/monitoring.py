@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.columns import status_band
 from tidemark.operators import monitor as mon, validate as v
 from tidemark.plans.catalog import query
 from tidemark.plans.views import LOG_SQL, covered_sql, request_log, with_sql
@@ -173,9 +172,7 @@ _LATENCY_HIST_SQL = _buckets_sql("ranged", "latency_s", LATENCY_BOUNDS, "cum", "
 def latency_histogram_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Latency quantiles from bucket growth: a fixed number of counters per slot, whatever the traffic."""
     hist = mon.bucket_increase(live(spark, sf), "latency_s", LATENCY_BOUNDS, "5 hours", "1 hour")
-    p50 = mon.histogram_quantile(hist, 0.5, ["window_start"], "increase")
-    p95 = mon.histogram_quantile(hist, 0.95, ["window_start"], "increase")
-    return p50.join(p95, "window_start").withColumns({c: F.round(c, 6) for c in ("p50", "p95")})
+    return mon.histogram_quantiles(hist, [0.5, 0.95], ["window_start"], "increase").withColumns({c: F.round(c, 6) for c in ("p50", "p95")})
 
 
 _SIZE_RANGES = _SIZES_SQL + f", sized AS (SELECT *, {covered_sql(24 * HOUR, 6 * HOUR)} FROM sizes)"
@@ -187,9 +184,7 @@ _SIZE_RANGES = _SIZES_SQL + f", sized AS (SELECT *, {covered_sql(24 * HOUR, 6 *
     + "SELECT window_start, p50, p95 FROM m50 JOIN m95 USING (window_start)")
 def batch_size_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     hist = mon.bucket_increase(batch_sizes(spark, sf), "batch_size", BATCH_BOUNDS, "1 day", "6 hours")
-    p50 = mon.histogram_quantile(hist, 0.5, ["window_start"], "increase")
-    p95 = mon.histogram_quantile(hist, 0.95, ["window_start"], "increase")
-    return p50.join(p95, "window_start").withColumns({c: F.round(c, 6) for c in ("p50", "p95")})
+    return mon.histogram_quantiles(hist, [0.5, 0.95], ["window_start"], "increase").withColumns({c: F.round(c, 6) for c in ("p50", "p95")})
 
 
 @query("status_bands", with_sql(_ranged(5 * HOUR, HOUR)) + """
@@ -198,12 +193,8 @@ SELECT window_start, CASE WHEN l >= 1.0::DOUBLE THEN 'red' WHEN l >= 0.5::DOUBLE
 FROM (SELECT window_start, sum(latency_s) / count(*) l, 100 * (count(*) FILTER (WHERE status >= 400))::DOUBLE / count(*) e
       FROM ranged GROUP BY window_start)""")
 def status_bands(spark: SparkSession, sf: str) -> DataFrame:
-    log = live(spark, sf)
-    latency = mon.avg_latency(log, "5 hours", "1 hour").select("window_start", "avg_latency")
-    errors = mon.error_rate(log, "5 hours", "1 hour").select("window_start", "error_pct")
-    return latency.join(errors, "window_start").select(
-        "window_start", status_band("avg_latency", 0.5, 1.0).alias("latency_band"),
-        status_band("error_pct", 0.5, 1.0).alias("error_band"))
+    return mon.service_levels(live(spark, sf), "5 hours", "1 hour").select(
+        "window_start", "latency_band", "error_band")
 
 
 @query("large_batches", with_sql(LOG_SQL) + """

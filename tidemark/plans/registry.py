@@ -276,27 +276,34 @@ compared AS (
                  WHEN (v1_value > v2_value) = higher_is_better THEN 'v1' ELSE 'v2' END winner FROM sides)"""
 
 
-def _comparison(spark: SparkSession, sf: str, missing: str) -> DataFrame:
-    rows = runs_table(spark, sf).withColumn("version", F.col("logged_order"))
+def _comparison(all_runs: DataFrame, missing: str) -> DataFrame:
+    rows = all_runs.withColumn("version", F.col("logged_order"))
     rows = rows.withColumn("f1_score", F.when(F.col("version") != 2, F.col("f1_score")))
     return reg.compare_versions(rows, 1, 2, missing)
 
 
 @query("compare_versions", with_sql(_compared_sql(False)) + "SELECT * FROM compared")
 def compare_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return _comparison(spark, sf, "no_vote")
+    return _comparison(runs_table(spark, sf), "no_vote")
 
 
 @query("compare_versions_zero", with_sql(_compared_sql(True)) + "SELECT * FROM compared")
 def compare_versions_zero(spark: SparkSession, sf: str) -> DataFrame:
-    return _comparison(spark, sf, "zero")
+    return _comparison(runs_table(spark, sf), "zero")
 
 
 @query("comparison_verdict", with_sql(_compared_sql(False) + """,
-tally AS (SELECT name, count(*) FILTER (WHERE winner = 'v1') v1_wins, count(*) FILTER (WHERE winner = 'v2') v2_wins FROM compared GROUP BY name)""") + """
+tally AS (SELECT name, count(*) FILTER (WHERE winner = 'v1') v1_wins, count(*) FILTER (WHERE winner = 'v2') v2_wins,
+                 max(v1_value) FILTER (WHERE metric = 'auc_roc') auc1, max(v2_value) FILTER (WHERE metric = 'auc_roc') auc2
+          FROM compared GROUP BY name)""") + """
 SELECT name, v1_wins, v2_wins, CAST(v1_wins AS VARCHAR) || '-' || CAST(v2_wins AS VARCHAR) score,
        CASE WHEN v1_wins > v2_wins THEN 1 WHEN v2_wins > v1_wins THEN 2 END winner_version,
+       CASE WHEN v1_wins > v2_wins THEN auc1 WHEN v2_wins > v1_wins THEN auc2 END winner_auc,
        CASE WHEN v1_wins > v2_wins THEN 'version 1 has better overall metrics' WHEN v2_wins > v1_wins THEN 'version 2 has better overall metrics'
-            ELSE 'tie: keep the current Production version' END recommendation FROM tally""")
+            ELSE 'tie: keep the current Production version' END recommendation,
+       v2_wins > v1_wins AS to_promote FROM tally""")
 def comparison_verdict(spark: SparkSession, sf: str) -> DataFrame:
-    return reg.comparison_verdict(_comparison(spark, sf, "no_vote"), 1, 2)
+    """Version 1 serves everywhere, so only a winning version 2 is still to be promoted."""
+    all_runs = runs_table(spark, sf)
+    states = reg.current_stages(base_events(versions(spark, all_runs)))
+    return reg.comparison_verdict(_comparison(all_runs, "no_vote"), 1, 2, states)

@@ -98,7 +98,7 @@ both_cohorts AS (
 
 def cohort_scores(spark: SparkSession, sf: str) -> DataFrame:
     base = validated(spark, sf).where(F.col("status") == "valid")
-    return s.score_batch(drift.cohorts(base, drift.shifted_cohort(base)), version="1", key="customerID")
+    return s.score_batch(drift.with_shifted(base), version="1", key="customerID")
 
 
 @query("what_if", with_sql(_SHIFTED_SQL) + """
