@@ -2,8 +2,8 @@
 
 A window without, or with a very hot, partition key sorts all its rows in one task.
 Here the order column is cut into ranges at approximate quantiles. Each range gets its own
-window, which starts with one extra row carrying the totals of the ranges before it (a few
-hundred rows per group). The result is exact whatever the quantiles are.
+window, which starts with one extra row carrying the totals of the ranges before it (at most
+4096 rows per group). The result is exact whatever the quantiles are.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.columns import search_bounds
 
-RANGES = 256
+
+def _default_ranges(df: DataFrame) -> int:
+    """A few ranges per shuffle task, within limits that keep the per-range totals small."""
+    return min(4096, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def exact_total(df: DataFrame, name: str = "n") -> DataFrame:
@@ -23,7 +26,7 @@ def exact_total(df: DataFrame, name: str = "n") -> DataFrame:
 
 def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by: Sequence[str] = (),
                    descending: bool = False, tiebreak: Sequence[Column | str] = (),
-                   ranges: int = RANGES) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """For each ``name: column`` of ``totals`` append ``name_run`` (sum over the rows of the
     group up to this one in ``order``) and ``name_all`` (sum over the whole group).
 
@@ -34,6 +37,7 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
     They use the same columns, so an input that ends in a ``groupBy`` is shuffled only once.
     """
     by = list(by)
+    ranges = ranges or _default_ranges(df)
     cuts = [i / ranges for i in range(1, ranges)]
     overall = df.agg(F.struct(F.percentile_approx(order, cuts, 10 * ranges).alias("bounds"),
                               *[F.sum(c) for c in totals.values()])).scalar()
@@ -62,7 +66,7 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float], by: Sequence[str] = (),
-                    weight: str | None = None, ranges: int = RANGES) -> DataFrame:
+                    weight: str | None = None, ranges: int | None = None) -> DataFrame:
     """Exact quantiles per group with linear interpolation; columns ``p50``, ``p95``, ..
 
     Equal values are counted before the shuffle; ``weight`` names a column that already

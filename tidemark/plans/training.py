@@ -187,3 +187,14 @@ def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
 @query("schema_of_requests")
 def schema_of_requests(spark: SparkSession, sf: str) -> DataFrame:
     return src.schema_report(document_features(spark, sf))
+
+
+@query("training_job")
+def training_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole training job on the documents: profile, tune, log, register, gate, promote."""
+    from tidemark import jobs
+    root = work_dir(spark, "registry")
+    algos = {k: tr.Algorithm(a.name, a.experiment, a.classifier, a.grid[:1])
+             for k, a in tr.algorithms().items() if k != "gbt"}
+    jobs.training_job(document_features(spark, sf), SPEC, root, "document-quality", algos, threshold=0.5)
+    return jobs.serving(spark, root).select("name", "version", "stage", "algorithm", "description")

@@ -335,7 +335,7 @@ def supplier_runs(spark: SparkSession, sf: str) -> DataFrame:
     out = evaluate_groups(rule_scores(spark, sf), "score", "label", RUN_KEYS)
     rows = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
     return out.select(
-        *RUN_KEYS, F.timestamp_seconds(F.lit(1704067200) + F.col("logged_order") * 86400).alias("created_at"),
+        *RUN_KEYS, (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days="logged_order")).alias("created_at"),
         F.round("auc_roc", 9).alias("auc_roc"), F.round("accuracy", 9).alias("accuracy"),
         F.round("weighted_precision", 9).alias("precision"), F.round("weighted_recall", 9).alias("recall"),
         F.round("weighted_f1", 9).alias("f1_score"), (rows / F.lit(1000.0)).alias("training_duration_seconds"))
