@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.operators import monitor as mon
 from tidemark.plans.catalog import query
-from tidemark.plans.monitoring import HOUR
+from tidemark.plans.monitoring import HOUR, _buckets_sql
 from tidemark.plans.tables import REQUESTS_SQL, _batches
 from tidemark.plans.views import LOG_SQL, covered_sql, field_errors_sql, scored_sql, shape_log, table, with_sql
 from tidemark.session import work_dir
 from tidemark.sources import sinks, tables as src
-from tidemark.spec import CUSTOMER_FIELDS, request_schema
+from tidemark.spec import CUSTOMER_FIELDS, SCORE_BOUNDS, request_schema
 from tidemark.streaming import live
 
 BATCH_SCHEMA = T.StructType([
@@ -66,6 +67,13 @@ def stream_rate(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@query("stream_histogram", with_sql(LOG_SQL) + _buckets_sql("log", "score", SCORE_BOUNDS, "cumulative", "handler"))
+def stream_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch histogram operator on a stream."""
+    updates = mon.le_histogram(_log_stream(spark, sf), "score", SCORE_BOUNDS, ["handler"])
+    return _replay(spark, updates, ["handler", "le"], "histogram")
+
+
 @query("stream_latency")
 def stream_latency(spark: SparkSession, sf: str) -> DataFrame:
     """Approximate latency quantiles keep a bounded state per range."""
