@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, functions as F
 
@@ -107,24 +105,3 @@ def grid_string(grid: Column | str) -> Column:
         F.transform(col(grid), lambda point: F.array_join(
             F.transform(F.array_sort(F.map_entries(point)), lambda e: F.concat_ws("=", e["key"], e["value"])), ", ")),
         " | ")
-
-
-def search_bounds(bounds: Column, value: Column | str, size: int) -> Column:
-    """How many entries of a sorted array of up to ``size`` bounds lie below ``value``.
-
-    A halving search, so the cost grows with log2 of the number of bounds.
-    """
-    value = col(value)
-    steps = [1 << p for p in range(max(size, 1).bit_length() - 1, -1, -1)]
-
-    def advance(low: Column, step: Column) -> Column:
-        return F.when(F.get(bounds, low + step - 1) < value, low + step).otherwise(low)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    out = F.lit(False)
-    for condition in conditions:
-        out = out | condition
-    return out

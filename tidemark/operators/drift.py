@@ -96,11 +96,11 @@ def progress(scored: DataFrame, order: str, every: int = 50, cohort: str = "coho
     ok = F.col(score).isNotNull()
     sums = {
         "sent": F.lit(1), "success": F.when(ok, 1).otherwise(0),
-        "churned": F.when(ok & F.col(prediction), 1).otherwise(0), "score": F.coalesce(score, F.lit(0.0)),
+        "churned": F.when(ok & F.col(prediction), 1).otherwise(0), "score": F.coalesce(score, F.lit(0)),
     }
     run = running_totals(scored.select(cohort, order, score, prediction), order, sums, [cohort])
     seen = F.greatest("success_run", F.lit(1))
     return run.where(F.col("sent_run") % every == 0).select(
         cohort, F.col("sent_run").alias("sent"), F.col("sent_all").alias("total"),
-        (100 * F.col("churned_run") / seen).alias("churn_pct"), (F.col("score_run") / seen).alias("avg_score"),
+        (100 * F.col("churned_run") / seen).alias("churn_pct"), (F.col("score_run").cast("double") / seen).alias("avg_score"),
         (F.col("sent_run") - F.col("success_run")).alias("errors"))

@@ -12,8 +12,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.columns import search_bounds
-
 
 def _default_ranges(df: DataFrame) -> int:
     """A few ranges per shuffle task, within limits that keep the per-range totals small."""
@@ -24,6 +22,17 @@ def exact_total(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def _with_range(df: DataFrame, order: str, size: int) -> DataFrame:
+    """Add how many of the sorted ``__bounds`` lie below ``order``, by halving: each step is a
+    projection that stays in generated code."""
+    out = df.withColumn("__range", F.lit(0))
+    low = F.col("__range")
+    for step in (1 << p for p in range(size.bit_length() - 1, -1, -1)):
+        bound = F.get("__bounds", low + (step - 1))
+        out = out.withColumn("__range", F.when(bound < F.col(order), low + step).otherwise(low))
+    return out.drop("__bounds")
+
+
 def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by: Sequence[str] = (),
                    descending: bool = False, tiebreak: Sequence[Column | str] = (),
                    ranges: int | None = None) -> DataFrame:
@@ -41,9 +50,8 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
     cuts = [i / ranges for i in range(1, ranges)]
     overall = df.agg(F.struct(F.percentile_approx(order, cuts, 10 * ranges).alias("bounds"),
                               *[F.sum(c) for c in totals.values()])).scalar()
-    work = (df.withColumn("__bounds", overall["bounds"])
-            .withColumn("__range", search_bounds(F.col("__bounds"), order, len(cuts)))
-            .drop("__bounds").withColumns({f"__{n}": c for n, c in totals.items()}))
+    work = _with_range(df.withColumn("__bounds", overall["bounds"]), order, len(cuts)).withColumns(
+        {f"__{n}": c for n, c in totals.items()})
 
     per_range = work.groupBy(*by, "__range").agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in totals])
     group = Window.partitionBy(*by)

@@ -82,11 +82,14 @@ def with_model_version(df: DataFrame, version: str | None, out: str = "model_ver
     return df.withColumn(out, F.coalesce(F.lit(version).cast("string"), F.lit("unknown")))
 
 
-def decorate(scored: DataFrame, raw_score: str, version: str | None = None,
-             key: str | None = None, threshold: float = 0.5) -> DataFrame:
-    """The response columns: decision on the raw score, rounded score, band, version, id."""
+def decorate(scored: DataFrame, raw_score: str, version: str | None = None, key: str | None = None,
+             threshold: float = 0.5, decided_on: str | None = None) -> DataFrame:
+    """The response columns: decision, rounded score, band, version, id. The decision looks at the
+    raw score unless ``decided_on`` names another column, such as a model's prediction."""
     out = scored.withColumns({
-        "churn_prediction": decide(raw_score, threshold), "churn_probability": round_score(raw_score)})
+        "churn_prediction": decide(decided_on or raw_score, threshold), "churn_probability": round_score(raw_score)})
+    if decided_on:
+        out = out.drop(decided_on)
     out = out.withColumn("confidence", confidence_level("churn_probability")).drop(raw_score)
     return with_prediction_id(with_model_version(out, version), key)
 
@@ -110,7 +113,8 @@ def score_with_model(df: DataFrame, model: PipelineModel, numeric: Sequence[str]
                      version: str | None = None, key: str | None = None) -> DataFrame:
     """Score rows with a fitted model: one output row per input row, input columns kept.
 
-    A row that is marked invalid or lacks one of the ``numeric`` features gets an empty score.
+    The model's prediction is the decision. A row that is marked invalid or lacks one of the
+    ``numeric`` features gets an empty score and no decision.
     """
     names = list(df.columns)
     usable = F.lit(True)
@@ -118,8 +122,10 @@ def score_with_model(df: DataFrame, model: PipelineModel, numeric: Sequence[str]
         usable = usable & F.col(c).isNotNull()
     if "status" in names:
         usable = usable & (F.col("status") == "valid")
-    out = keeping_all_rows(model).transform(df).withColumn("__score", F.when(usable, positive_score()))
-    return decorate(out.select(*names, "__score"), "__score", version, key)
+    out = keeping_all_rows(model).transform(df).select(
+        *names, F.when(usable, positive_score()).alias("__score"),
+        F.when(usable, F.col("prediction")).alias("__decision"))
+    return decorate(out, "__score", version, key, decided_on="__decision")
 
 
 def batch_summary(scored: DataFrame, batch: str, start: str, end: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import metrics as m
 from tidemark.plans.catalog import query
-from tidemark.plans.views import RULE_SCORES_SQL, SUPPLIER_RUNS_SQL, rule_scores, supplier_runs, table, with_sql
+from tidemark.plans.views import RULE_SCORES_SQL, SUPPLIER_RUNS_SQL, rule_name, rule_scores, supplier_runs, table, with_sql
 
 PRICE_TOP = 110000.0
 
@@ -18,11 +18,15 @@ cells AS (
          count(*) FILTER (WHERE label = 1 AND prediction = 0) fn FROM rule_scores GROUP BY algorithm)"""
 
 
+def named_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return rule_scores(spark, sf).withColumn("algorithm", rule_name(0))
+
+
 @query("confusion_matrix", with_sql(_CELLS_SQL) + """
 SELECT algorithm, tp, tn, fp, fn, tp + tn + fp + fn AS total,
        round((tp + tn)::DOUBLE / (tp + tn + fp + fn) * 100, 1) accuracy_pct FROM cells""")
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return m.confusion_matrix(rule_scores(spark, sf), by=["algorithm"])
+    return m.confusion_matrix(named_scores(spark, sf), by=["algorithm"])
 
 
 @query("classification_metrics", with_sql(_CELLS_SQL + """,
@@ -39,7 +43,7 @@ SELECT algorithm, round((tp + tn) / (tp + tn + fp + fn), 6) accuracy,
        round((f10 * (tn + fp) + f11 * (tp + fn)) / (tp + tn + fp + fn), 6) weighted_f1,
        round(p1, 6) AS "precision", round(r1, 6) recall, round(f11, 6) f1 FROM scores""")
 def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    out = m.classification_metrics(rule_scores(spark, sf), by=["algorithm"])
+    out = m.classification_metrics(named_scores(spark, sf), by=["algorithm"])
     names = ["accuracy", "weighted_precision", "weighted_recall", "weighted_f1", "precision", "recall", "f1"]
     return out.select("algorithm", *[F.round(n, 6).alias(n) for n in names])
 
@@ -48,7 +52,7 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
 SELECT algorithm, count(*) FILTER (WHERE label = 1) positives, count(*) FILTER (WHERE label = 0) negatives
 FROM rule_scores GROUP BY algorithm""")
 def class_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return m.class_totals(rule_scores(spark, sf), "label", ["algorithm"])
+    return m.class_totals(named_scores(spark, sf), "label", ["algorithm"])
 
 
 def priced(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +109,7 @@ def auc_roc(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("auc_roc_by_algorithm", "WITH " + RULE_SCORES_SQL.strip() + "," + _auc_sql("rule_scores", "score", "algorithm"))
 def auc_roc_by_algorithm(spark: SparkSession, sf: str) -> DataFrame:
-    return m.auc_roc(rule_scores(spark, sf), "score", "label", ["algorithm"]).withColumn("auc_roc", F.round("auc_roc", 9))
+    return m.auc_roc(named_scores(spark, sf), "score", "label", ["algorithm"]).withColumn("auc_roc", F.round("auc_roc", 9))
 
 
 @query("auc_roc_binned", "WITH " + _PRICED_SQL.strip() + "," + _auc_sql("priced", "floor(score * 1000) / 1000"))

@@ -155,13 +155,12 @@ def distribution_shift(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("progress", with_sql(LOG_SQL) + """
-SELECT handler, sent, total, round(100 * churned::DOUBLE / sent, 9) churn_pct, round(score_sum / sent, 9) avg_score,
+SELECT handler, sent, total, 100 * churned::DOUBLE / sent churn_pct, score_sum::DOUBLE / sent avg_score,
        0::BIGINT errors
 FROM (SELECT handler, row_number() OVER w sent, count(*) OVER (PARTITION BY handler) total,
-             sum(CASE WHEN churn_prediction THEN 1 ELSE 0 END) OVER w churned, sum(score) OVER w score_sum
+             sum(CASE WHEN churn_prediction THEN 1 ELSE 0 END) OVER w churned, sum(CAST(score AS DECIMAL(5,2))) OVER w score_sum
       FROM log WINDOW w AS (PARTITION BY handler ORDER BY event_id ROWS UNBOUNDED PRECEDING))
 WHERE sent % 50 = 0""")
 def progress(spark: SparkSession, sf: str) -> DataFrame:
-    out = drift.progress(request_log(spark, sf), "event_id", 50, "handler", "score")
-    return out.withColumns({"churn_pct": F.round("churn_pct", 9), "avg_score": F.round("avg_score", 9),
-                            "errors": F.col("errors").cast("bigint")})
+    log = request_log(spark, sf).withColumn("score", F.col("score").cast("decimal(5,2)"))
+    return drift.progress(log, "event_id", 50, "handler", "score").withColumn("errors", F.col("errors").cast("bigint"))

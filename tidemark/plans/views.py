@@ -301,21 +301,23 @@ RULES = (("Quantity Rule", "q", 1), ("Discount Rule", "d", 2), ("Tax Rule", "t",
 
 
 def rule_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Returned or accepted line items scored by each rule: one pass, three rows per line."""
+    """Returned or accepted line items scored by each rule: one pass, three rows per line.
+    The keys stay numbers here; names are made from the few result rows."""
     lines = table(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
     score = {"q": F.col("l_quantity") / F.lit(50.0), "d": F.col("l_discount") * F.lit(10.0),
              "t": F.col("l_tax") * F.lit(12.5)}
-    supplier = F.col("l_suppkey").cast("string")
-    rows = F.array(*[F.struct(
-        F.concat(F.lit("supplier-"), supplier).alias("name"),
-        F.concat(F.lit("run-"), supplier, F.lit(f"-{suffix}")).alias("run_id"),
-        F.lit(algorithm).alias("algorithm"), F.lit(order).alias("logged_order"),
-        score[suffix].alias("score")) for algorithm, suffix, order in RULES])
+    rows = F.array(*[F.struct(F.lit(order).alias("logged_order"), score[suffix].alias("score"))
+                     for _, suffix, order in RULES])
     label = F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label")
-    return lines.select(label, F.inline(rows)).withColumn(
+    return lines.select("l_suppkey", label, F.inline(rows)).withColumn(
         "prediction", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def rule_name(part: int) -> Column:
+    """Algorithm (0) or run suffix (1) of a rule, from its order."""
+    return F.element_at(F.array(*[F.lit(rule[part]) for rule in RULES]), F.col("logged_order"))
+
+
 RULE_SCORES_SQL = """
 lines AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END label,
                  CAST(l_suppkey AS VARCHAR) s FROM lineitem WHERE l_returnflag IN ('A', 'R')),
@@ -327,15 +329,16 @@ rule_scores AS (
     UNION ALL SELECT label, 'supplier-' || s, 'run-' || s || '-t', 'Tax Rule', 3, l_tax * 12.5::DOUBLE FROM lines))
 """
 
-RUN_KEYS = ["name", "run_id", "algorithm", "logged_order"]
-
-
 def supplier_runs(spark: SparkSession, sf: str) -> DataFrame:
     """One row per run with the six recorded metrics."""
-    out = evaluate_groups(rule_scores(spark, sf), "score", "label", RUN_KEYS)
+    out = evaluate_groups(rule_scores(spark, sf), "score", "label", ["l_suppkey", "logged_order"])
     rows = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+    supplier = F.col("l_suppkey").cast("string")
     return out.select(
-        *RUN_KEYS, (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days="logged_order")).alias("created_at"),
+        F.concat(F.lit("supplier-"), supplier).alias("name"),
+        F.concat(F.lit("run-"), supplier, F.lit("-"), rule_name(1)).alias("run_id"),
+        rule_name(0).alias("algorithm"), "logged_order",
+        (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days="logged_order")).alias("created_at"),
         F.round("auc_roc", 9).alias("auc_roc"), F.round("accuracy", 9).alias("accuracy"),
         F.round("weighted_precision", 9).alias("precision"), F.round("weighted_recall", 9).alias("recall"),
         F.round("weighted_f1", 9).alias("f1_score"), (rows / F.lit(1000.0)).alias("training_duration_seconds"))
