@@ -88,7 +88,7 @@ def avg_latency(log: DataFrame, range: str, step: str, by: Sequence[str] = (), t
     """Sum of latencies over their count, per trailing range."""
     sums = {"n": _one(F.col(value).isNotNull()), "latency_sum": F.col(value)}
     out = trailing(log, sums, range, step, by, ts)
-    return out.withColumn("avg_latency", F.when(F.col("n") > 0, F.col("latency_sum") / F.col("n")))
+    return out.withColumn("avg_latency", F.when(F.col("n") > 0, F.col("latency_sum").cast("double") / F.col("n")))
 
 
 def prediction_counts(log: DataFrame, prediction: str = "churn_prediction") -> DataFrame:

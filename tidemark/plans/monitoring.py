@@ -76,11 +76,12 @@ def total_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("avg_latency", with_sql(_ranged(5 * HOUR, HOUR)) + """
-SELECT window_start, handler, count(*) n, round(sum(latency_s), 6) latency_sum, round(avg(latency_s), 10) avg_latency
+SELECT window_start, handler, count(*) n, sum(CAST(latency_s AS DECIMAL(10,4)))::DOUBLE latency_sum, sum(CAST(latency_s AS DECIMAL(10,4)))::DOUBLE / count(*) avg_latency
 FROM ranged GROUP BY ALL""")
 def avg_latency(spark: SparkSession, sf: str) -> DataFrame:
-    out = mon.avg_latency(live(spark, sf), "5 hours", "1 hour", ["handler"])
-    return out.withColumns({"latency_sum": F.round("latency_sum", 6), "avg_latency": F.round("avg_latency", 10)})
+    log = live(spark, sf).withColumn("latency_s", F.col("latency_s").cast("decimal(10,4)"))
+    return mon.avg_latency(log, "5 hours", "1 hour", ["handler"]).withColumn(
+        "latency_sum", F.col("latency_sum").cast("double"))
 
 
 @query("prediction_counts", with_sql(LOG_SQL) + """
