@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -16,6 +16,22 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def arrow_input(docs: DataFrame, keep: tuple[str, ...], text: str) -> tuple[DataFrame, str, int]:
+    """The kept columns as k0, k1, ..., the text if it is not among them, their schema, and the text's place."""
+    cols = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    place = keep.index(text) if text in keep else len(keep)
+    taken = docs.select(*cols, *([] if text in keep else [F.col(text).alias("t")]))
+    return taken, "".join(f"k{i} {taken.schema[f'k{i}'].dataType.simpleString()}, " for i in range(len(keep))), place
+
+
+def arrow_output(batch, kept: int, added: list):
+    """The first ``kept`` columns of a batch and the added ones (p0, p1, ...)."""
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([*batch.columns[:kept], *added],
+                                      [*(f"k{i}" for i in range(kept)), *(f"p{i}" for i in range(len(added)))])
+
+
 def size_of(text: str) -> Column:
     """UTF-8 bytes of a text column; null has none."""
     return F.coalesce(F.octet_length(text).cast("long"), F.lit(0).cast("long"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import slots
+from pyspark.sql import functions as F
+
+from tidemark.llm import langid, slots
+from tidemark.llm.common import crc_bucket
 
 QUERIES, SQL = {}, {}
 
@@ -20,6 +23,13 @@ def query(name, sql=None):
     return add
 
 
+@query("op2_language_id")
+def language_id(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang", (crc_bucket("doc_id", 4) == 2).alias("held_out"))
+    model = langid.train(docs.where("NOT held_out"))
+    return langid.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 @query("op4_virtual_slots")
 def virtual_slots(spark, sf):
     return slots.shard(_table(spark, sf, "documents"), 8)
