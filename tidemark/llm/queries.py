@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, slots
+from tidemark.llm import langid, slots, toxicity
 from tidemark.llm.common import crc_bucket
 
 QUERIES, SQL = {}, {}
@@ -30,6 +30,13 @@ def language_id(spark, sf):
     return langid.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+@query("op8_toxicity")
+def toxic(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang", (crc_bucket("doc_id", 5) == 0).alias("held_out"))
+    model = toxicity.train(docs.where("NOT held_out"), _table(spark, sf, "labels").where(crc_bucket("doc_id", 5) != 0))
+    return toxicity.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 @query("op4_virtual_slots")
 def virtual_slots(spark, sf):
     return slots.shard(_table(spark, sf, "documents"), 8)
