@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, slots, toxicity
+from tidemark.llm import langid, near_dedup, slots, toxicity
 from tidemark.llm.common import crc_bucket
 
 QUERIES, SQL = {}, {}
@@ -40,3 +40,8 @@ def toxic(spark, sf):
 @query("op4_virtual_slots")
 def virtual_slots(spark, sf):
     return slots.shard(_table(spark, sf, "documents"), 8)
+
+
+@query("op10_near_dedup")
+def near_dedup_tensored(spark, sf):
+    return near_dedup.near_duplicates(_table(spark, sf, "documents"))
