@@ -9,7 +9,7 @@ A table key is formed in two steps: classes of texts are grouped by ``u_i`` firs
 two or more go on to ``v_j``. Candidates then come in rounds: in a few star rounds every member of a
 group is compared with one centre, links are joined into components, and groups that lie in one
 component are done. What is left is compared pair by pair, but only pairs of different components
-that share a full key (i, j). No pair inside a component is ever made, and none is dropped.
+that share a full key (i, j) and pass exact bounds on their overlap. No pair inside a component is made.
 """
 
 from __future__ import annotations
@@ -176,65 +176,114 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                    & agrees(0) & agrees(SIDE * DEEP)).select("a", "b"))
 
 
-def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Confirmed links (a, b) between classes, enough to connect what is connected, and labels (cid, label).
+def _join_up(labels: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """Labels after more links; the labels so far stand for the earlier ones."""
+    known = [] if labels is None else [labels.select(F.col("cid").alias("a"), F.col("label").alias("b"))]
+    for more in known:
+        fresh = fresh.union(more)
+    return components(fresh)
 
-    ``texts_of(ids)`` gives (cid, text) for a table of class ids.
+
+def _unfinished(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (u, cid, label) of the groups that hold two components or more."""
+    labelled = materialize(members.join(labels, "cid", "left")
+                           .select("u", "cid", F.coalesce("label", "cid").alias("label")), "near-labelled")
+    mixed = labelled.groupBy("u").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return materialize(labelled.join(mixed.select("u"), "u", "left_semi"), "near-open")
+
+
+def _star(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of each member and its group's centre (u, c, lc), where their labels differ."""
+    return (members.join(centres, "u").where("label <> lc")
+            .select(F.least("cid", "c").alias("a"), F.greatest("cid", "c").alias("b")).distinct())
+
+
+def _rare_first(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cid, size, common, prefix) of the members: how many shingles of a set occur in another one as well, and
+    its rarest ones as (n, s), so many that two sets of the wanted similarity share one of them.
+
+    Sets with too few common shingles for any link are left out (overlap >= percent * larger set).
+    """
+    each = sets.join(members.select("cid").distinct(), "cid", "left_semi").select("cid", F.explode("shingles").alias("s"))
+    each = each.join(each.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "s")
+    sizes = each.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("n", "s"))).alias("r"),
+                                    F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("common"))
+    sizes = sizes.withColumn("size", F.size("r").cast("long")).where(100 * F.col("common") >= percent * F.col("size"))
+    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    return sizes.select("cid", "size", "common", F.slice("r", 1, length.cast("int")).alias("prefix"))
+
+
+def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int = 2) -> DataFrame | None:
+    """Labels (cid, label) of the classes that have a link; None without a candidate.
+
+    ``texts_of(ids)`` gives (cid, text) for a table of class ids. The rounds:
+
+    1. ``star_rounds`` times, an arbitrary member of each group is its centre.
+    2. For the groups that still hold several components, count in how many texts of such groups each
+       shingle occurs. Texts with too few shingles in common with any other are done.
+    3. The member with the largest share of common shingles is the centre: in a crowd of edited copies it
+       is the copy edited least, and nearly all that have links have one to it.
+    4. Every pair of different components that shares one of its rarest shingles, within exact bounds.
+
+    Candidates of every round must also share a table key (``_plausible``).
     """
-    spark = classes.sparkSession
     tables = classes.select("cid", F.explode(_triples(0)).alias("u"))
     shared = tables.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
     members = materialize(tables.join(shared, "u", "left_semi"), "near-members")
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "cid long, label long")
-    if members.isEmpty():
-        return links, labels
-    sets = materialize(full_sets(texts_of(members.select("cid").distinct())), "near-sets")
-    found = None
-    open_groups = members.withColumn("label", F.col("cid"))
-    for turn in range(star_rounds + 1):
-        groups = open_groups.groupBy("u").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                              F.min(F.col("cid").bitwiseXOR(F.lit(turn * 0x5851F42D4C957F2D & (1 << 63) - 1)))
-                                              .alias("centre")).where("low < high")
-        if turn < star_rounds:
-            centres = groups.select("u", F.col("centre").bitwiseXOR(F.lit(turn * 0x5851F42D4C957F2D & (1 << 63) - 1)).alias("c"))
-            pairs = (open_groups.join(centres, "u").where("cid <> c")
-                     .select(F.least("cid", "c").alias("a"), F.greatest("cid", "c").alias("b")).distinct())
-        else:
-            pairs = _remaining_pairs(open_groups.join(groups.select("u"), "u", "left_semi"), classes)
-        if turn:
-            pairs = (pairs.join(labels.select(F.col("cid").alias("a"), F.col("label").alias("la")), "a", "left")
-                     .join(labels.select(F.col("cid").alias("b"), F.col("label").alias("lb")), "b", "left")
-                     .where("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"))
-        fresh = materialize(_confirm(_plausible(pairs, classes, percent), sets, percent), "near-links")
-        if fresh.isEmpty():
-            if turn == star_rounds:
-                break
-            continue
-        found = fresh if found is None else found.union(fresh)
-        # joined labels stand for all earlier links
-        again = fresh if turn == 0 else fresh.union(labels.select(F.col("cid").alias("a"), F.col("label").alias("b")))
-        labels = components(again)
-        if turn < star_rounds:
-            open_groups = materialize(
-                members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")), "near-open")
-            mixed = open_groups.groupBy("u").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-            open_groups = materialize(open_groups.join(mixed.select("u"), "u", "left_semi"), "near-open")
-            if open_groups.isEmpty():
-                break
-    return (links if found is None else found), labels
-
-
-def _remaining_pairs(groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Distinct pairs of different labels that share a whole key (u_i, v_j)."""
-    wide = (groups.join(classes.select("cid", _triples(1).alias("vs")), "cid")
-            .select("cid", "label", "u", F.explode("vs").alias("v"))
-            .select(F.xxhash64("u", "v").alias("t"), "cid", "label"))
-    mixed = wide.groupBy("t").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("t")
-    rows = materialize(wide.join(mixed, "t", "left_semi"), "near-tables")
-    other = rows.select("t", F.col("cid").alias("b"), F.col("label").alias("lb"))
-    return (rows.join(other, "t").where("cid < b AND label <> lb")
-            .select(F.col("cid").alias("a"), "b").distinct())
+    ids = materialize(members.select("cid").distinct(), "near-ids")
+    if ids.isEmpty():
+        return None
+    sets = materialize(full_sets(texts_of(ids)), "near-sets")
+    side = materialize(classes.join(ids, "cid", "left_semi").select("cid", "n_shingles", "sig"), "near-side")
+
+    def confirmed(pairs):
+        return materialize(_confirm(_plausible(pairs, side, percent), sets, percent), "near-links")
+
+    labels, left = None, members.withColumn("label", F.col("cid"))
+    for turn in range(star_rounds):
+        mask = F.lit(turn * 0x5851F42D4C957F2D & (1 << 63) - 1)
+        centres = left.groupBy("u").agg(F.min(F.col("cid").bitwiseXOR(mask)).bitwiseXOR(mask).alias("c"))
+        centres = centres.join(left.select("u", F.col("cid").alias("c"), F.col("label").alias("lc")), ["u", "c"])
+        fresh = confirmed(_star(left, centres))
+        if not fresh.isEmpty():
+            labels = _join_up(labels, fresh)
+        if labels is not None:
+            left = _unfinished(left.select("u", "cid"), labels)
+        if left.isEmpty():
+            return labels
+    rare = materialize(_rare_first(left, sets, percent), "near-rare")
+    best = left.join(rare.select("cid", "size", "common"), "cid").groupBy("u").agg(F.min(F.struct(
+        (1 - F.col("common") / F.col("size")).alias("share"), "cid", "label")).alias("best"))
+    fresh = confirmed(_star(left.join(rare.select("cid"), "cid"),
+                            best.select("u", F.col("best.cid").alias("c"), F.col("best.label").alias("lc"))))
+    if not fresh.isEmpty():
+        labels = _join_up(labels, fresh)
+    if labels is not None:
+        left = _unfinished(left.select("u", "cid"), labels)
+    fresh = confirmed(_remaining_pairs(left, rare, percent))
+    return labels if fresh.isEmpty() else _join_up(labels, fresh)
+
+
+def _remaining_pairs(left: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of different labels that may reach the similarity.
+
+    They share one of their rarest shingles, their sizes allow it, and so does the number of shingles that
+    follow the shared one in both (all exact bounds). For each shingle the members of its most frequent
+    label meet only those of other labels, so the copies of one component never meet each other.
+    """
+    rows = materialize(left.select("cid", "label").distinct().join(rare, "cid").select(
+        "cid", "label", "size", F.posexplode("prefix").alias("at", "e")).where("e.n > 1")
+        .select("cid", "label", F.col("e.s").alias("s"), "size", (F.col("size") - F.col("at")).alias("rest")), "near-prefix")
+    main = (rows.groupBy("s", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("s")
+            .agg(F.max(F.struct("n", "label")).alias("top"), F.min("label").alias("low"), F.max("label").alias("high"))
+            .where("low < high").select("s", F.col("top.label").alias("main")))
+    rows = materialize(rows.join(main, "s"), "near-prefix")
+    x, y = rows.where("label <> main").alias("x"), rows.alias("y")
+    return (x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.label") != F.col("y.label"))
+                   & ((F.col("y.label") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid")))
+                   & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size"))
+                   & ((100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.size") + F.col("y.size"))))
+            .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75,
@@ -268,8 +317,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         same = source["doc_id"].eqNullSafe(wanted["doc_id"]) & (source["text_key"] == wanted["text_key"])
         return source.join(wanted, same).groupBy("cid").agg(F.first("text").alias("text"))  # rows may repeat
 
-    _, labels = find_links(classes, texts_of, percent)
-    named = classes.select("cid", "rep").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    labels = find_links(classes, texts_of, percent)
+    named = classes.select("cid", "rep")
+    named = named.withColumn("label", F.col("cid")) if labels is None else \
+        named.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     low = named.groupBy("label").agg(F.min("rep").alias("component"))
     of_class = named.join(low, "label").select(F.col("cid"), "component")
     rows = prints.select("doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, cid).alias("cid"))
