@@ -183,8 +183,6 @@ class Benchmark:
             index = build(block.value, self.window)
             if len(self.blocks) == 1:
                 cache[k] = index
-            else:
-                block.unpersist_worker = None
             yield index
 
 

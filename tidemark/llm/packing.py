@@ -14,7 +14,9 @@ powers of two, which need no padding.
 from __future__ import annotations
 
 import base64
+import sys
 import zlib
+from array import array
 
 import numpy as np
 from pyspark import TaskContext
@@ -25,8 +27,7 @@ from tidemark.llm.common import small_batches
 TOKENS = 1024
 SEGMENTS = 256
 GROUP = 4096
-#: Texts whose white space stands alone between other characters can be cut at the blanks.
-_CACHE_WORDS = 400_000
+CACHE_WORDS = 400_000
 
 
 class Packer:
@@ -122,15 +123,18 @@ class Packer:
 
 
 class Words(dict):
-    """Token ids of text between blanks, as little-endian 32-bit numbers, made on first use."""
+    """Token ids of the text between blanks (which includes the blank), made on first use."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(self) < _CACHE_WORDS and len(word) < 64:
+        if word[-1] in ".,;:!?|" and word[-2:-1].isalpha():  # letters and other marks are separate pieces
+            ids = self[word[:-1]] + self.encode(word[-1])
+        else:
+            ids = self.encode(word if word[0] == "\n" else " " + word)
+        if len(self) < CACHE_WORDS and len(word) < 64:
             self[word] = ids
         return ids
 
@@ -139,35 +143,33 @@ class Tokenizer:
     """Ids of the public byte-level BPE, as bytes of little-endian unsigned 32-bit numbers.
 
     ``ranks`` is the same vocabulary in the form of ranks, whose ids are equal (tests compare them with
-    the ids of the tokenizers file). A blank between two characters that are no white space always begins
-    a new piece, so such texts are cut at their blanks and each distinct word is encoded once.
+    the ids of the tokenizers file). A blank or line end between two characters that are no white space
+    always begins a new piece, so a text without other white space is cut there and each distinct word is
+    encoded once; any other text is encoded in one go.
     """
 
     def __init__(self, ranks: str | None = None):
-        import re
-
         import public_tokenizers
         import tiktoken
 
         with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.plain = lambda text: np.asarray(own.encode_ordinary(text), "<u4").tobytes()
-        self.words = Words(self.plain)
-        self.blank = re.compile(r"\s\s|^\s|\s$")
+
+        def plain(text: str) -> bytes:
+            ids = array("I", own.encode_ordinary(text))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            return ids.tobytes()
+
+        self.plain, self.words = plain, Words(plain)
 
     def encode(self, text: str) -> bytes:
-        out, at = [], 0
-        # runs of white space stay together with their neighbours; everything between them is cut at blanks
-        for run in self.blank.finditer(text) if self.blank.search(text) else ():
-            out, at = None, run.start()
-            break
-        if out is None:
+        flat = text.replace("\n", " ")
+        if not flat.isprintable() or "  " in flat or not flat or flat[0] == " " or flat[-1] == " ":
             return self.plain(text)
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        return self.words[first] + b"".join(map(self.words.__getitem__, [" " + w for w in rest]))
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return self.plain(first) + b"".join(map(self.words.__getitem__, rest))
 
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens: int = TOKENS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, near_dedup, slots, toxicity
+from tidemark.llm import decontaminate, langid, near_dedup, packing, slots, toxicity, warc
 from tidemark.llm.common import crc_bucket
 
 QUERIES, SQL = {}, {}
@@ -23,6 +23,11 @@ def query(name, sql=None):
     return add
 
 
+@query("op1_warc_index")
+def warc_index(spark, sf):
+    return warc.archive_and_read(spark, _table(spark, sf, "pages"))
+
+
 @query("op2_language_id")
 def language_id(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "lang", (crc_bucket("doc_id", 4) == 2).alias("held_out"))
@@ -37,6 +42,17 @@ def toxic(spark, sf):
     return toxicity.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+@query("op3_decontamination")
+def decontamination(spark, sf):
+    return decontaminate.contamination(_table(spark, sf, "documents"),
+                                       decontaminate.Benchmark(_table(spark, sf, "benchmark")))
+
+
+@query("op7_vector_packing")
+def vector_packing(spark, sf):
+    return packing.pack_documents(_table(spark, sf, "documents"))
+
+
 @query("op4_virtual_slots")
 def virtual_slots(spark, sf):
     return slots.shard(_table(spark, sf, "documents"), 8)
