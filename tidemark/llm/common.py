@@ -47,6 +47,28 @@ def int_array(values) -> Column:
     return F.expr(f"array({','.join(f'{int(v)}L' for v in values)})")
 
 
+def maybe_in(rows: DataFrame, column: str, keys: DataFrame, flag: str, most_bits: int = 1 << 27) -> DataFrame:
+    """``rows`` with a boolean ``flag``: false only where ``column`` is surely not among the one-column ``keys``.
+
+    A bitmap of hashed keys, 16 bits a key and ``most_bits`` (16 MB) at most, is sent to all tasks. It only
+    saves moving rows that need no exact join; when it fills up, more rows are flagged and none is lost.
+    """
+    page = 1 << 15
+    pages = min(most_bits // page, 16 * keys.count() // page + 1)
+
+    def spot(name):
+        return F.pmod(F.xxhash64(F.lit(5), F.col(f"`{name}`")), F.lit(pages * page))
+
+    maps = (keys.select(spot(keys.columns[0]).alias("_h"))
+            .groupBy((F.col("_h") / page).cast("long").alias("_page"))
+            .agg(F.bitmap_construct_agg(F.col("_h") % page).alias("_bits")))
+    bit = F.expr("(shiftright(cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int), "
+                 "cast(_at % 8 as int)) & 1) = 1")
+    return (rows.withColumn("_page", (spot(column) / page).cast("long")).withColumn("_at", spot(column) % page)
+            .join(F.broadcast(maps), "_page", "left").withColumn(flag, F.coalesce(bit, F.lit(False)))
+            .select(*[F.col(f"`{c}`") for c in rows.columns], flag))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit values."""
     x = x ^ (x >> np.uint64(31))

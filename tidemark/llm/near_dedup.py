@@ -19,7 +19,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, WordHasher, mix64, small_batches, text_buffers
+from tidemark.llm.common import ASCII_LOWER, WordHasher, maybe_in, mix64, small_batches, text_buffers
 from tidemark.sources.sinks import materialize
 
 SHINGLE = 5
@@ -313,9 +313,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     source = docs.select(F.col(key).alias("doc_id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
 
     def texts_of(ids):
-        wanted = classes.join(ids, "cid", "left_semi").select("cid", F.col("rep").alias("doc_id"), "text_key")
-        same = source["doc_id"].eqNullSafe(wanted["doc_id"]) & (source["text_key"] == wanted["text_key"])
-        return source.join(wanted, same).groupBy("cid").agg(F.first("text").alias("text"))  # rows may repeat
+        wanted = materialize(classes.join(ids, "cid", "left_semi")
+                             .select("cid", F.col("rep").alias("doc_id"), "text_key"), "near-wanted")
+        near = maybe_in(source, "text_key", wanted.select("text_key"), "maybe").where("maybe")
+        same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["text_key"] == wanted["text_key"])
+        return near.join(wanted, same).groupBy("cid").agg(F.first("text").alias("text"))  # rows may repeat
 
     labels = find_links(classes, texts_of, percent)
     named = classes.select("cid", "rep")
@@ -328,3 +330,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     return rows.join(of_class, "cid", "left").select(
         F.col("doc_id").alias(names[0]), F.col("n_shingles").alias(names[1]), component.alias(names[2]),
         F.col("doc_id").eqNullSafe(component).alias(names[3]), F.col("text_key").alias(names[4]))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: one document of each component stays, and one of rows that
+    repeat key and text. Columns are those of ``docs``; only rows that may go are moved between tasks."""
+    marks = materialize(near_duplicates(docs, key, text, percent), "near-marks")
+    gone = marks.where("NOT kept").select("doc_id", "text_key").distinct()
+    repeated = marks.where("kept").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    tagged = docs.withColumns({"_tm_key": F.col(key), "_tm_text": _text_key(text)})
+    flagged = maybe_in(tagged, "_tm_text", gone.union(repeated).select("text_key"), "_tm_maybe")
+    doubtful = flagged.where("_tm_maybe")
+    same = F.col("_tm_key").eqNullSafe(F.col("doc_id_gone")) & (F.col("_tm_text") == F.col("text_key_gone"))
+    left = doubtful.join(gone.toDF("doc_id_gone", "text_key_gone"), same, "left_anti")
+    if not repeated.isEmpty():
+        left = left.dropDuplicates(["_tm_key", "_tm_text"])
+    return flagged.where("NOT _tm_maybe").select(*columns).union(left.select(*columns))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, near_dedup, packing, slots, toxicity, warc
+import corpus_pipeline
+from tidemark.llm import (decontaminate, extract, langid, licences, near_dedup, packing, quartile_digest, slots, toxicity,
+                          warc)
 from tidemark.llm.common import crc_bucket
 
 QUERIES, SQL = {}, {}
@@ -48,6 +50,45 @@ def decontamination(spark, sf):
                                        decontaminate.Benchmark(_table(spark, sf, "benchmark")))
 
 
+@query("op5_quartile_digest")
+def fingerprints(spark, sf):
+    return quartile_digest.compare_with_next(_table(spark, sf, "documents"))
+
+
+def _licence_sql() -> str:
+    """Lines are cut first here and words looked up one by one; the constants are the fixed tables."""
+    def quoted(x):
+        return "'" + x.replace("'", "''") + "'"
+
+    words = " ".join(f"WHEN {quoted(v)} THEN {quoted(k)}" for v, k in licences.SPELLINGS)
+    known = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in licences.KNOWN)
+    clean = r"""list_transform(string_split(lower(text), chr(10)), l ->
+        CASE WHEN regexp_matches(l, '^[ \t\r\f]*(copyright|\(c\)|©|all rights reserved)') THEN ''
+             ELSE array_to_string(list_transform(list_filter(string_split(regexp_replace(l, '[^\p{L}\p{N}]+', ' ', 'g'), ' '),
+                  w -> w <> ''), w -> CASE w WORDS ELSE w END), ' ') END)""".replace("WORDS", words)
+    joined = "array_to_string(list_filter(lines, l -> l <> ''), ' ')"
+    return f"""WITH known AS (
+      SELECT min(licence) AS licence, md5({joined}) AS digest
+      FROM (SELECT licence, {clean} AS lines FROM (VALUES {known}) k(licence, text)) GROUP BY 2),
+    docs AS (SELECT row_number() OVER () AS r, doc_id, {clean} AS lines FROM documents),
+    notices AS (SELECT r, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS line_licences
+      FROM (SELECT r, unnest(lines) AS line FROM docs) JOIN known ON md5(line) = digest WHERE line <> '' GROUP BY r)
+    SELECT doc_id, CASE WHEN lines IS NOT NULL THEN md5({joined}) END AS canonical_md5, licence AS text_licence,
+      coalesce(n, 0) AS n_notices, line_licences
+    FROM docs LEFT JOIN notices USING (r)
+    LEFT JOIN known ON digest = CASE WHEN lines IS NOT NULL THEN md5({joined}) END"""
+
+
+@query("op6_licence_digests", _licence_sql())
+def licence_digests(spark, sf):
+    return licences.scan(_table(spark, sf, "documents"))
+
+
+@query("op9_main_text")
+def main_text(spark, sf):
+    return extract.extract(_table(spark, sf, "pages"))
+
+
 @query("op7_vector_packing")
 def vector_packing(spark, sf):
     return packing.pack_documents(_table(spark, sf, "documents"))
@@ -61,3 +102,8 @@ def virtual_slots(spark, sf):
 @query("op10_near_dedup")
 def near_dedup_tensored(spark, sf):
     return near_dedup.near_duplicates(_table(spark, sf, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
