@@ -62,11 +62,11 @@ def _licence_sql() -> str:
 
     words = " ".join(f"WHEN {quoted(v)} THEN {quoted(k)}" for v, k in licences.SPELLINGS)
     known = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in licences.KNOWN)
-    clean = r"""list_transform(string_split(lower(text), chr(10)), l ->
+    clean = r"""list_transform(string_split(lower(text), chr(10)), lambda l:
         CASE WHEN regexp_matches(l, '^[ \t\r\f]*(copyright|\(c\)|©|all rights reserved)') THEN ''
              ELSE array_to_string(list_transform(list_filter(string_split(regexp_replace(l, '[^\p{L}\p{N}]+', ' ', 'g'), ' '),
-                  w -> w <> ''), w -> CASE w WORDS ELSE w END), ' ') END)""".replace("WORDS", words)
-    joined = "array_to_string(list_filter(lines, l -> l <> ''), ' ')"
+                  lambda w: w <> ''), lambda w: CASE w WORDS ELSE w END), ' ') END)""".replace("WORDS", words)
+    joined = "array_to_string(list_filter(lines, lambda l: l <> ''), ' ')"
     return f"""WITH known AS (
       SELECT min(licence) AS licence, md5({joined}) AS digest
       FROM (SELECT licence, {clean} AS lines FROM (VALUES {known}) k(licence, text)) GROUP BY 2),
