@@ -124,7 +124,7 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | DataFrame | None = None
     table = known_digests(docs.sparkSession, known)
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("_text"), canonical_lines(F.col(text)).alias("_lines"))
     flat = rows.select("doc_id", "_text", F.md5(whole(F.col("_lines")).cast("binary")).alias("canonical_md5"),
-                       F.filter(F.transform(F.split("_lines", "\n"), F.trim), lambda x: x != "").alias("_each"))
+                       F.filter(F.transform(F.split("_lines", "\n"), lambda x: F.trim(x)), lambda x: x != "").alias("_each"))
     notices = (flat.select("doc_id", "_text", F.posexplode("_each").alias("at", "line"))
                .select("doc_id", "_text", "at", F.md5(F.col("line").cast("binary")).alias("digest"))
                .join(table, "digest").select("doc_id", "_text", "at", "licence").distinct()
