@@ -84,7 +84,7 @@ def test_archive_is_plain_gzip_of_records():
 
 def test_url_keys():
     assert warc.url_key("https://www.Example.com:443/p?b=1&a=2#x") == "com,example)/p?a=2&b=1"
-    assert warc.url_key("http://a.example.com:8080") == "com,example,a):8080)/"
+    assert warc.url_key("http://a.example.com:8080") == "com,example,a:8080)/"
     assert warc.url_key(None) == warc.url_key("") == ""
 
 

@@ -93,13 +93,13 @@ def test_long_text_equals_its_segments(spark):
 
 
 def test_toxicity_held_out(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = queries.QUERIES["op8_toxicity"](spark, sf).collect()
     assert all(r.held_out == (_bucket(r.doc_id, 5) == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     marked = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and truth.get(r.doc_id) is not None]
-    assert np.mean([p == t for p, t in marked]) > 0.9
-    assert all(p for p, t in marked if t)
+    assert np.mean([p == t for p, t in marked]) > 0.98
+    assert np.mean([p for p, t in marked if t]) > 0.95
 
 
 def test_toxicity_odd_rows(spark, odd):

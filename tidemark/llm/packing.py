@@ -38,33 +38,35 @@ class Packer:
         self.cut = cut
         self.next = 0
 
-    def _size(self, free: np.ndarray) -> int:
-        """Tokens of a cut piece that the free space allows."""
-        return int(min(free[0], free[2])) if free[1] >= 1 else 0
+    @staticmethod
+    def _most(free: np.ndarray, share: float) -> int:
+        """Tokens of a piece that the free space allows, when ``share`` of them bear loss."""
+        return int(min(free[0], free[2] // share if share else free[0]))
 
-    def whole(self, length: int, loss: bool = True) -> int:
-        """Tokens that one sequence takes of a long example."""
-        return int(min(self.limits[0], self.limits[2] if loss else self.limits[0]))
+    @property
+    def whole(self) -> int:
+        """Tokens that one sequence takes of a long example whose tokens all bear loss."""
+        return self._most(self.limits, 1.0)
 
     def pack(self, lengths: list[int], loss: list[int], tail: str = "pad") -> list[tuple[int, int, int, int, int]]:
         """Pieces of the examples, in sequences numbered on from earlier calls.
 
-        ``loss`` counts each example's loss-bearing tokens; a cut shares them out in proportion, rounded up.
+        ``loss`` counts each example's loss-bearing tokens; a piece bears its share of them, rounded up.
         ``tail`` says what becomes of a last sequence that is not full: "pad" leaves it, "binary" cuts it
         into sequences whose lengths are powers of two.
         """
         need = np.array([lengths, np.ones(len(lengths)), loss], np.float64).T.reshape(-1, 3)
         start = np.zeros(len(need), np.int64)
+        share = need[:, 2] / np.maximum(need[:, 0], 1)
         out: list[tuple[int, int, int, int, int]] = []
         for k in range(len(need)):  # whole sequences of the long ones
-            full = int(min(self.limits[0], self.limits[2] if need[k, 2] else self.limits[0]))
-            while self.cut and need[k, 0] > full:
-                share = need[k, 2] / need[k, 0]
+            full = self._most(self.limits, share[k])
+            while self.cut and need[k, 0] > full > 0:
                 out.append((k, int(start[k]), full, self.next, 0))
                 self.next += 1
                 start[k] += full
                 need[k, 0] -= full
-                need[k, 2] = max(0.0, need[k, 2] - np.ceil(share * full)) if share < 1 else need[k, 0]
+                need[k, 2] = np.ceil(share[k] * need[k, 0])
         waiting = np.flatnonzero(need[:, 0] > 0)
         if not self.cut and ((need > self.limits).any()):
             raise ValueError("an example exceeds a limit by itself and cutting is off")
@@ -86,17 +88,15 @@ class Packer:
                     break
                 best = int((demand @ (1 / self.limits)).argmax())
                 k = waiting[best]
-                share = need[k, 2] / need[k, 0]
-                take = int(min(free[0], need[k, 0] - 1, free[2] // share if share else free[0]))
+                take = min(self._most(free, share[k]), int(need[k, 0]) - 1)
                 if take < 1:
                     break
                 pieces.append((int(k), int(start[k]), take, offset))
                 offset += take
-                spent = np.ceil(share * take) if share < 1 else take
-                free -= (take, 1, spent)
+                free -= (take, 1, np.ceil(share[k] * take))
                 start[k] += take
                 need[k, 0] -= take
-                need[k, 2] -= min(spent, need[k, 2])
+                need[k, 2] = np.ceil(share[k] * need[k, 0])
             if not pieces:  # no limit but the loss limit of a fresh sequence can stop here
                 raise ValueError("an example fits into no sequence")
             last = not len(waiting) and offset < self.limits[0]
@@ -192,7 +192,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tok
     def pack(batches):
         tokenizer, packer = Tokenizer(ranks), Packer(tokens, segments, loss)
         base = TaskContext.get().partitionId() << 36
-        whole = packer.whole(tokens)
+        whole = packer.whole
         keys, rests, pieces = [], [], []
 
         def rows():
