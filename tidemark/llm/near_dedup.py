@@ -198,6 +198,14 @@ def _star(members: DataFrame, centres: DataFrame) -> DataFrame:
             .select(F.least("cid", "c").alias("a"), F.greatest("cid", "c").alias("b")).distinct())
 
 
+def _share_whole_key(left: DataFrame, side: DataFrame) -> DataFrame:
+    """Members (u, cid, label) that share a whole table key (u_i, v_j) with a member of another label."""
+    wide = (left.join(side.select("cid", F.explode(_triples(1)).alias("v")), "cid")
+            .select(F.xxhash64("u", "v").alias("t"), "u", "cid", "label"))
+    mixed = wide.groupBy("t").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return materialize(wide.join(mixed.select("t"), "t", "left_semi").select("u", "cid", "label").distinct(), "near-open")
+
+
 def _rare_first(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(cid, size, common, prefix) of the members: how many shingles of a set occur in another one as well, and
     its rarest ones as (n, s), so many that two sets of the wanted similarity share one of them.
@@ -219,8 +227,8 @@ def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int
     ``texts_of(ids)`` gives (cid, text) for a table of class ids. The rounds:
 
     1. ``star_rounds`` times, an arbitrary member of each group is its centre.
-    2. For the groups that still hold several components, count in how many texts of such groups each
-       shingle occurs. Texts with too few shingles in common with any other are done.
+    2. Of the groups that still hold several components, those members go on that share a whole key
+       (u_i, v_j) with another component. Count in how many of these texts each shingle occurs. Texts with too few shingles in common with any other are done.
     3. The member with the largest share of common shingles is the centre: in a crowd of edited copies it
        is the copy edited least, and nearly all that have links have one to it.
     4. Every pair of different components that shares one of its rarest shingles, within exact bounds.
@@ -251,6 +259,9 @@ def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int
             left = _unfinished(left.select("u", "cid"), labels)
         if left.isEmpty():
             return labels
+    left = _share_whole_key(left, side)
+    if left.isEmpty():
+        return labels
     rare = materialize(_rare_first(left, sets, percent), "near-rare")
     best = left.join(rare.select("cid", "size", "common"), "cid").groupBy("u").agg(F.min(F.struct(
         (1 - F.col("common") / F.col("size")).alias("share"), "cid", "label")).alias("best"))
