@@ -37,7 +37,7 @@ def tune(spark, sf: str, algorithm: str) -> float:
     with sp.cached(train) as (kept,):
         kept.count()
         start = time.time()
-        tr.tune(kept, CUSTOMER, tr.algorithms()[algorithm])
+        tr.tune(kept, CUSTOMER, tr.algorithms()[algorithm], partitions=1)
         return time.time() - start
 
 

@@ -56,10 +56,10 @@ def test_valid_row_passes(spark, valid_row):
 
 @pytest.mark.parametrize("change, detail", [
     ({"gender": None}, "gender: Field required"),
-    ({"gender": "Other"}, "gender: Input should be 'Male' or 'Female'"),
-    ({"tenure": -5}, "tenure: Input should be greater than or equal to 0"),
+    ({"gender": "Unknown"}, "gender: Input should be 'Male' or 'Female'"),
+    ({"tenure": -2}, "tenure: Input should be greater than or equal to 0"),
     ({"tenure": 73}, "tenure: Input should be less than or equal to 72"),
-    ({"PaymentMethod": "Bitcoin"}, "PaymentMethod: Input should be 'Electronic check', 'Mailed check', "
+    ({"PaymentMethod": "Barter"}, "PaymentMethod: Input should be 'Electronic check', 'Mailed check', "
                                    "'Bank transfer (automatic)' or 'Credit card (automatic)'"),
     ({"MonthlyCharges": 0.0}, "MonthlyCharges: Input should be greater than 0"),
     ({"SeniorCitizen": 2}, "SeniorCitizen: Input should be 0 or 1"),

@@ -7,7 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidemark.operators import features as fe, importance, scoring, training as tr
+from tidemark.operators import features as fe, importance, scoring, split, training as tr
 from tidemark.sources import models, sinks
 from tidemark.spec import FeatureSpec
 
@@ -116,3 +116,13 @@ def test_work_folder_needs_a_setting_on_a_cluster(spark):
     from tidemark import session
     root = session.work_root(spark)
     assert session.work_dir(spark, "x").startswith(root) and session.work_dir(spark, "x") != session.work_dir(spark, "x")
+
+
+def test_split_uses_the_whole_hash(spark):
+    """A fraction between two percents is kept, and rows without a key go to one side and one fold."""
+    rows = spark.range(20000).selectExpr("id AS k").union(spark.createDataFrame([(None,)] * 5, "k long"))
+    train, test = split.split(rows, 0.996, 42, "k")
+    assert 40 < test.where("k IS NOT NULL").count() < 130 and train.count() + test.count() == 20005
+    assert split.with_split(rows.where("k IS NULL"), "k").select("side").distinct().count() == 1
+    folds = {r["fold"] for r in split.with_folds(rows, "k").where("k IS NULL").collect()}
+    assert len(folds) == 1 and folds <= {0, 1, 2}

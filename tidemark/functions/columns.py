@@ -70,10 +70,16 @@ def status_band(value: Column | str, yellow: float, red: float) -> Column:
             .when(value.isNotNull(), F.lit("green")))
 
 
+def hash32(key: Column | str, seed: int) -> Column:
+    """A number from 0 to 2**32 - 1 that depends only on key and seed, never on partitioning. All null
+    keys share one number."""
+    digest = F.md5(F.concat(F.coalesce(col(key).cast("string"), F.lit("(null)")), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
 def hash_slot(key: Column | str, seed: int, slots: int) -> Column:
-    """Slot 0..slots-1 that depends only on key and seed, never on partitioning."""
-    digest = F.md5(F.concat(col(key).cast("string"), F.lit(str(seed))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(slots)
+    """Slot 0..slots-1 of a key."""
+    return hash32(key, seed) % F.lit(slots)
 
 
 def prefix(c: Column | str, n: int) -> Column:

@@ -7,6 +7,7 @@ predictions`` and, per run, ``artifacts/<run_id>/``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -60,15 +61,21 @@ def write_artifacts(spark: SparkSession, run: tr.TrainedRun, spec: FeatureSpec,
 
 def training_job(rows: DataFrame, spec: FeatureSpec, root: str, name: str,
                  algos: Mapping[str, tr.Algorithm] | None = None, threshold: float = GATE_THRESHOLD,
-                 folds: int = tr.FOLDS) -> DataFrame:
+                 folds: int = tr.FOLDS, tags: Mapping[str, str] | None = None, partitions: int | None = None) -> DataFrame:
     """Profile, split, tune every algorithm, log the runs, register the champion, promote it if it
-    passes the gate. ``rows`` are cleaned and carry ``spec.key``. Returns the promotion decision."""
+    passes the gate. ``rows`` are cleaned and carry ``spec.key``. Rows that no fit can use, for want of a
+    number or the label, are written to the ``quarantine`` table. Returns the promotion decision."""
     spark = rows.sparkSession
+    known = tr.usable(spec) & F.col(spec.label).isNotNull()
+    reason = F.when(F.col(spec.label).isNull(), F.lit("no label")).otherwise("a number is missing")
+    sinks.append(rows.where(~known).select(F.col(spec.key).cast("string").alias("key"), reason.alias("reason")),
+                 f"{root}/quarantine")
+    rows = rows.where(known)
     algos = tr.algorithms() if algos is None else algos
     sinks.write_exploration(exploration_summary(rows.drop(spec.key), spec), f"{root}/exploration")
 
     train, test = split(rows, key=spec.key)
-    done = tr.train_all(train, test, spec, algos, folds)
+    done = tr.train_all(train, test, spec, algos, folds, partitions=partitions)
     wanted = spark.createDataFrame([(a.experiment,) for a in algos.values()], "name string")
     sinks.append(runs.ensure_experiments(stored(spark, root, "experiments"), wanted), f"{root}/experiments")
     for table, part in zip(("run_events", "run_params", "run_metrics"), runs.runs_tables(spark, done)):
@@ -79,7 +86,7 @@ def training_job(rows: DataFrame, spec: FeatureSpec, root: str, name: str,
 
     order = spark.createDataFrame([(r.run_id, i) for i, r in enumerate(done)], "run_id string, logged_order int")
     best = runs.champion(run_table(spark, root).join(order, "run_id"))
-    register(spark, root, name, best)
+    register(spark, root, name, best, tags)
     return promote(spark, root, name, threshold)
 
 
@@ -87,8 +94,8 @@ def run_table(spark: SparkSession, root: str) -> DataFrame:
     return runs.run_view(stored(spark, root, "run_metrics"), stored(spark, root, "run_params"))
 
 
-def register(spark: SparkSession, root: str, name: str, best: DataFrame) -> None:
-    """Register one run as the next version of a model: description, tags, stage Staging."""
+def register(spark: SparkSession, root: str, name: str, best: DataFrame, tags: Mapping[str, str] | None = None) -> None:
+    """Register one run as the next version of a model: description, tags (also the caller's), stage Staging."""
     metrics = [F.col(c) for c in ("algorithm", "auc_roc", "accuracy", "f1_score", "training_duration_seconds")]
     named = best.withColumn("name", F.lit(name))
     sinks.append(reg.ensure_models(stored(spark, root, "models"), named), f"{root}/models")
@@ -98,7 +105,8 @@ def register(spark: SparkSession, root: str, name: str, best: DataFrame) -> None
     sinks.append(version, f"{root}/versions")
     sinks.append(reg.registration_events(version), f"{root}/stage_events")
     tagged = version.join(best.select("run_id", "algorithm", "auc_roc"), "run_id")
-    sinks.append(reg.tag_versions(tagged, reg.standard_tags(F.col("algorithm"), F.col("auc_roc"))), f"{root}/tags")
+    own = {k: F.lit(v) for k, v in (tags or {}).items()}
+    sinks.append(reg.tag_versions(tagged, {**reg.standard_tags(F.col("algorithm"), F.col("auc_roc")), **own}), f"{root}/tags")
 
 
 def _target(spark: SparkSession, name: str, version: int | None) -> DataFrame | None:
@@ -141,7 +149,8 @@ def serving(spark: SparkSession, root: str, stage: str = "Production") -> DataFr
 def score_customers(requests: DataFrame, root: str, name: str, key: str | None = None,
                     log: bool = True) -> DataFrame:
     """Validate request rows and score them with the Production model, or with the rules while
-    there is none. Every row is answered; answers are appended to the prediction log."""
+    there is none. Every row is answered; answers are appended to the prediction log, by date, and the
+    rows returned are the logged ones."""
     spark = requests.sparkSession
     rows = typed(validate(requests, CUSTOMER_FIELDS), CUSTOMER_FIELDS)
     found = models.load_stage_model(stored(spark, root, "versions"), stored(spark, root, "stage_events"), name)
@@ -150,6 +159,10 @@ def score_customers(requests: DataFrame, root: str, name: str, key: str | None =
     else:
         numeric = [f.name for f in CUSTOMER_FIELDS if f.type != "string"]
         out = scoring.score_with_model(rows, found[0], numeric, str(found[1]), key)
-    if log:
-        sinks.append(out.withColumn("ts", _now()), f"{root}/predictions")
-    return out
+    if not log:
+        return out
+    job = uuid.uuid4().hex
+    path = f"{root}/predictions"
+    logged = out.withColumns({"ts": _now(), "job_id": F.lit(job)}).withColumn("date", F.to_date("ts"))
+    sinks.append(logged, path, ("date",))
+    return spark.read.schema(logged.schema).parquet(path).where(F.col("job_id") == job)

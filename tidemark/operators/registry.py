@@ -21,7 +21,7 @@ from tidemark.spec import GATE_THRESHOLD, RUN_METRICS
 STAGES = ("None", "Staging", "Production", "Archived")
 VERSIONS = "name string, version int, run_id string, source string, description string, created_at timestamp"
 STAGE_EVENTS = "name string, version int, stage string, at timestamp, step int"
-TAGS = "name string, version int, key string, value string"
+TAGS = "name string, version int, key string, value string, at timestamp"
 
 # Metrics compared between two versions, and whether larger is better.
 COMPARED = (
@@ -63,16 +63,17 @@ def registration_events(versions: DataFrame, at: str = "created_at") -> DataFram
         "name", "version", "stage", "at", "step")
 
 
-def tag_versions(versions: DataFrame, tags: dict[str, Column]) -> DataFrame:
-    """Tag rows, one per version and key."""
+def tag_versions(versions: DataFrame, tags: dict[str, Column], at: Column | None = None) -> DataFrame:
+    """Tag rows, one per version and key, with the time they were set; a later row replaces an earlier one."""
+    when = F.current_timestamp() if at is None else at
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in tags.items()])
-    return versions.select("name", "version", F.inline(pairs))
+    return versions.select("name", "version", when.cast("timestamp").alias("at"), F.inline(pairs)).select(
+        "name", "version", "key", "value", "at")
 
 
 def standard_tags(algorithm: Column, auc: Column) -> dict[str, Column]:
-    """The five tags put on a champion."""
-    return {"team": F.lit("group-X"), "use_case": F.lit("churn_prediction"),
-            "framework": F.lit("spark_mllib"), "algorithm": algorithm, "auc_roc": fixed(auc, 4)}
+    """Tags that follow from the run of a champion; callers add their own."""
+    return {"framework": F.lit("spark_mllib"), "algorithm": algorithm, "auc_roc": fixed(auc, 4)}
 
 
 def current_stages(events: DataFrame) -> DataFrame:
@@ -136,12 +137,20 @@ def previous_production(events: DataFrame) -> DataFrame:
             .groupBy("name").agg(F.max_by("version", "__last").alias("version")))
 
 
+def unknown_targets(events: DataFrame, targets: DataFrame) -> DataFrame:
+    """Targets (name, version) that were never registered."""
+    return targets.select("name", "version").join(events.select("name", "version"), ["name", "version"], "left_anti")
+
+
 def rollback(events: DataFrame, at: Column, targets: DataFrame | None = None) -> DataFrame:
     """Events that archive the current version and put an earlier one back without a gate.
 
-    ``targets`` (name, version) names the versions; without it the previous one is taken.
+    ``targets`` (name, version) names the versions; without it the previous one is taken. A target that
+    was never registered changes nothing; ``unknown_targets`` lists it.
     """
-    chosen = previous_production(events) if targets is None else targets.select("name", "version")
+    known = events.select("name", "version").distinct()
+    chosen = previous_production(events) if targets is None else (
+        targets.select("name", "version").join(known, ["name", "version"]))
     return _replace_production(current_stages(events), chosen, at)
 
 
@@ -207,10 +216,15 @@ def comparison_verdict(comparison: DataFrame, v1: int, v2: int, states: DataFram
 
 def model_info(versions: DataFrame, events: DataFrame, runs: DataFrame, tags: DataFrame,
                stage: str = "Production", metrics: Sequence[str] = RUN_METRICS) -> DataFrame:
-    """Metadata of the version of each model in a stage: algorithm, metrics, tags, date, text."""
-    serving = latest_version(current_stages(events), stage)
-    tag_map = tags.groupBy("name", "version").agg(
-        F.map_from_entries(F.collect_set(F.struct("key", "value"))).alias("tags"))
+    """Metadata of the version of each model in a stage: algorithm, metrics, tags, dates, text.
+
+    Of a tag set more than once the last value counts; ``since`` is when the version came into the stage.
+    """
+    states = current_stages(events)
+    serving = latest_version(states, stage).join(states.select("name", "version", "since"), ["name", "version"])
+    latest = tags.groupBy("name", "version", "key").agg(F.max_by("value", F.struct("at", "value")).alias("value"))
+    tag_map = latest.groupBy("name", "version").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("tags"))
     metric_map = F.map_filter(
         F.map_from_arrays(F.array(*[F.lit(m) for m in metrics]), F.array(*[F.col(m) for m in metrics])),
         lambda _, v: v.isNotNull())
@@ -219,4 +233,4 @@ def model_info(versions: DataFrame, events: DataFrame, runs: DataFrame, tags: Da
     return rows.select(
         "name", "version", "stage", F.coalesce("algorithm", F.lit("unknown")).alias("algorithm"),
         metric_map.alias("training_metrics"), F.col("created_at").alias("registration_date"),
-        F.coalesce("description", F.lit("")).alias("description"), "tags")
+        F.coalesce("description", F.lit("")).alias("description"), "tags", "since")

@@ -10,18 +10,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.columns import fixed, prefix
+from tidemark.functions.columns import fixed
 from tidemark.operators.training import TrainedRun
 from tidemark.spec import RUN_METRICS, RUN_PARAMS
 
-PARAM_LIMIT = 500
 RUN_EVENTS = "run_id string, experiment_id string, status string, at timestamp"
 PARAMS = "run_id string, key string, value string"
 METRICS = "run_id string, key string, value double"
 
 
 def experiment_id(name: Column) -> Column:
-    return F.substring(F.md5(name), 1, 16)
+    return F.md5(name)
 
 
 def ensure_experiments(existing: DataFrame, names: DataFrame, name: str = "name") -> DataFrame:
@@ -32,8 +31,8 @@ def ensure_experiments(existing: DataFrame, names: DataFrame, name: str = "name"
 
 
 def log_params(params: DataFrame) -> DataFrame:
-    """Parameter rows as stored: text values, cut to the stored length."""
-    return params.select("run_id", "key", prefix(F.col("value").cast("string"), PARAM_LIMIT).alias("value"))
+    """Parameter rows as stored: whole text values, so that a long grid can be read back."""
+    return params.select("run_id", "key", F.col("value").cast("string").alias("value"))
 
 
 def log_metrics(wide: DataFrame, run_id: str = "run_id", names: Sequence[str] = RUN_METRICS) -> DataFrame:
@@ -103,9 +102,9 @@ def champion(runs: DataFrame, by: Sequence[str] = (), metric: str = "auc_roc",
 def describe_run(algorithm: Column, auc: Column, accuracy: Column, f1: Column, seconds: Column) -> Column:
     """Description text of a registered version."""
     return F.concat_ws(
-        " | ", F.concat(F.lit("Champion model: "), algorithm),
-        F.concat(F.lit("AUC-ROC: "), fixed(auc, 4)), F.concat(F.lit("Accuracy: "), fixed(accuracy, 4)),
-        F.concat(F.lit("F1: "), fixed(f1, 4)), F.concat(F.lit("Trained in "), fixed(seconds, 1), F.lit("s")))
+        "; ", F.concat(F.lit("best run by AUC, "), algorithm),
+        F.concat(F.lit("auc "), fixed(auc, 4)), F.concat(F.lit("accuracy "), fixed(accuracy, 4)),
+        F.concat(F.lit("f1 "), fixed(f1, 4)), F.concat(F.lit("fitted in "), fixed(seconds, 1), F.lit(" seconds")))
 
 
 def model_summary(runs: DataFrame, stages: int) -> DataFrame:

@@ -8,13 +8,12 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.columns import hash_slot
+from tidemark.functions.columns import hash32, hash_slot
 
 
 def with_split(df: DataFrame, key: str, fraction: float = 0.8, seed: int = 42) -> DataFrame:
-    """Add ``side`` = train or test from a hash of the key (percent resolution)."""
-    slot = hash_slot(key, seed, 100)
-    return df.withColumn("side", F.when(slot < round(fraction * 100), "train").otherwise("test"))
+    """Add ``side`` = train or test from a hash of the key. Rows without a key fall on one side together."""
+    return df.withColumn("side", F.when(hash32(key, seed) < fraction * 2 ** 32, "train").otherwise("test"))
 
 
 def split(df: DataFrame, fraction: float = 0.8, seed: int = 42,
@@ -30,7 +29,7 @@ def split(df: DataFrame, fraction: float = 0.8, seed: int = 42,
 
 
 def with_folds(df: DataFrame, key: str, k: int = 3, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Fold number 0..k-1 from a hash of the key."""
+    """Fold number 0..k-1 from a hash of the key; rows without a key share a fold."""
     return df.withColumn(out, hash_slot(key, seed + 1, k).cast("int"))
 
 
@@ -40,15 +39,6 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return df.withColumn("__mark", mark).orderBy("__mark", key).limit(n).drop("__mark")
 
 
-ROWS_PER_TASK = 50_000
-
-
-def compact(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Fewer partitions for a small table, so that the many short jobs of an iterative fit do not
-    pay for idle tasks. Never adds partitions: a large table keeps the ones it has."""
-    return df.coalesce(max(1, -(-rows // rows_per_task)))
-
-
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames for repeated reading, release them afterwards; lost blocks are recomputed."""

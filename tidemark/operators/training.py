@@ -14,13 +14,13 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import positive_score
 from tidemark.operators.features import feature_stages
 from tidemark.operators.metrics import evaluate_groups
-from tidemark.operators.split import ROWS_PER_TASK, cached, compact, with_folds
-from tidemark.sources.sinks import materialize
+from tidemark.operators.split import cached, with_folds
+from tidemark.sources.sinks import scratch
 from tidemark.spec import FeatureSpec
 
 FOLDS = 3
@@ -49,26 +49,27 @@ class Tuned:
     fold_auc: list[list[float]] = field(repr=False, default_factory=list)
 
 
-def algorithms(max_iter: int = 100, seed: int = 42) -> dict[str, Algorithm]:
-    """Classifiers, grids and names as tuned by the training job."""
+def algorithms(max_iter: int = 100, seed: int = 42, experiment: str = "tuning") -> dict[str, Algorithm]:
+    """Classifiers and grids as tuned by the training job. Runs are filed under
+    ``experiment`` and the short name of the algorithm."""
     lr = LogisticRegression(labelCol="label", featuresCol="features", maxIter=max_iter)
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", seed=seed)
     gbt = GBTClassifier(labelCol="label", featuresCol="features", seed=seed)
     return {
-        "lr": Algorithm("Logistic Regression", "churn-logistic-regression", lr, (
+        "lr": Algorithm("Logistic Regression", f"{experiment}/lr", lr, (
             ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1, 0.3])
             .addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build())),
-        "rf": Algorithm("Random Forest", "churn-random-forest", rf, (
+        "rf": Algorithm("Random Forest", f"{experiment}/rf", rf, (
             ParamGridBuilder().addGrid(rf.numTrees, [50]).addGrid(rf.maxDepth, [5]).build())),
-        "gbt": Algorithm("Gradient Boosted Trees", "churn-gradient-boosted-trees", gbt, (
+        "gbt": Algorithm("Gradient Boosted Trees", f"{experiment}/gbt", gbt, (
             ParamGridBuilder().addGrid(gbt.maxIter, [20, 50]).addGrid(gbt.maxDepth, [3, 5]).build())),
     }
 
 
-def large_forest_grid(seed: int = 42) -> Algorithm:
+def large_forest_grid(seed: int = 42, experiment: str = "tuning") -> Algorithm:
     """The wider random-forest grid of earlier runs."""
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", seed=seed)
-    return Algorithm("Random Forest", "churn-random-forest", rf, (
+    return Algorithm("Random Forest", f"{experiment}/rf-large", rf, (
         ParamGridBuilder().addGrid(rf.numTrees, [50, 100, 200]).addGrid(rf.maxDepth, [5, 10, 15]).build()))
 
 
@@ -105,15 +106,20 @@ def _grid_aucs(folds: Mapping[int, tuple[DataFrame, DataFrame]], algos: Mapping[
 
 
 def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm], folds: int = FOLDS,
-              parallelism: int = 8, seed: int = 42) -> dict[str, Tuned]:
+              parallelism: int = 8, seed: int = 42, fold_parallelism: int | None = None,
+              partitions: int | None = None) -> dict[str, Tuned]:
     """k-fold cross-validation of several algorithms over the same folds.
 
+    ``fold_parallelism`` folds are prepared and held at a time, all of them unless given: a table that is
+    large for the cluster takes 1. The rows keep their partitions unless ``partitions`` asks for fewer,
+    which spares the many short jobs of a fit on a small table. Neither changes with the number of rows.
+
     The feature stages are fitted on the training part of each fold only. They do not depend
     on the classifier, so each fold is prepared once and every grid point of every algorithm is
     fitted on it. The best point by mean AUC is refitted on all rows.
 
-    Prepared rows are written to the work folder and cached from there: the thousands of short
-    jobs of iterative fits then carry a file scan, not the whole history of the table.
+    Prepared rows are written to the work folder and cached from there, and deleted at the end: the
+    thousands of short jobs of iterative fits then carry a file scan, not the history of the table.
     """
     if spec.key is None:
         raise ValueError("folds are assigned by hashing the key column: set spec.key")
@@ -121,26 +127,25 @@ def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm
     columns = ("features", "label")
     aucs: dict[tuple[str, int, int], float] = {}
     with cached(marked) as (stored,):
-        n = stored.count()
-        rows = compact(stored, n)
-        # A fit on a small table cannot fill the cores, so its folds run side by side.
-        # A large table is prepared one fold at a time, to keep one copy of it in storage.
-        rounds = [list(range(folds))] if n <= ROWS_PER_TASK else [[f] for f in range(folds)]
-
-        def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
-            rest, valid = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
-            prep = Pipeline(stages=feature_stages(spec)).fit(rest)
-            return tuple(materialize(prep.transform(side).select(*columns), "fold") for side in (rest, valid))
+        rows = stored if partitions is None else stored.coalesce(partitions)
+        at_once = fold_parallelism or folds
+        rounds = [list(range(folds))[k:k + at_once] for k in range(0, folds, at_once)]
 
         for chosen in rounds:
             with ExitStack() as held, ThreadPool(len(chosen)) as pool:
+                def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
+                    rest, valid = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+                    prep = Pipeline(stages=feature_stages(spec)).fit(rest)
+                    return tuple(held.enter_context(scratch(prep.transform(side).select(*columns), "fold"))
+                                 for side in (rest, valid))
+
                 sides = pool.map(inheritable_thread_target(train.sparkSession)(prepare), chosen)
                 prepared = {f: held.enter_context(cached(*pair)) for f, pair in zip(chosen, sides)}
                 aucs.update(_grid_aucs(prepared, algos, parallelism))
 
         prep = Pipeline(stages=feature_stages(spec)).fit(rows)
         out = {}
-        with cached(materialize(prep.transform(rows).select(*columns), "prepared")) as (ready,):
+        with scratch(prep.transform(rows).select(*columns), "prepared") as written, cached(written) as (ready,):
             for name, algo in algos.items():
                 scores = [[aucs[name, i, f] for f in range(folds)] for i in range(len(algo.grid))]
                 means = [sum(point) / folds for point in scores]
@@ -151,8 +156,9 @@ def tune_many(train: DataFrame, spec: FeatureSpec, algos: Mapping[str, Algorithm
 
 
 def tune(train: DataFrame, spec: FeatureSpec, algo: Algorithm, folds: int = FOLDS,
-         parallelism: int = 8, seed: int = 42) -> Tuned:
-    return tune_many(train, spec, {"one": algo}, folds, parallelism, seed)["one"]
+         parallelism: int = 8, seed: int = 42, fold_parallelism: int | None = None,
+         partitions: int | None = None) -> Tuned:
+    return tune_many(train, spec, {"one": algo}, folds, parallelism, seed, fold_parallelism, partitions)["one"]
 
 
 def tuning_table(spark: SparkSession, algo: Algorithm, tuned: Tuned) -> DataFrame:
@@ -163,12 +169,21 @@ def tuning_table(spark: SparkSession, algo: Algorithm, tuned: Tuned) -> DataFram
         rows, "algorithm string, point int, params map<string,string>, mean_auc double, chosen boolean")
 
 
-def fit_once(train: DataFrame, spec: FeatureSpec, algo: Algorithm, point: int = 0) -> PipelineModel:
-    """Fit the stages and one grid point of the classifier on all rows."""
+def usable(spec: FeatureSpec) -> Column:
+    """Rows that a fit can use: every number is there. The assembler leaves the others out."""
+    out = F.lit(True)
+    for name in spec.numeric:
+        out = out & F.col(name).isNotNull()
+    return out
+
+
+def fit_once(train: DataFrame, spec: FeatureSpec, algo: Algorithm, point: int = 0,
+             partitions: int | None = None) -> PipelineModel:
+    """Fit the stages and one grid point of the classifier on all rows (``partitions`` as in ``tune_many``)."""
     with cached(train.select(*spec.features, spec.label)) as (stored,):
-        rows = compact(stored, stored.count())
+        rows = stored if partitions is None else stored.coalesce(partitions)
         prep = Pipeline(stages=feature_stages(spec)).fit(rows)
-        with cached(materialize(prep.transform(rows).select("features", "label"), "prepared")) as (ready,):
+        with scratch(prep.transform(rows).select("features", "label"), "prepared") as written, cached(written) as (ready,):
             return PipelineModel(prep.stages + [algo.classifier.fit(ready, algo.grid[point])])
 
 
@@ -203,24 +218,25 @@ class TrainedRun:
 def training_params(algorithm: str, grid: Sequence[Mapping[str, str]], spec: FeatureSpec,
                     training_rows: int, folds: int = FOLDS, fraction: float = 0.8) -> dict[str, str]:
     """The parameters recorded for a run. Folds and split are the values really used."""
-    percent = round(fraction * 100)
     text = " | ".join(", ".join(f"{k}={v}" for k, v in sorted(point.items())) for point in grid)
-    return {"algorithm": algorithm, "num_cv_folds": str(folds), "train_test_split": f"{percent}/{100 - percent}",
+    return {"algorithm": algorithm, "num_cv_folds": str(folds), "train_test_split": f"{100 * fraction:g}/{100 - 100 * fraction:g}",
             "feature_count": str(len(spec.features)), "training_rows": str(training_rows),
             "param_grid_size": str(len(grid)), "param_grid": text}
 
 
 def train_all(train: DataFrame, test: DataFrame, spec: FeatureSpec,
               algos: Mapping[str, Algorithm] | None = None, folds: int = FOLDS,
-              parallelism: int = 8, seed: int = 42) -> list[TrainedRun]:
-    """Tune, refit and evaluate each algorithm on the same cached split."""
+              parallelism: int = 8, seed: int = 42, fold_parallelism: int | None = None,
+              partitions: int | None = None) -> list[TrainedRun]:
+    """Tune, refit and evaluate each algorithm on the same cached split. ``training_rows`` of a run are the
+    rows that the fit used."""
     algos = algorithms() if algos is None else algos
     runs = []
     with cached(train, test) as (tr, te):
-        n = tr.count()
+        n = tr.where(usable(spec)).count()
         for algo in algos.values():
             started = time.time()
-            tuned = tune(tr, spec, algo, folds, parallelism, seed)
+            tuned = tune(tr, spec, algo, folds, parallelism, seed, fold_parallelism, partitions)
             ended = time.time()
             metrics = evaluate(tuned.model, te)
             metrics["training_duration_seconds"] = ended - started

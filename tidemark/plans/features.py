@@ -12,11 +12,15 @@ from tidemark.plans.views import CUSTOMERS_SQL, customers, table, with_sql
 from tidemark.spec import CUSTOMER, CUSTOMER_FIELDS
 
 
+def _hash(key: str, seed: int) -> str:
+    return f"('0x' || substr(md5(CAST({key} AS VARCHAR) || '{seed}'), 1, 8))::BIGINT"
+
+
 def _slot(key: str, seed: int, slots: int) -> str:
-    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '{seed}'), 1, 8))::BIGINT % {slots})"
+    return f"({_hash(key, seed)} % {slots})"
 
 
-_SIDE = f"CASE WHEN {_slot('l_orderkey', 42, 100)} < 80 THEN 'train' ELSE 'test' END"
+_SIDE = f"CASE WHEN {_hash('l_orderkey', 42)} < 0.8 * 4294967296 THEN 'train' ELSE 'test' END"
 
 
 @query("split_counts", f"""

@@ -22,7 +22,7 @@ RUN_COLUMNS = ["run_id", "algorithm", *RUN_METRICS]
 # --- experiments and runs ---------------------------------------------------------------------------
 
 @query("ensure_experiments", """
-SELECT DISTINCT event_type AS name, substr(md5(event_type), 1, 16) experiment_id FROM events
+SELECT DISTINCT event_type AS name, md5(event_type) experiment_id FROM events
 WHERE event_type NOT IN (SELECT DISTINCT event_type FROM events WHERE event_type < 'e')""")
 def ensure_experiments(spark: SparkSession, sf: str) -> DataFrame:
     """Names already present add nothing; the rest get a stable id."""
@@ -45,7 +45,7 @@ def _params(all_runs: DataFrame) -> DataFrame:
     return runs.log_params(all_runs.select("run_id", F.inline(pairs)))
 
 
-@query("log_params", with_sql(_PARAMS_SQL) + 'SELECT run_id, "key", substr("value", 1, 500) AS "value" FROM run_params')
+@query("log_params", with_sql(_PARAMS_SQL) + 'SELECT run_id, "key", "value" FROM run_params')
 def log_params(spark: SparkSession, sf: str) -> DataFrame:
     return _params(runs_table(spark, sf))
 
@@ -60,7 +60,7 @@ def log_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("run_states", with_sql(SUPPLIER_RUNS_SQL) + """
-SELECT run_id, substr(md5(algorithm), 1, 16) experiment_id, 'FINISHED' AS status, created_at started_at,
+SELECT run_id, md5(algorithm) experiment_id, 'FINISHED' AS status, created_at started_at,
        created_at + INTERVAL 90 SECOND ended_at, 90.0::DOUBLE duration_seconds FROM supplier_runs""")
 def run_states(spark: SparkSession, sf: str) -> DataFrame:
     rows = runs_table(spark, sf).withColumn("experiment_id", runs.experiment_id(F.col("algorithm")))
@@ -71,7 +71,7 @@ def run_states(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("run_view", with_sql(SUPPLIER_RUNS_SQL) + f"""
-SELECT run_id, {", ".join(f'"{m}"' for m in RUN_METRICS)}, algorithm, substr(repeat(name || ' | ', 60), 1, 500) param_grid
+SELECT run_id, {", ".join(f'"{m}"' for m in RUN_METRICS)}, algorithm, repeat(name || ' | ', 60) param_grid
 FROM supplier_runs""")
 def run_view(spark: SparkSession, sf: str) -> DataFrame:
     all_runs = runs_table(spark, sf)
@@ -161,19 +161,44 @@ def register_more_versions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tag_versions", with_sql(VERSIONS_SQL.rstrip() + """,
 tagged AS (SELECT v.name, v.version, r.algorithm, printf('%.4f', round(r.auc_roc, 4)) auc FROM versions v JOIN supplier_runs r USING (run_id))""") + """
-SELECT name, version, 'team' AS "key", 'group-X' AS "value" FROM tagged
-UNION ALL SELECT name, version, 'use_case', 'churn_prediction' FROM tagged
+SELECT name, version, 'owner' AS "key", name AS "value" FROM tagged
 UNION ALL SELECT name, version, 'framework', 'spark_mllib' FROM tagged
 UNION ALL SELECT name, version, 'algorithm', algorithm FROM tagged
 UNION ALL SELECT name, version, 'auc_roc', auc FROM tagged""")
 def tag_versions(spark: SparkSession, sf: str) -> DataFrame:
     all_runs = runs_table(spark, sf)
-    return _tags(versions(spark, all_runs), all_runs)
+    return _tags(versions(spark, all_runs), all_runs).drop("at")
 
 
 def _tags(mine: DataFrame, all_runs: DataFrame) -> DataFrame:
     rows = mine.join(all_runs.select("run_id", "algorithm", "auc_roc"), "run_id")
-    return reg.tag_versions(rows, reg.standard_tags(F.col("algorithm"), F.col("auc_roc")))
+    own = {"owner": F.col("name"), **reg.standard_tags(F.col("algorithm"), F.col("auc_roc"))}
+    return reg.tag_versions(rows, own, F.col("created_at"))
+
+
+@query("retag_versions", with_sql(VERSIONS_SQL) + """
+SELECT name, version, name || ' (new)' AS tag_owner, printf('%.4f', round(r.auc_roc, 4)) tag_auc
+FROM versions v JOIN supplier_runs r USING (run_id, name) WHERE version = 3""")
+def retag_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags set a second time replace the first ones; the others stay."""
+    all_runs = runs_table(spark, sf)
+    mine = versions(spark, all_runs)
+    again = reg.tag_versions(mine, {"owner": F.concat("name", F.lit(" (new)"))}, F.col("created_at") + F.expr("interval 1 day"))
+    info = reg.model_info(mine, base_events(mine), all_runs.drop("name", "created_at"), _tags(mine, all_runs).unionByName(again),
+                          "Staging")
+    return info.where("version = 3").select("name", "version", F.col("tags")["owner"].alias("tag_owner"),
+                                            F.col("tags")["auc_roc"].alias("tag_auc"))
+
+
+@query("rollback_unknown", with_sql(DECISIONS_SQL.rstrip()) + """
+SELECT name, 99 AS version FROM decisions WHERE passed""")
+def rollback_unknown(spark: SparkSession, sf: str) -> DataFrame:
+    """Targets that name no version change nothing and are reported."""
+    _, _, base, added = promoted_events(spark, sf)
+    events = base.unionByName(added)
+    targets = added.where("stage = 'Production'").select("name", F.lit(99).alias("version"))
+    untouched = reg.rollback(events, F.lit(ROLLED_BACK), targets).select("name", "version")
+    return reg.unknown_targets(events, targets).unionByName(untouched)
 
 
 @query("current_stages", with_sql(EVENTS_SQL.rstrip() + "," + states_sql("base_events", "states")) + "SELECT * FROM states")
@@ -244,7 +269,7 @@ def rollback(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("model_info", with_sql(DECISIONS_SQL.rstrip() + "," + states_sql("after_promote", "now")) + """
 SELECT n.name, n.version, n.stage, r.algorithm, r.auc_roc, r.f1_score, v.created_at registration_date, v.description,
-       'group-X' AS tag_team, printf('%.4f', round(r.auc_roc, 4)) tag_auc
+       n.name AS tag_owner, printf('%.4f', round(r.auc_roc, 4)) tag_auc
 FROM now n JOIN versions v ON v.name = n.name AND v.version = n.version JOIN supplier_runs r ON r.run_id = v.run_id
 WHERE n.stage = 'Production'""")
 def model_info(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,7 +279,7 @@ def model_info(spark: SparkSession, sf: str) -> DataFrame:
     return info.select("name", "version", "stage", "algorithm", F.col("training_metrics")["auc_roc"].alias("auc_roc"),
                        F.col("training_metrics")["f1_score"].alias("f1_score"),
                        F.col("registration_date").cast("timestamp_ntz").alias("registration_date"), "description",
-                       F.col("tags")["team"].alias("tag_team"), F.col("tags")["auc_roc"].alias("tag_auc"))
+                       F.col("tags")["owner"].alias("tag_owner"), F.col("tags")["auc_roc"].alias("tag_auc"))
 
 
 # --- comparison -----------------------------------------------------------------------------------------

@@ -29,14 +29,16 @@ checked AS (SELECT *, list_filter({field_errors_sql(True)}, lambda x: x IS NOT N
 arrived AS (SELECT * REPLACE ({_NUMBERS}), CASE WHEN len(errors) = 0 THEN 'valid' ELSE 'invalid' END status,
                    (row_number() OVER (PARTITION BY batch_id ORDER BY custkey) - 1)::INTEGER AS "position" FROM checked),"""
     + scored_sql("arrived", "answers", "batch_id")) + """
-SELECT batch_id, "position", status, churn_prediction, churn_probability, confidence FROM answers""")
+SELECT batch_id, "position", status, churn_prediction, churn_probability, confidence,
+       md5(batch_id || ':' || CAST("position" AS VARCHAR)) prediction_id FROM answers""")
 def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Request files are scored as they arrive; the answers form an append-only table."""
     arriving, out, mark = (work_dir(spark, n) for n in ("arriving", "answers", "answers-checkpoint"))
     sinks.write_json(_batches(spark, sf), arriving)
     requests = src.explode_batch(live.read_stream(spark, arriving, BATCH_SCHEMA, "json"))
-    answers = live.score_stream(requests, version="1", key="batch_id").select(
-        "batch_id", "position", "status", "churn_prediction", "churn_probability", "confidence")
+    requests = requests.withColumn("request", F.concat_ws(":", "batch_id", F.col("position").cast("string")))
+    answers = live.score_stream(requests, version="1", key="request").select(
+        "batch_id", "position", "status", "churn_prediction", "churn_probability", "confidence", "prediction_id")
     live.append_to(answers, out, mark).awaitTermination()
     return spark.read.schema(answers.schema).parquet(out)
 

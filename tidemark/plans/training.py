@@ -69,9 +69,9 @@ def positive_score(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("score_with_model")
 def score_with_model(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document of the test side scored by the fitted model, with the response columns."""
-    model, test = _fit(spark, sf, "rf")
-    return scoring.score_with_model(test.drop("quality"), model, SPEC.numeric, "1", "doc_id").select(
+    """Every document, labelled or not, scored by the fitted model, with the response columns."""
+    model, _ = _fit(spark, sf, "rf")
+    return scoring.score_with_model(document_features(spark, sf, None), model, SPEC.numeric, "1", "doc_id").select(
         "doc_id", "churn_prediction", "churn_probability", "confidence", "model_version", "prediction_id")
 
 
@@ -99,7 +99,7 @@ def importance_csv(spark: SparkSession, sf: str) -> DataFrame:
 _GRID = " | ".join(f"elasticNetParam={e}, regParam={r}" for r in (0.01, 0.1, 0.3) for e in (0.0, 0.5, 1.0))
 _TRAIN_ROWS = """
 SELECT count(*) FROM documents JOIN labels USING (doc_id)
-WHERE ('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '42'), 1, 8))::BIGINT % 100 < 80"""
+WHERE ('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '42'), 1, 8))::BIGINT < 0.8 * 4294967296"""
 
 
 @query("training_params", f"""
@@ -151,7 +151,7 @@ def train_and_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("model_save_load", f"""
 SELECT 1 AS version, count(*) n, 0::BIGINT AS different FROM documents JOIN labels USING (doc_id)
-WHERE ('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '42'), 1, 8))::BIGINT % 100 >= 80""")
+WHERE ('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '42'), 1, 8))::BIGINT >= 0.8 * 4294967296""")
 def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
     """Save a model, register it, promote it, load what is in Production and score with both."""
     model, test = _fit(spark, sf, "lr")

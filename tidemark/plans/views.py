@@ -393,8 +393,8 @@ def versions(spark: SparkSession, all_runs: DataFrame) -> DataFrame:
 VERSIONS_SQL = SUPPLIER_RUNS_SQL.rstrip() + """,
 versions AS (
   SELECT name, run_id, 'runs:/' || run_id || '/model' AS source,
-         'Champion model: ' || algorithm || ' | AUC-ROC: ' || printf('%.4f', round(auc_roc, 4)) || ' | Accuracy: ' || printf('%.4f', round(accuracy, 4))
-         || ' | F1: ' || printf('%.4f', round(f1_score, 4)) || ' | Trained in ' || printf('%.1f', round(training_duration_seconds, 1)) || 's' description,
+         'best run by AUC, ' || algorithm || '; auc ' || printf('%.4f', round(auc_roc, 4)) || '; accuracy ' || printf('%.4f', round(accuracy, 4))
+         || '; f1 ' || printf('%.4f', round(f1_score, 4)) || '; fitted in ' || printf('%.1f', round(training_duration_seconds, 1)) || ' seconds' description,
          created_at, row_number() OVER (PARTITION BY name ORDER BY created_at)::INTEGER AS version
   FROM supplier_runs)
 """
@@ -456,8 +456,9 @@ DOCUMENT_SPEC = FeatureSpec(
     label="quality", key="doc_id")
 
 
-def document_features(spark: SparkSession, sf: str, label: str = "quality") -> DataFrame:
-    """Numbers from whole texts, made before the join so that only they are shuffled."""
+def document_features(spark: SparkSession, sf: str, label: str | None = "quality") -> DataFrame:
+    """Numbers from whole texts, made before the join so that only they are shuffled; all documents
+    without a label, or those that have one."""
     docs = table(spark, sf, "documents")
     words = F.split(F.col("text"), "\\s+")
     length = F.greatest(F.length("text"), F.lit(1))
@@ -471,6 +472,8 @@ def document_features(spark: SparkSession, sf: str, label: str = "quality") -> D
         (F.size(F.array_distinct(words)) / F.size(words)).alias("unique_ratio"),
         (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("double").alias("n_lines"),
         share("[^0-9]").alias("digit_ratio"), share("[\\w\\s]").alias("punct_ratio"))
+    if label is None:
+        return features
     labels = table(spark, sf, "labels").select(
         "doc_id", F.when(F.col(label) == 1, "Yes").when(F.col(label) == 0, "No").alias("quality"))
     return features.join(labels, "doc_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.columns import fixed
@@ -24,9 +27,9 @@ def write_exploration(summary: DataFrame, path: str) -> None:
     summary.select(F.concat_ws("\t", "section", "name", "value").alias("value")).write.mode("overwrite").text(path)
 
 
-def append(rows: DataFrame, path: str) -> None:
-    """Add rows to a registry, run or prediction-log table."""
-    rows.write.mode("append").parquet(path)
+def append(rows: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """Add rows to a registry, run or prediction-log table, in folders by the values of ``by``."""
+    rows.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def materialize(rows: DataFrame, name: str) -> DataFrame:
@@ -37,3 +40,16 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     path = work_dir(rows.sparkSession, name)
     append(rows, path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def scratch(rows: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A table like that of ``materialize``, deleted from the shared folder afterwards."""
+    spark = rows.sparkSession
+    path = work_dir(spark, name)
+    try:
+        append(rows, path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
