@@ -241,11 +241,15 @@ def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int
     ids = materialize(members.select("cid").distinct(), "near-ids")
     if ids.isEmpty():
         return None
-    sets = materialize(full_sets(texts_of(ids)), "near-sets")
     side = materialize(classes.join(ids, "cid", "left_semi").select("cid", "n_shingles", "sig"), "near-side")
 
-    def confirmed(pairs):
-        return materialize(_confirm(_plausible(pairs, side, percent), sets, percent), "near-links")
+    def sets_of(some):
+        return materialize(full_sets(texts_of(some.distinct())), "near-sets")
+
+    def confirmed(pairs):  # only the texts of plausible pairs are moved
+        pairs = materialize(_plausible(pairs, side, percent), "near-pairs")
+        sets = sets_of(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))))
+        return materialize(_confirm(pairs, sets, percent), "near-links")
 
     labels, left = None, members.withColumn("label", F.col("cid"))
     for turn in range(star_rounds):
@@ -262,7 +266,7 @@ def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int
     left = _share_whole_key(left, side)
     if left.isEmpty():
         return labels
-    rare = materialize(_rare_first(left, sets, percent), "near-rare")
+    rare = materialize(_rare_first(left, sets_of(left.select("cid")), percent), "near-rare")
     best = left.join(rare.select("cid", "size", "common"), "cid").groupBy("u").agg(F.min(F.struct(
         (1 - F.col("common") / F.col("size")).alias("share"), "cid", "label")).alias("best"))
     fresh = confirmed(_star(left.join(rare.select("cid"), "cid"),
