@@ -15,12 +15,13 @@ that share a full key (i, j) and pass exact bounds on their overlap. No pair ins
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import ASCII_LOWER, WordHasher, maybe_in, mix64, small_batches, text_buffers
-from tidemark.sources.sinks import materialize
+from tidemark.sources.sinks import materialize, scratch
 
 SHINGLE = 5
 SIDE, DEEP = 20, 3
@@ -100,18 +101,43 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return taken.mapInArrow(make, f"doc_id {kind}, text_key long, n_shingles long, digest binary, sig array<int>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """(cid, shingles) for rows (cid, text)."""
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the text column compressed: texts travel between tasks in this form."""
+    import pyarrow as pa
+
+    at = rows.columns.index("text")
+
+    def make(batches):
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(at))
+            small = [zlib.compress(data[i:j], 1) for i, j in zip(offsets[:-1], offsets[1:])]
+            yield batch.set_column(at, "text", pa.array(small, pa.binary()))
+
+    kinds = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in rows.schema]
+    return rows.mapInArrow(make, ", ".join(kinds))
+
+
+def packed_sets(column, hasher: WordHasher) -> list[np.ndarray]:
+    """Shingle sets of an Arrow column of packed texts; equal texts of the column are worked out once."""
+    coded = column.dictionary_encode()
+    texts = [zlib.decompress(t) for t in coded.dictionary.to_pylist()]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    sets = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), offsets, hasher)
+    return [sets[i] for i in coded.indices.to_pylist()]
+
+
+def full_sets(texts: DataFrame) -> DataFrame:
+    """(cid, shingles) for rows (cid, packed text)."""
     import pyarrow as pa
 
     def make(batches):
         hasher = WordHasher(SEPARATORS)
         for batch in batches:
-            sets = shingle_sets(*text_buffers(batch.column(1)), hasher)
+            sets = packed_sets(batch.column(1), hasher)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["cid", "shingles"])
 
-    return docs.select("cid", "text").mapInArrow(make, "cid long, shingles array<long>")
+    return texts.select("cid", "text").mapInArrow(make, "cid long, shingles array<long>")
 
 
 def _triples(side: int) -> Column:
@@ -143,13 +169,25 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
                 now.select(F.col("b").alias("cid"), F.col("b").alias("label")).distinct())
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets satisfy 100 * |intersection| >= percent * |union|."""
-    common = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
-            .withColumn("common", common)
-            .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b"))
+def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose whole sets satisfy 100 * |intersection| >= percent * |union|.
+
+    The packed texts are moved, and their sets made where they meet: a set takes several times the bytes.
+    """
+    import pyarrow as pa
+
+    def make(batches):
+        hasher = WordHasher(SEPARATORS)
+        for batch in batches:
+            links = []
+            for x, y in zip(packed_sets(batch.column(2), hasher), packed_sets(batch.column(3), hasher)):
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                links.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select([0, 1]).filter(pa.array(links, pa.bool_()))
+
+    return (pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
+            .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
+            .select("a", "b", "ta", "tb").mapInArrow(make, "a long, b long"))
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -199,36 +237,40 @@ def _star(members: DataFrame, centres: DataFrame) -> DataFrame:
 
 
 def _share_whole_key(left: DataFrame, side: DataFrame) -> DataFrame:
-    """Members (u, cid, label) that share a whole table key (u_i, v_j) with a member of another label."""
+    """The rows (u, cid, label) of members that share a whole table key (u_i, v_j) with a member of another label."""
     wide = (left.join(side.select("cid", F.explode(_triples(1)).alias("v")), "cid")
-            .select(F.xxhash64("u", "v").alias("t"), "u", "cid", "label"))
+            .select(F.xxhash64("u", "v").alias("t"), "cid", "label"))
     mixed = wide.groupBy("t").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return materialize(wide.join(mixed.select("t"), "t", "left_semi").select("u", "cid", "label").distinct(), "near-open")
+    met = wide.select("t", "cid").join(mixed.select("t"), "t", "left_semi").select("cid").distinct()
+    return materialize(left.join(met, "cid", "left_semi").select("u", "cid", "label"), "near-open")
 
 
-def _rare_first(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(cid, size, common, prefix) of the members: how many shingles of a set occur in another one as well, and
-    its rarest ones as (n, s), so many that two sets of the wanted similarity share one of them.
+def _rare_first(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(cid, size, common, prefix) of the sets: how many shingles of a set occur in another one as well, and
+    the rarest of those, ``prefix`` (n, s), so many that two sets of the wanted similarity share one of them.
 
-    Sets with too few common shingles for any link are left out (overlap >= percent * larger set).
+    Shingles of one set only would come first in the prefix but lead to no other set: they are counted
+    and left out. So are sets with too few common shingles for any link (overlap >= percent * larger set).
     """
-    each = sets.join(members.select("cid").distinct(), "cid", "left_semi").select("cid", F.explode("shingles").alias("s"))
-    each = each.join(each.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "s")
-    sizes = each.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("n", "s"))).alias("r"),
-                                    F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("common"))
-    sizes = sizes.withColumn("size", F.size("r").cast("long")).where(100 * F.col("common") >= percent * F.col("size"))
-    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    return sizes.select("cid", "size", "common", F.slice("r", 1, length.cast("int")).alias("prefix"))
+    each = sets.select("cid", F.explode("shingles").alias("s"))
+    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rare = (each.join(often, "s").groupBy("cid")
+            .agg(F.array_sort(F.collect_list(F.struct("n", "s"))).alias("r"), F.count(F.lit(1)).alias("common"))
+            .join(sizes.select("cid", F.col("n_shingles").alias("size")), "cid")
+            .where(100 * F.col("common") >= percent * F.col("size")))
+    length = F.col("common") - F.ceil(F.col("size") * percent / 100) + 1
+    return rare.select("cid", "size", "common", F.slice("r", 1, length.cast("int")).alias("prefix"))
 
 
 def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int = 2) -> DataFrame | None:
     """Labels (cid, label) of the classes that have a link; None without a candidate.
 
-    ``texts_of(ids)`` gives (cid, text) for a table of class ids. The rounds:
+    ``texts_of(ids)`` gives (cid, packed text) for a table of distinct class ids. The rounds:
 
     1. ``star_rounds`` times, an arbitrary member of each group is its centre.
     2. Of the groups that still hold several components, those members go on that share a whole key
-       (u_i, v_j) with another component. Count in how many of these texts each shingle occurs. Texts with too few shingles in common with any other are done.
+       (u_i, v_j) with another component. Count in how many of these texts each shingle occurs. Texts with
+       too few shingles in common with any other are done.
     3. The member with the largest share of common shingles is the centre: in a crowd of edited copies it
        is the copy edited least, and nearly all that have links have one to it.
     4. Every pair of different components that shares one of its rarest shingles, within exact bounds.
@@ -243,13 +285,11 @@ def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int
         return None
     side = materialize(classes.join(ids, "cid", "left_semi").select("cid", "n_shingles", "sig"), "near-side")
 
-    def sets_of(some):
-        return materialize(full_sets(texts_of(some.distinct())), "near-sets")
-
     def confirmed(pairs):  # only the texts of plausible pairs are moved
         pairs = materialize(_plausible(pairs, side, percent), "near-pairs")
-        sets = sets_of(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))))
-        return materialize(_confirm(pairs, sets, percent), "near-links")
+        ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+        with scratch(texts_of(ends), "near-texts") as texts:
+            return materialize(_confirm(pairs, texts, percent), "near-links")
 
     labels, left = None, members.withColumn("label", F.col("cid"))
     for turn in range(star_rounds):
@@ -266,7 +306,8 @@ def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int
     left = _share_whole_key(left, side)
     if left.isEmpty():
         return labels
-    rare = materialize(_rare_first(left, sets_of(left.select("cid")), percent), "near-rare")
+    with scratch(texts_of(left.select("cid").distinct()), "near-texts") as texts:
+        rare = materialize(_rare_first(full_sets(texts), side, percent), "near-rare")
     best = left.join(rare.select("cid", "size", "common"), "cid").groupBy("u").agg(F.min(F.struct(
         (1 - F.col("common") / F.col("size")).alias("share"), "cid", "label")).alias("best"))
     fresh = confirmed(_star(left.join(rare.select("cid"), "cid"),
@@ -287,8 +328,8 @@ def _remaining_pairs(left: DataFrame, rare: DataFrame, percent: int) -> DataFram
     label meet only those of other labels, so the copies of one component never meet each other.
     """
     rows = materialize(left.select("cid", "label").distinct().join(rare, "cid").select(
-        "cid", "label", "size", F.posexplode("prefix").alias("at", "e")).where("e.n > 1")
-        .select("cid", "label", F.col("e.s").alias("s"), "size", (F.col("size") - F.col("at")).alias("rest")), "near-prefix")
+        "cid", "label", "size", "common", F.posexplode("prefix").alias("at", "e"))
+        .select("cid", "label", F.col("e.s").alias("s"), "size", (F.col("common") - F.col("at")).alias("rest")), "near-prefix")
     main = (rows.groupBy("s", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("s")
             .agg(F.max(F.struct("n", "label")).alias("top"), F.min("label").alias("low"), F.max("label").alias("high"))
             .where("low < high").select("s", F.col("top.label").alias("main")))
@@ -313,24 +354,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     reported alike. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    prints = materialize(fingerprints(docs, key, text), "near-prints")
-    full = prints.where("n_shingles > 0")
+    with scratch(fingerprints(docs, key, text), "near-prints") as signed:
+        prints = materialize(signed.drop("sig"), "near-rows")
+        grouped = signed.where("n_shingles > 0").groupBy("digest").agg(
+            F.min("doc_id").alias("rep"), F.min_by("text_key", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("text_key"),
+            F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+        classes = materialize(grouped, "near-classes")
     seed = 0
     while True:  # 64-bit class ids: take another seed should two sets share one
         cid = F.xxhash64(F.lit(seed), "digest")
-        grouped = full.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.min_by("text_key", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("text_key"),
-            F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
-        classes = materialize(grouped.withColumn("cid", cid), "near-classes")
-        if classes.groupBy("cid").count().where("count > 1").isEmpty():
+        if classes.groupBy(cid).count().where("count > 1").isEmpty():
             break
         seed += 1
+    classes = classes.withColumn("cid", cid)
     source = docs.select(F.col(key).alias("doc_id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
 
     def texts_of(ids):
         wanted = materialize(classes.join(ids, "cid", "left_semi")
                              .select("cid", F.col("rep").alias("doc_id"), "text_key"), "near-wanted")
-        near = maybe_in(source, "text_key", wanted.select("text_key"), "maybe").where("maybe")
+        near = packed(maybe_in(source, "text_key", wanted.select("text_key"), "maybe").where("maybe").drop("maybe"))
         same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["text_key"] == wanted["text_key"])
         return near.join(wanted, same).groupBy("cid").agg(F.first("text").alias("text"))  # rows may repeat
 
