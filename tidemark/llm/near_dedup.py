@@ -367,12 +367,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
             break
         seed += 1
     classes = classes.withColumn("cid", cid)
+    row = F.xxhash64("doc_id", "text_key").alias("row")  # not the text alone: its copies are not wanted
     source = docs.select(F.col(key).alias("doc_id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
+    source = source.select("*", row)
 
     def texts_of(ids):
         wanted = materialize(classes.join(ids, "cid", "left_semi")
                              .select("cid", F.col("rep").alias("doc_id"), "text_key"), "near-wanted")
-        near = packed(maybe_in(source, "text_key", wanted.select("text_key"), "maybe").where("maybe").drop("maybe"))
+        near = packed(maybe_in(source, "row", wanted.select(row), "maybe").where("maybe").drop("maybe", "row"))
         same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["text_key"] == wanted["text_key"])
         return near.join(wanted, same).groupBy("cid").agg(F.first("text").alias("text"))  # rows may repeat
 
