@@ -283,7 +283,8 @@ def find_links(classes: DataFrame, texts_of, percent: int = 75, star_rounds: int
     ids = materialize(members.select("cid").distinct(), "near-ids")
     if ids.isEmpty():
         return None
-    side = materialize(classes.join(ids, "cid", "left_semi").select("cid", "n_shingles", "sig"), "near-side")
+    few = maybe_in(classes.select("cid", "n_shingles", "sig"), "cid", ids, "maybe").where("maybe").drop("maybe")
+    side = materialize(few.join(ids, "cid", "left_semi"), "near-side")
 
     def confirmed(pairs):  # only the texts of plausible pairs are moved
         pairs = materialize(_plausible(pairs, side, percent), "near-pairs")
