@@ -1,7 +1,7 @@
 """Cleaning, validation, profiling and splits on small literal tables."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemark.operators import clean, profile, split, validate as v
 from tidemark.sources import tables as src
@@ -141,3 +141,18 @@ def test_cached_releases(spark):
     with split.cached(spark.range(10)) as (df,):
         assert df.count() == 10 and df.storageLevel.useMemory
     assert not df.storageLevel.useMemory
+
+
+def test_unreadable_and_empty_batches_are_answered(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"batch_id": "a", "customers": [{"gender": "Male"}]}\n{"batch_id": "b", "cust\n'
+                                      '{"batch_id": "c", "customers": []}\n')
+    out = src.explode_batch(src.read_requests(spark, str(tmp_path), corrupt="line")).collect()
+    assert sorted((str(r["batch_id"]), r["position"], r["line"] is not None) for r in out) == [
+        ("None", None, True), ("a", 0, False), ("c", None, False)]
+
+
+def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n1,x\nabc,y\n3,z,more\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    rows = src.read_table(spark, str(tmp_path), schema, corrupt="line").collect()
+    assert sorted(str(r["line"]) for r in rows) == ["3,z,more", "None", "abc,y"]

@@ -43,6 +43,10 @@ def test_train_register_promote_score_roll_back(spark, rows, valid_row, tmp_path
     assert sum(r["churn_probability"] is not None for r in scored) == 1
     assert spark.read.parquet(f"{root}/predictions").count() == 6
 
+    report, shift = jobs.drift_job(new, root, "churn")
+    assert {r["measure"] for r in report.collect()} == {"churn_rate_pct", "avg_probability"}
+    assert shift.where("bucket = '+Inf' AND baseline_share = 1 AND shifted_share = 1").count() == 1
+
     run = jobs.stored(spark, root, "versions").first()["run_id"]
     assert "feature,importance" in [r[0] for r in spark.read.text(f"{root}/artifacts/{run}/feature_importance").collect()]
     assert spark.read.parquet(f"{root}/artifacts/{run}/roc_curve").where("series = 'random'").count() == 2

@@ -143,3 +143,12 @@ def test_version_numbers_follow_order(spark):
     df = spark.createDataFrame([("m", 3), ("m", 1), ("n", 2)], "name string, at int")
     got = {(r["name"], r["at"]): r["row_number"] for r in number_rows(df, "at", ["name"]).collect()}
     assert got == {("m", 1): 1, ("m", 3): 2, ("n", 2): 1}
+
+
+def test_grouped_roc_has_fixed_points_per_group(spark):
+    rows = [("a", 0.9, 1), ("a", 0.4, 0), ("b", 0.7, 0), ("b", 0.7, 1), ("c", None, 1)]
+    out = m.roc_curve(spark.createDataFrame(rows, "g string, score double, label int"), "score", "label", ["g"], baseline=True)
+    got = sorted((r["g"], r["series"], r["fpr"], r["tpr"]) for r in out.collect())
+    assert got == [("a", "model", 0.0, 0.0), ("a", "model", 0.0, 1.0), ("a", "model", 1.0, 1.0),
+                   ("a", "random", 0.0, 0.0), ("a", "random", 1.0, 1.0), ("b", "model", 0.0, 0.0),
+                   ("b", "model", 1.0, 1.0), ("b", "random", 0.0, 0.0), ("b", "random", 1.0, 1.0)]

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_clean_validate import request
-from tidemark.operators import monitor as mon, scoring as s, validate as v
-from tidemark.spec import request_schema
+from tidemark.operators import monitor as mon, scoring as s, training as tr, validate as v
+from tidemark.plans.views import customers
+from tidemark.spec import CUSTOMER, CUSTOMER_FIELDS, request_schema
 from tidemark.streaming import live
 
 LOG = "ts timestamp, handler string, latency_s double"
@@ -76,3 +77,18 @@ def test_rates_equal_batch(spark, tmp_path, range, step):
     wanted = mon.rate(spark.createDataFrame(rows, LOG), ["handler"], range, step)
     names = ["window_start", "handler", "n", "per_second"]
     assert got.select(names).exceptAll(wanted.select(names)).isEmpty() and got.count() == wanted.count()
+
+
+def test_stream_scored_by_a_fitted_model(spark, sf, valid_row, tmp_path):
+    train = customers(spark, sf).where("TotalCharges IS NOT NULL")
+    model = tr.fit_once(train, CUSTOMER, tr.algorithms(max_iter=5)["lr"])
+    rows = request(spark, valid_row, {**valid_row, "tenure": 80}, text=True)
+    rows.write.json(f"{tmp_path}/in")
+    stream = live.read_stream(spark, f"{tmp_path}/in", request_schema(text=True), "json")
+    live.append_to(live.score_stream(stream, version="3", key="tenure", model=model).drop("errors"),
+                   f"{tmp_path}/out", f"{tmp_path}/mark").awaitTermination()
+    numeric = [f.name for f in CUSTOMER_FIELDS if f.type != "string"]
+    wanted = {r["status"]: r["churn_probability"] for r in
+              s.score_with_model(v.typed(v.validate(rows)), model, numeric, "3", "tenure").collect()}
+    got = {r["status"]: r["churn_probability"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == wanted and got["valid"] is not None and got["invalid"] is None

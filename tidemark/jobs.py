@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import importance, registry as reg, runs, scoring, training as tr
+from tidemark.operators import drift, importance, registry as reg, runs, scoring, training as tr
 from tidemark.operators.metrics import confusion_matrix, roc_curve
 from tidemark.operators.profile import exploration_summary
 from tidemark.operators.split import cached, split
@@ -146,19 +146,32 @@ def serving(spark: SparkSession, root: str, stage: str = "Production") -> DataFr
                           run_table(spark, root), stored(spark, root, "tags"), stage)
 
 
+def _answers(rows: DataFrame, root: str, name: str, key: str | None = None) -> DataFrame:
+    """Checked rows scored with the Production model, or with the rules while there is none."""
+    spark = rows.sparkSession
+    found = models.load_stage_model(stored(spark, root, "versions"), stored(spark, root, "stage_events"), name)
+    if found is None:
+        return scoring.score_batch(rows, version=None, key=key)
+    numeric = [f.name for f in CUSTOMER_FIELDS if f.type != "string"]
+    return scoring.score_with_model(rows, found[0], numeric, str(found[1]), key)
+
+
+def drift_job(requests: DataFrame, root: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Score the valid requests as they are and as the shifted cohort: the drift report, and the change of
+    the score distribution. The answers are written once, and both reports read them."""
+    rows = typed(validate(requests, CUSTOMER_FIELDS), CUSTOMER_FIELDS).where(F.col("status") == "valid")
+    scored = sinks.materialize(_answers(drift.with_shifted(rows), root, name).select(
+        "cohort", "churn_prediction", "churn_probability", "confidence"), "drift")
+    return drift.drift_report(scored), drift.distribution_shift(scored)
+
+
 def score_customers(requests: DataFrame, root: str, name: str, key: str | None = None,
                     log: bool = True) -> DataFrame:
     """Validate request rows and score them with the Production model, or with the rules while
     there is none. Every row is answered; answers are appended to the prediction log, by date, and the
     rows returned are the logged ones."""
     spark = requests.sparkSession
-    rows = typed(validate(requests, CUSTOMER_FIELDS), CUSTOMER_FIELDS)
-    found = models.load_stage_model(stored(spark, root, "versions"), stored(spark, root, "stage_events"), name)
-    if found is None:
-        out = scoring.score_batch(rows, version=None, key=key)
-    else:
-        numeric = [f.name for f in CUSTOMER_FIELDS if f.type != "string"]
-        out = scoring.score_with_model(rows, found[0], numeric, str(found[1]), key)
+    out = _answers(typed(validate(requests, CUSTOMER_FIELDS), CUSTOMER_FIELDS), root, name, key)
     if not log:
         return out
     job = uuid.uuid4().hex

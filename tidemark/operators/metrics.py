@@ -93,26 +93,27 @@ def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), bin
     """ROC points (fpr, tpr), one per distinct score, starting at (0, 0).
 
     Tied scores share one point. A rate is 0 where its class is empty. With ``baseline``
-    the two points of the random line are appended and ``series`` tells them apart.
+    the two points of the random line are appended and ``series`` tells them apart. With ``by``,
+    every group that has a row with score and label gets a curve; the fixed points come with the
+    group's highest score, so the input is not read again for them.
     """
     by = list(by)
-    points = _accumulated(df, score, label, by, bins).select(
-        *by, F.col("score").alias("threshold"),
-        _ratio(F.col("neg_run"), F.col("neg_all")).alias("fpr"),
-        _ratio(F.col("pos_run"), F.col("pos_all")).alias("tpr"))
+
+    def point(threshold: Column, fpr: Column, tpr: Column, series: str = "model") -> Column:
+        named = [threshold.cast("double").alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr")]
+        return F.struct(*named, *([F.lit(series).alias("series")] if baseline else []))
+
+    nowhere, zero, one = F.lit(None), F.lit(0.0), F.lit(1.0)
+    fixed = [point(nowhere, zero, zero)]
+    if baseline:
+        fixed += [point(nowhere, zero, zero, "random"), point(nowhere, one, one, "random")]
+    own = point(F.col("score"), _ratio(F.col("neg_run"), F.col("neg_all")), _ratio(F.col("pos_run"), F.col("pos_all")))
+    counted = _accumulated(df, score, label, by, bins)
     if by:
-        groups = df.select(*by).distinct()
-    else:
-        groups = df.sparkSession.range(1).select()
-    start = groups.select(*by, F.lit(None).cast("double").alias("threshold"),
-                          F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    out = start.unionByName(points)
-    if not baseline:
-        return out
-    line = groups.select(*by, F.lit(None).cast("double").alias("threshold"),
-                         F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("fpr")).withColumn("tpr", F.col("fpr"))
-    return (out.withColumn("series", F.lit("model"))
-            .unionByName(line.withColumn("series", F.lit("random"))))
+        highest = F.col("pos_run") + F.col("neg_run") == F.col("pos") + F.col("neg")
+        return counted.select(*by, F.inline(F.when(highest, F.array(*fixed, own)).otherwise(F.array(own))))
+    start = df.sparkSession.range(1).select(F.inline(F.array(*fixed)))
+    return start.unionByName(counted.select(F.inline(F.array(own))))
 
 
 def auc_roc(df: DataFrame, score: str, label: str, by: Sequence[str] = (),

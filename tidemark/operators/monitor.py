@@ -54,12 +54,16 @@ def rate(log: DataFrame, by: Sequence[str] = (), range: str = "1 minute", step:
 def latency_quantiles(log: DataFrame, quantiles: Sequence[float] = (0.5, 0.95), range: str = "5 minutes",
                       step: str = "15 seconds", by: Sequence[str] = (), value: str = "latency_s",
                       ts: str = "ts", exact: bool = True) -> DataFrame:
-    """Latency quantiles over each trailing range: exact, or approximate with bounded state."""
+    """Latency quantiles over each trailing range: exact, or approximate from one sketch per slot
+    (rank error about 1.3 percent), whatever the traffic."""
     if not exact:
-        slots = log.withColumn("__slot", F.window(ts, step).start)
-        return _cover(slots, range, step).groupBy("window_start", *by).agg(
-            F.count(value).alias("n"),
-            *[F.percentile_approx(value, q).alias(quantile_name(q)) for q in quantiles])
+        slots = log.groupBy(F.window(ts, step).start.alias("__slot"), *by).agg(
+            F.count(value).alias("__n"), F.kll_sketch_agg_double(F.col(value).cast("double")).alias("__sketch"))
+        ranges = _cover(slots, range, step).groupBy("window_start", *by).agg(
+            F.sum("__n").alias("n"), F.kll_merge_agg_double("__sketch").alias("__sketch"))
+        return ranges.select("window_start", *by, "n", *[
+            F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("__sketch", F.lit(float(q)))).alias(quantile_name(q))
+            for q in quantiles])
     slots = log.groupBy(F.window(ts, step).start.alias("__slot"), *by, value).agg(
         F.count(F.lit(1)).alias("__count"))
     return exact_quantiles(_cover(slots, range, step), value, quantiles, ["window_start", *by], "__count")

@@ -79,7 +79,7 @@ def category_index_ml(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, value string, index int")
 
 
-_CATEGORIES = {f.name: f.allowed for f in CUSTOMER_FIELDS if f.name in ("InternetService", "Contract", "PaymentMethod")}
+_CATEGORIES = {f.name: f.allowed for f in CUSTOMER_FIELDS if f.name in CUSTOMER.categorical}
 
 
 @query("one_hot", with_sql(CUSTOMERS_SQL) + 'SELECT "customerID", ' + ", ".join(

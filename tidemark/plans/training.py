@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import importance, registry, runs, scoring, split as sp, training as tr
@@ -43,10 +45,12 @@ def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tune_grid")
 def tune_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Cross-validated AUC of every grid point of the linear model."""
+    """Cross-validated AUC of every grid point of the three algorithms, over the same folds."""
     train, _ = _sides(spark, sf)
-    algo = tr.algorithms()["lr"]
-    return tr.tuning_table(spark, algo, tr.tune(train, SPEC, algo))
+    algos = tr.algorithms()
+    tuned = tr.tune_many(train, SPEC, algos)
+    tables = [tr.tuning_table(spark, algo, tuned[name]) for name, algo in algos.items()]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("feature_stages", """
@@ -133,13 +137,10 @@ def run_config_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("train_and_compare")
 def train_and_compare(spark: SparkSession, sf: str) -> DataFrame:
-    """Tune all three algorithms, log their runs to tables, read the tables back and compare.
-
-    Each algorithm is tuned over one grid point here; the full grids are in the benchmark.
-    """
+    """Tune all three algorithms over their whole grids, log their runs to tables, read the tables back
+    and compare."""
     train, test = _sides(spark, sf)
-    algos = {k: tr.Algorithm(a.name, a.experiment, a.classifier, a.grid[:1]) for k, a in tr.algorithms().items()}
-    done = tr.train_all(train, test, SPEC, algos)
+    done = tr.train_all(train, test, SPEC)
     path = work_dir(spark, "runs")
     for name, rows in zip(("events", "params", "metrics"), runs.runs_tables(spark, done)):
         sinks.append(rows, f"{path}/{name}")
@@ -191,10 +192,8 @@ def schema_of_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("training_job")
 def training_job(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole training job on the documents: profile, tune, log, register, gate, promote."""
+    """The whole training job on the documents: profile, tune all algorithms, log, register, gate, promote."""
     from tidemark import jobs
     root = work_dir(spark, "registry")
-    algos = {k: tr.Algorithm(a.name, a.experiment, a.classifier, a.grid[:1])
-             for k, a in tr.algorithms().items() if k != "gbt"}
-    jobs.training_job(document_features(spark, sf), SPEC, root, "document-quality", algos, threshold=0.5)
+    jobs.training_job(document_features(spark, sf), SPEC, root, "document-quality")
     return jobs.serving(spark, root).select("name", "version", "stage", "algorithm", "description")

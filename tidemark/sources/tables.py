@@ -8,28 +8,42 @@ from tidemark.operators.running import exact_total
 from tidemark.spec import CUSTOMER_FIELDS, request_schema
 
 
+def _keeping_lines(reader, schema: T.StructType, corrupt: str | None):
+    """The reader with ``schema`` and, if ``corrupt`` names one, a column for lines that do not fit it."""
+    if corrupt is None:
+        return reader.schema(schema)
+    wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    return reader.schema(wide).option("columnNameOfCorruptRecord", corrupt)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               infer: bool = False) -> DataFrame:
+               infer: bool = False, corrupt: str | None = None) -> DataFrame:
     """Read parquet, or CSV with a header line.
 
-    A CSV needs ``schema`` (one pass) or ``infer=True`` (an extra pass over the file).
+    A CSV needs ``schema`` (one pass) or ``infer=True`` (an extra pass over the file). With a schema,
+    the column ``corrupt`` holds the whole line where a cell does not fit its type or the number of
+    cells differs, and null elsewhere.
     """
     if schema is None and not infer:
         return spark.read.parquet(path)
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if corrupt:
+        reader = reader.option("columnPruning", False)  # every cell is checked, whichever columns are used
+    return _keeping_lines(reader, schema, corrupt).csv(path)
 
 
 def read_requests(spark: SparkSession, path: str, list_field: str = "customers",
-                  row_schema: T.StructType | None = None) -> DataFrame:
-    """Read JSON lines ``{"batch_id": .., "customers": [{..}, ..]}`` as one row per batch."""
+                  row_schema: T.StructType | None = None, corrupt: str | None = None) -> DataFrame:
+    """Read JSON lines ``{"batch_id": .., "customers": [{..}, ..]}`` as one row per batch; the column
+    ``corrupt``, if named, holds the lines that are no such batch."""
     row = row_schema or request_schema(CUSTOMER_FIELDS, text=True)
     schema = T.StructType([
         T.StructField("batch_id", T.StringType()),
         T.StructField(list_field, T.ArrayType(row)),
     ])
-    return spark.read.schema(schema).json(path)
+    return _keeping_lines(spark.read, schema, corrupt).json(path)
 
 
 def parse_requests(df: DataFrame, body: str, list_field: str = "customers",
@@ -42,9 +56,10 @@ def parse_requests(df: DataFrame, body: str, list_field: str = "customers",
 
 
 def explode_batch(df: DataFrame, list_field: str = "customers") -> DataFrame:
-    """One row per request of a batch, with its zero-based position."""
+    """One row per request of a batch, with its zero-based position. A batch that is empty or could not be
+    read gives one row without position and fields, which validation then rejects."""
     keep = [c for c in df.columns if c != list_field]
-    out = df.select(*keep, F.posexplode(list_field).alias("position", "request"))
+    out = df.select(*keep, F.posexplode_outer(list_field).alias("position", "request"))
     return out.select(*keep, "position", "request.*")
 
 

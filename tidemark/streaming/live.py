@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.monitor import quantile_name, seconds
-from tidemark.operators.scoring import CUSTOMER_RULES, Term, score_batch
+from tidemark.operators.scoring import CUSTOMER_RULES, Term, score_batch, score_with_model
 from tidemark.operators.validate import typed, validate
 from tidemark.spec import CUSTOMER_FIELDS, Field
 
@@ -31,9 +32,13 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, format: st
 
 def score_stream(stream: DataFrame, rules: Sequence[Term] = CUSTOMER_RULES,
                  fields: Sequence[Field] = CUSTOMER_FIELDS, version: str | None = None,
-                 key: str | None = None) -> DataFrame:
-    """Validate and score arriving rows; stateless, so every row is answered once."""
-    return score_batch(typed(validate(stream, fields), fields), rules, version, key)
+                 key: str | None = None, model: PipelineModel | None = None) -> DataFrame:
+    """Validate and score arriving rows with the rules, or with a fitted model; stateless, so every row
+    is answered once."""
+    rows = typed(validate(stream, fields), fields)
+    if model is None:
+        return score_batch(rows, rules, version, key)
+    return score_with_model(rows, model, [f.name for f in fields if f.type != "string"], version, key)
 
 
 def stream_counts(log: DataFrame, by: Sequence[str]) -> DataFrame:
