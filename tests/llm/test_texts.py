@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -261,6 +262,28 @@ def test_whole_licences_in_other_spellings(spark):
     assert licences.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_standard_licence_files_in_several_wrappings(spark):
+    """Whole files with titles and notices, wrapped by words at any width, and prose that is no notice."""
+    files = {name: text for name, text in licences._texts() if "END OF TERMS" in text or name in ("MPL-2.0", "Unlicense", "CC0-1.0")}
+    rows = []
+    for licence, text, title in (("MIT", licences._MIT, "MIT License"), ("ISC", licences._ISC, "ISC License (ISC)"),
+                                 ("MIT", licences._MIT, "# The MIT License (MIT)"),
+                                 ("BSD-3-Clause", f"{licences._BSD_HEAD}\n{licences._BSD_NAME}\n{licences._BSD_TAIL}",
+                                  'BSD 3-Clause "New" or "Revised" License')):
+        bodies = [text, " ".join(text.split()), *(textwrap.fill(" ".join(text.split()), n) for n in range(20, 130, 3)),
+                  " ".join(text.split()).replace(" COPYRIGHT HOLDER", "\nCOPYRIGHT HOLDER").replace(" copyright ", "\n  copyright ")]
+        heads = ["", f"{title}\n\n", f"{title}\n\nCopyright (c) 2020 Someone\n\n", "Copyright The Some Authors\nAll rights reserved.\n",
+                 f"{title}\n=====\n\nCopyright 2019, 2020 A\nCopyright by B Ltd.\n(c) C\n\n", "© 2020 Someone. All rights reserved.\n"]
+        rows += [(licence, head + body) for head in heads for body in bodies]
+    rows += files.items()
+    rows.append(("Apache-2.0", files["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2021 Someone")))
+    rows.append((None, licences._MIT.replace("COPYRIGHT HOLDERS", "NO ONE")))
+    rows.append((None, "The MIT License\nis not what follows here.\n" + "\n" * 20000 + "copyright\n" * 20000))
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.text_licence for r in licences.scan(df).collect()}
+    assert [(k, want, got[k], rows[k][1][:60]) for k, (want, _) in enumerate(rows) if got[k] != want] == []
+
+
 # helpers
 
 

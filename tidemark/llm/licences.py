@@ -1,16 +1,22 @@
 """Licence scans by canonical digests.
 
-A text is brought to a canonical form (case, copyright lines, punctuation, equivalent spellings), and
+A text is brought to a canonical form (case, copyright notices, punctuation, equivalent spellings), and
 the digest of the whole canonical text is joined to the digests of known licence texts. Documents are
 looked up as a whole and line by line, so notices inside other text are found too. DataFrame functions
-only; the known texts are a small fixed table.
+only; the known texts are a small fixed table and the files of ``licence_texts``.
 """
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-COPYRIGHT = r"(?dm)^[ \t\r\f]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A copyright notice on any line: the word or (c) with a sign, a year or a field to fill in, a line that opens with
+#: the sign, and "all rights reserved" by itself. Lines of prose that a wrap lets begin with the word are none.
+COPYRIGHT = (r"(?dm)^[ \t\r\f]*(?:copyright[ \t:]*+(?:\(c\)|©|\d{4}|[\[{<])[^\n]*|"
+             r"\(c\)[ \t]*+(?:copyright|©|\d{4}|[\[{<])[^\n]*|©[^\n]*|all rights reserved[^\p{L}\p{N}\n]*+)$")
 OTHER = r"[^\p{L}\p{N}\n]+"
 
 #: Spellings that licence matching treats as equal, first the variant, then the form kept.
@@ -88,10 +94,47 @@ was not distributed with this file, You can obtain one at http://mozilla.org/MPL
 ]
 
 
+#: Lines that open the files of a licence whose known text is without them.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License", "MIT"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License',
+                     "Simplified BSD License", "FreeBSD License", "BSD License", "The BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License',
+                     "New BSD License", "Revised BSD License", "Modified BSD License", "BSD License", "The BSD License",
+                     "BSD-3-Clause"],
+}
+_TITLE = "|".join(sorted({r"[^\p{L}\p{N}\n]+".join(re.findall(r"\w+", t.lower())) for own in TITLES.values() for t in own},
+                         key=len, reverse=True))
+#: In the head of a text, after a title at most, any line that opens like a notice is one, as it may hold a name alone;
+#: but not where a word of licence prose follows.
+HEAD = (rf"(?d)\A([ \t\r\f\n]*+(?:[^\p{{L}}\p{{N}}\n]*+(?:{_TITLE})[^\p{{L}}\p{{N}}\n]*+\n[^\p{{L}}\p{{N}}(©]*+)?+)"
+        r"(?:(?!copyright[ \t]+(?:holders?|owners?|notices?|laws?|licen[cs]es?|treat(?:y|ies)|is|are|and|or|in|on|of)\b)"
+        r"(?:copyright|\(c\)|©|all rights reserved)[^\n]*+[ \t\r\f\n]*+){1,40}")
+
+
+def _texts() -> list[tuple[str, str]]:
+    """(licence, text) of the files of ``licence_texts``, whole and up to the end of the terms, where that is marked."""
+    out = []
+    for file in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+        text = file.read_text("utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        out += [(file.stem, text), *[(file.stem, terms), (file.stem, terms + end)] * bool(end)]
+    return out
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """All known (licence, text): KNOWN, its whole licences under their titles and with other marks of the clauses,
+    and the files of ``licence_texts``."""
+    licences = [(i, t) for i, t in KNOWN if t.count("\n") > 5 and i in TITLES]
+    licences += [(i, re.sub(r"(?m)^\d\. ", "* ", t)) for i, t in licences if re.search(r"(?m)^\d\. ", t)]
+    return KNOWN + licences + [(i, f"{title}\n{t}") for i, t in licences for title in TITLES[i]] + _texts()
+
+
 def canonical_lines(text: Column) -> Column:
-    """Canonical lines of a text: lower case, without copyright lines, words of letters and digits parted by one
+    """Canonical lines of a text: lower case, without copyright notices, words of letters and digits parted by one
     blank, equivalent spellings made one. Lines stay apart; empty ones are kept."""
-    out = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, ""), OTHER, " ")
+    out = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(text), HEAD, "$1"), COPYRIGHT, ""), OTHER, " ")
     variants = "|".join(v for v, _ in SPELLINGS)
     fixed = out
     for variant, kept in SPELLINGS:
@@ -104,9 +147,11 @@ def whole(lines: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
-    """(digest, licence) of known texts (licence, text); texts that share a digest keep the first licence id."""
-    table = known if isinstance(known, DataFrame) else spark.createDataFrame(KNOWN if known is None else known,
+    """(digest, licence) of known texts (licence, text); texts that share a digest keep the first licence id. A text
+    counts on its lines and on a single line, where notices inside it are no lines of their own and stay."""
+    table = known if isinstance(known, DataFrame) else spark.createDataFrame(known_texts() if known is None else known,
                                                                              "licence string, text string")
+    table = table.select("licence", "text").union(table.select("licence", F.regexp_replace("text", r"\s+", " ")))
     return (table.select("licence", F.md5(whole(canonical_lines(F.col("text"))).cast("binary")).alias("digest"))
             .groupBy("digest").agg(F.min("licence").alias("licence")))
 
