@@ -7,6 +7,7 @@ import html
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import extract, queries, warc
 from tidemark.session import work_dir
@@ -75,6 +76,21 @@ def test_lookup_across_blocks_and_parts(spark):
     assert {r.page_id for r in got} == want and len(got) == len(want)
 
 
+def test_lookup_of_keys_with_blanks(spark):
+    """Blanks sort before ! and $, their escapes after them."""
+    names = ["Yahoo", "Yahoo Inc", "Yahoo Mail", "Yahoo!", "Yahoo! Inc", "Yahoo! Mail", "Yahoos", "Yak"]
+    names += [f"q{a}{b}{c}" for a in " !$" for b in "a !$" for c in " !$%x"]
+    rows = [(k, f"http://b.example.com/wiki/{n}z", f"body {k}") for k, n in enumerate(names)]
+    df = spark.createDataFrame([(*r, None, None, 1) for r in rows], PAGES)
+    assert _rows(warc.archive_and_read(spark, df)) == _expected(rows)
+    folder = work_dir(spark, "warc-test")
+    captures = warc.write_archives(df, folder)
+    for raw in (captures, captures.withColumn("key", F.replace("key", F.lit("%20"), F.lit(" ")))):
+        directory = warc.build_index(raw, folder, block=3, per_part=11)
+        got = warc.lookup(raw.select("key"), directory, folder).collect()
+        assert sorted((r.key, r.page_id) for r in got) == sorted((warc.url_key(u), k) for k, u, _ in rows)
+
+
 def test_archive_is_plain_gzip_of_records():
     raw = warc.record_bytes(4, "http://a/", b"body", warc.digest(b"body"), None)
     assert warc.parse_record(gzip.decompress(gzip.compress(raw)))["payload"] == b"body"

@@ -22,7 +22,7 @@ import uuid
 import zlib
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import small_batches
 from tidemark.session import work_dir
@@ -39,7 +39,8 @@ RECORD = ("page_id long, url string, payload_bytes long, payload_digest string,
 def url_key(url: str | None) -> str:
     """Host reversed and lower-cased, then path and query: ``com,example)/a?b``. Null and empty give the empty key.
 
-    Scheme, user, default ports, ``www.`` and the fragment do not count; query arguments are sorted.
+    Scheme, user, default ports, ``www.`` and the fragment do not count; query arguments are sorted. Blanks and
+    line ends are escaped, so the key is sorted, written and looked up as the same text.
     """
     if not url:
         return ""
@@ -48,10 +49,19 @@ def url_key(url: str | None) -> str:
         host = (parts.hostname or "").removeprefix("www.")
         port = parts.port
     except ValueError:
-        return url.strip().lower()
+        return _no_blanks(url.strip().lower())
     name = ",".join(reversed(host.split("."))) + (f":{port}" if port not in (None, 80, 443) else "")
     query = "&".join(sorted(parts.query.split("&"))) if parts.query else ""
-    return f"{name}){parts.path or '/'}" + (f"?{query}" if query else "")
+    return _no_blanks(f"{name}){parts.path or '/'}" + (f"?{query}" if query else ""))
+
+
+def _no_blanks(key: str) -> str:
+    return key.replace(" ", "%20").replace("\n", "%0A")
+
+
+def _escaped(key: str) -> Column:
+    """The column of keys with blanks and line ends escaped as in ``url_key``."""
+    return F.replace(F.replace(key, F.lit(" "), F.lit("%20")), F.lit("\n"), F.lit("%0A"))
 
 
 def digest(payload: bytes) -> str:
@@ -169,7 +179,8 @@ def build_index(captures: DataFrame, folder: str, block: int = BLOCK, per_part:
     import pyarrow as pa
 
     parts = min(MAX_PARTS, captures.count() // per_part + 1)
-    ordered = (captures.repartitionByRange(parts, "key", "page_id", "file", "offset")
+    ordered = (captures.select(_escaped("key").alias("key"), "page_id", "file", "offset", "length")
+               .repartitionByRange(parts, "key", "page_id", "file", "offset")
                .sortWithinPartitions("key", "page_id", "file", "offset"))
 
     def write(batches):
@@ -191,7 +202,7 @@ def build_index(captures: DataFrame, folder: str, block: int = BLOCK, per_part:
             for key, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     name, out = _new_file(folder, "index")
-                waiting.append((key.replace(" ", "%20").replace("\n", "%0A"), rest))
+                waiting.append((key, rest))
                 if len(waiting) == block:
                     yield flush()
         if waiting:
@@ -212,7 +223,6 @@ def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     import pyarrow as pa
 
     spark = keys.sparkSession
-    escaped = F.replace(F.replace("key", F.lit(" "), F.lit("%20")), F.lit("\n"), F.lit("%0A"))
     bounds = sorted((r["first"], r["last"], r["part"]) for r in directory.groupBy("part").agg(
         F.min("first").alias("first"), F.max("last").alias("last")).collect())
     shared = spark.sparkContext.broadcast(bounds)
@@ -228,7 +238,7 @@ def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
                     k += 1
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.string()) for i in range(2)], ["part", "key"])
 
-    wanted = keys.select(escaped.alias("key")).where("key IS NOT NULL").distinct().mapInArrow(to_parts, "part string, key string")
+    wanted = keys.select(_escaped("key").alias("key")).where("key IS NOT NULL").distinct().mapInArrow(to_parts, "part string, key string")
     rows = wanted.select("part", "key", F.lit(None).cast("int").alias("block"), F.lit(None).cast("string").alias("last"),
                          F.lit(None).cast("long").alias("offset"), F.lit(None).cast("long").alias("length")).union(
         directory.select("part", F.col("first").alias("key"), "block", "last", "offset", "length"))
@@ -256,6 +266,8 @@ def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
                         lines = zlib.decompress(handle.read(blocks[k][3]), 31).decode().split("\n")[:-1]
                         kept = (k, [x.split(" ", 1)[0] for x in lines], lines)
                     for at in range(bisect.bisect_left(kept[1], key), bisect.bisect_right(kept[1], key)):
+                        if kept[1][at] != key:
+                            raise ValueError(f"index block out of order at {key}")
                         out.append((key, *json.loads(kept[2][at].split(" ", 1)[1])))
                     k += 1
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((
