@@ -102,6 +102,13 @@ def test_star_hub_and_path_components(spark):
     assert rows == {**{k: 1 for k in range(1, 60)}, **{k: 99 for k in range(99, 161)}, 70: 70, 71: 70}
 
 
+@pytest.mark.parametrize("path", [[1, 5, 4, 3, 2], [2, 3, 4, 5, 1, 6], [3, 7, 1, 5, 4, 6, 2, 8]])
+def test_components_of_one_path(spark, path):
+    """After a step on the first, no node is both ends of links, but one has two smaller neighbours."""
+    edges = spark.createDataFrame(list(zip(path, path[1:])), "a long, b long")
+    assert sorted((r.cid, r.label) for r in near_dedup.components(edges).collect()) == [(x, 1) for x in sorted(path)]
+
+
 def test_signature_does_not_depend_on_pieces():
     a, b = near_dedup._hash_parameters()
     shingles = np.random.default_rng(1).integers(0, 1 << 63, 9000, dtype=np.uint64)

@@ -151,7 +151,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(cid, label) for all ends of ``edges`` (a, b): label is the smallest id reachable.
 
     Alternating steps that hook every neighbour to the smallest one; each step is written to the shared
-    folder. Minima are aggregated before rows meet, so a hub's neighbours need not share a task.
+    folder. Minima are aggregated before rows meet, so a hub's neighbours need not share a task. Done when all
+    links are stars: no centre has a centre itself, and every other node has one centre only.
     """
     now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .where("a <> b").distinct(), name)
@@ -164,7 +165,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low).distinct())
         now = materialize(small, name)
-        if now.select("a").join(now.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
+        deep = now.select("a").join(now.select(F.col("b").alias("a")), "a", "left_semi")
+        if deep.isEmpty() and now.groupBy("a").count().where("count > 1").isEmpty():
             return now.select(F.col("a").alias("cid"), F.col("b").alias("label")).union(
                 now.select(F.col("b").alias("cid"), F.col("b").alias("label")).distinct())
 
