@@ -140,6 +140,35 @@ def test_scoring_without_article_marks():
     assert text.count("Sentence") == 4 and "Link" not in text
 
 
+ARTICLE = """<html><body><div id="page"><nav>Menu</nav><{0}><h1>Title</h1><p>First paragraph, long enough, with commas,
+to be read as the text of this page by anyone.</p>{1}<p>Last paragraph, also long enough, with commas, to be read as text.</p>
+</{0}></div><div class="sidebar"><p>Other things, and more, of the site.</p></div></body></html>"""
+PROSE = "This is text of the article, and it goes on, with some commas, for a while. " * 4
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize("part", [
+    '<p title="A hidden gem">KEPT, text.</p>', "<p title='say class=ad here' data-x=\"id='menu'\">KEPT, text.</p>",
+    '<section id="discussion"><p>KEPT, text.</p></section>', '<h2 id="legal">KEPT</h2>', '<h2 id="related">KEPT</h2>',
+    '<section id="related-work"><h2>Related work</h2><p>KEPT, text.</p></section>', '<p class="notice">KEPT, text.</p>',
+    '<section aria-label="Share of renewables"><p>KEPT, text.</p></section>', '<p>A <span class="tags">KEPT</span> word.</p>',
+    f'<section class="sponsored"><p>KEPT {PROSE}</p></section>', f'<section id="comments"><p>KEPT {PROSE}</p></section>'])
+def test_loose_hints_do_not_drop_article_text(tag, part):
+    text = extract.main_text(ARTICLE.format(tag, part))
+    assert "KEPT" in text and "First" in text and "Last" in text and "Menu" not in text and "Other" not in text
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize("part", [
+    '<div class="ad">GONE, now.</div>', '<div class="box ad-banner"><p>GONE, now.</p></div>', "<p hidden>GONE</p>",
+    '<p title="x" style="color:red; display: none">GONE</p>', '<div role="navigation">GONE</div>',
+    '<div class="share"><a href="a">GONE</a> <a href="b">GONE</a></div>', '<ul id="menu"><li><a href="a">GONE</a></ul>',
+    '<section id="comments">' + f'<div class="comment"><p>GONE {PROSE}</p></div>' * 3 + "</section>"])
+def test_menus_adverts_and_comments_in_an_article_go(tag, part):
+    text = extract.main_text(ARTICLE.format(tag, part))
+    assert "GONE" not in text and "First" in text and "Last" in text
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<script>x", "<!-- never closed", "</p></div>", "<a href='",
                                   "<div>" * 5000, "plain text only", "<p>" + "x" * 200000])
 def test_odd_pages_do_not_fail(page):

@@ -1,8 +1,9 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree of elements with a forgiving parser. Parts that are never main text are left
-out (scripts, forms, navigation, footers, and elements whose class, id or role says advert, sidebar,
-comments and the like). Every paragraph earns points for its length and its commas and passes them
+out (scripts, forms, navigation, footers, hidden elements). Elements whose class, id or role says advert,
+sidebar, comments and the like do not take part in the choice; inside what is chosen, and in any article, only
+those go that a whole name calls a menu, advert or comment list and whose own text does not deny it. Every paragraph earns points for its length and its commas and passes them
 to its ancestors, in full to the parent, half to the grandparent, less further up; a container's points
 are discounted by the share of its text that is links. The best container is kept, together with
 siblings that score well or read like text.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import html as html_entities
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -19,7 +21,8 @@ from tidemark.llm.common import arrow_input, arrow_output, small_batches
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-HINT = re.compile(r"(?:^|\s)(class|id|role|aria-label|hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute; values in quotes are taken with it, so nothing inside them is read as another one.
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)")
 
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,14 +49,28 @@ UNLIKELY = re.compile(
     r"footer|foot|copyright|disclaimer|legal|comments?|commentlist|disqus|replies|reply|respond|discussion|feedback|tags|"
     r"hidden|sr-only)(?=$|[\s_-])", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|content|main|story|post|entry|body|text)(?=$|[\s_-])", re.I)
+#: Whole names (class or id) of boxes inside an article; what they say must fit their text (see _is_other).
+ADVERT = re.compile(r"(?:ads?|advert\w*|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banner|comment)"
+                    r"(?:-(?:ads?|banner|box|slot|unit|container|wrapper|block|space|area|content|label|text|inline|item|body|\d+))*")
+COMMENTS = re.compile(r"comments|comment-?list|comments-(?:area|list|section|wrapper|container)|disqus(?:-thread)?|replies|respond")
+MENU = re.compile(r"(?:(?:site|page|main|top|side|sub|post|article|entry|social|share|sharing|related|recommended)-)*"
+                  r"(?:menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|topbar|sidebar|side-bar|share|sharing|social|"
+                  r"related|recommended|recommendations|tags|widget|newsletter|subscribe|skip|footer|masthead|buttons|links|posts|"
+                  r"articles|stories|bar)(?:-(?:menu|list|links|bar|box|buttons|container|wrapper|items))*")
+#: Roles that say the same as nav, aside, footer, dialog and the like.
+ROLES = frozenset("navigation complementary contentinfo search banner menu menubar toolbar dialog alertdialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold other blocks; those of a whole page are no article text for being there.
+HOLDERS = frozenset("div section ul ol dl table tbody tr td header aside fieldset details".split())
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hint", "dropped", "score", "length", "linked", "order")
+    __slots__ = ("tag", "parent", "children", "hint", "names", "dropped", "soft", "score", "length", "linked", "order", "own")
 
-    def __init__(self, tag, parent, hint="", dropped=False):
-        self.tag, self.parent, self.hint, self.dropped = tag, parent, hint, dropped
+    def __init__(self, tag, parent, hint="", names=(), dropped=False, soft=False):
+        self.tag, self.parent, self.hint, self.names = tag, parent, hint, names
+        self.dropped, self.soft = dropped or soft, soft and not dropped  # soft: dropped by its hint alone
         self.children = []
         self.score = 0.0
         self.length = self.linked = 0
@@ -98,18 +115,22 @@ def parse(source: str) -> Node:
             while node is not root and node.tag in CLOSES[tag]:
                 here = node.parent
                 node = here
-        hint, hide = "", False
-        if attributes:
-            for name, *values in HINT.findall(attributes):
-                value = "".join(values)
-                name = name.lower()
-                if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-                    hide = True
-                elif name in ("class", "id", "role", "aria-label"):
-                    hint += " " + value
+        found_attributes = {}
+        for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
+            if name:
+                found_attributes.setdefault(name.lower(), "".join(values))  # the first of a name counts
         if tag in ("html", "body") and here is root and tag == "html":
             continue
-        node = Node(tag, here, hint, hide or _unwanted(tag, hint, here))
+        own = [found_attributes.get(n, "") for n in ("class", "id", "role")]
+        hint = " ".join(own).strip()
+        hide = "hidden" in found_attributes or re.search(r"display\s*:\s*none", found_attributes.get("style", ""), re.I)
+        node = Node(tag, here, hint, own[0].split() if tag in HEADINGS else [*own[0].split(), *own[1].split()],
+                    bool(hide) or _never(tag, own[2], here), _unwanted(tag, hint))
+        if tag == "main" and not node.dropped:
+            up = here
+            while up is not None and up.tag != "main":  # what holds the main part is no menu
+                up.dropped = up.dropped and not up.soft
+                up = up.parent
         here.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
@@ -127,20 +148,70 @@ def _inside_article(node) -> bool:
     return False
 
 
-def _unwanted(tag: str, hint: str, parent) -> bool:
+def _never(tag: str, role: str, parent) -> bool:
+    """Elements that are dropped wherever they are."""
     if tag in DROPPED or tag == "header" and not _inside_article(parent):
         return True
+    return tag not in ("html", "body", "article", "main") and not ROLES.isdisjoint(role.lower().split())
+
+
+def _unwanted(tag: str, hint: str) -> bool:
     if tag in ("html", "body", "article", "main") or not hint:
         return False
     return bool(UNLIKELY.search(hint)) and not (LIKELY.search(hint) and not re.search(r"comment|sidebar|\bad|footer|nav", hint, re.I))
 
 
-def _order(root: Node) -> list[Node]:
-    """Kept nodes, parents before children."""
+def _weigh(root: Node) -> None:
+    """own of all elements that are not dropped for good: length, length of link text, commas, and how many
+    items of one kind the element holds."""
+    order = _order(root, True)
+    for node in reversed(order):
+        length = linked = commas = items = 0
+        kinds = Counter()
+        for c in node.children:
+            if isinstance(c, str):
+                length += len(c.strip())
+                commas += c.count(",") + c.count("、") + c.count("，")
+            elif c.soft or not c.dropped:
+                n, k, m, i = c.own
+                length, linked, commas, items = length + n, linked + (n if c.tag == "a" else k), commas + m, max(items, i)
+                if c.tag in ("li", "div", "article", "section"):
+                    kinds[c.tag, c.hint.split(" ")[0]] += 1
+        node.own = length, linked, commas, max([items, *kinds.values()])
+
+
+def _is_other(node: Node) -> bool:
+    """Whether a whole name of an element in an article calls it a menu, advert or comment list, and its own
+    text does not deny it: a menu has links, an advert or comment few words, a comment list several items."""
+    length, linked, commas, items = node.own
+    density = linked / length if length else 0.0
+    points = (1 + commas + min(length / 100, 3)) * (1 - density)
+    reads = length >= 200 and density < 0.25 and points >= 4
+    names = [n.lower().replace("_", "-") for n in node.names]
+    return (any(MENU.fullmatch(n) for n in names) and density >= 0.25 or any(ADVERT.fullmatch(n) for n in names) and not reads
+            or any(COMMENTS.fullmatch(n) for n in names) and not (reads and items < 2))
+
+
+def _settle(top: Node, holders: bool = True) -> None:
+    """Bring back what hints alone dropped under ``top``, but for menus, adverts and comment lists; without
+    ``holders`` only elements that hold no blocks."""
+    stack = [top]
+    while stack:
+        node = stack.pop()
+        for c in node.children:
+            if isinstance(c, Node):
+                if c.soft and c.dropped and (holders or c.tag not in HOLDERS):
+                    c.dropped = _is_other(c)
+                if not c.dropped:
+                    stack.append(c)
+
+
+def _order(root: Node, soft: bool = False) -> list[Node]:
+    """Kept nodes, and with ``soft`` those that their hints alone dropped, parents before children."""
     out, stack = [], [root]
     while stack:
         node = stack.pop()
-        if node.dropped:
+        if node.dropped and not (soft and node.soft):
             continue
         node.order = len(out)
         out.append(node)
@@ -195,6 +266,25 @@ def _own_text(node: Node) -> str:
 
 def main_nodes(root: Node) -> list[Node]:
     """The best container, with siblings that belong to it, in page order."""
+    _weigh(root)
+    for node in _order(root):
+        if node.tag == "article" and not _in_tag(node, "article"):
+            _settle(node)
+    kept = _choose(root)
+    for node in kept:
+        _settle(node, node.tag not in ("html", "body"))
+    return kept
+
+
+def _in_tag(node: Node, tag: str) -> bool:
+    while node.parent is not None:
+        node = node.parent
+        if node.tag == tag:
+            return True
+    return False
+
+
+def _choose(root: Node) -> list[Node]:
     order = _order(root)
     for node in reversed(order):  # lengths of text and of link text, from the leaves up
         for c in node.children:
