@@ -102,6 +102,19 @@ def test_star_hub_and_path_components(spark):
     assert rows == {**{k: 1 for k in range(1, 60)}, **{k: 99 for k in range(99, 161)}, 70: 70, 71: 70}
 
 
+def test_one_of_near_copies_with_equal_and_null_ids(spark):
+    words = " ".join(f"v{k}" for k in range(100))
+    other = words.replace("v", "u")
+    rows = [(1, words), (1, words + " end"), (1, "start " + words), (4, words.upper()), (None, words + " more"),
+            (None, other), (None, other), (None, other + " end"), (None, "start " + other), (None, None), (7, "")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, kept string")
+    left = near_dedup.keep_one(df).collect()
+    assert sorted(((r.doc_id, "v1" in (r.text or ""), "u1" in (r.text or "")) for r in left), key=str) == sorted(
+        [(1, True, False), (None, False, True), (None, False, False), (7, False, False)], key=str)
+    marks = near_dedup.near_duplicates(df).collect()
+    assert {r.component_id for r in marks if r.n_shingles} == {1, None}
+
+
 @pytest.mark.parametrize("path", [[1, 5, 4, 3, 2], [2, 3, 4, 5, 1, 6], [3, 7, 1, 5, 4, 6, 2, 8]])
 def test_components_of_one_path(spark, path):
     """After a step on the first, no node is both ends of links, but one has two smaller neighbours."""

@@ -353,8 +353,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     or wordless text has none and is linked with nothing. Texts with equal sets form one class; classes are
     linked where 100 * intersection >= ``percent`` * union. component_id is the smallest key reachable; rows
     of a null key join a component but do not name it, and a component of null keys only has a null id. kept:
-    the key is the component's id (null keys: the id is null). Repeated rows (same key and text) are each
-    reported alike. An empty table gives no rows; other columns are not read.
+    the row has the component's smallest (key, text_key), null keys last; texts without shingles are kept.
+    Repeated rows (same key and text) are each reported alike. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     with scratch(fingerprints(docs, key, text), "near-prints") as signed:
@@ -382,16 +382,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         return near.join(wanted, same).groupBy("cid").agg(F.first("text").alias("text"))  # rows may repeat
 
     labels = find_links(classes, texts_of, percent)
-    named = classes.select("cid", "rep")
+    named = classes.select("cid", "rep", "text_key")
     named = named.withColumn("label", F.col("cid")) if labels is None else \
         named.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    low = named.groupBy("label").agg(F.min("rep").alias("component"))
-    of_class = named.join(low, "label").select(F.col("cid"), "component")
+    low = named.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "text_key")).alias("low"))
+    of_class = named.join(low, "label").select(F.col("cid"), F.col("low.rep").alias("component"),
+                                               F.col("low.text_key").alias("stays"))
     rows = prints.select("doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, cid).alias("cid"))
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    kept = F.col("cid").isNull() | F.col("doc_id").eqNullSafe(component) & F.col("text_key").eqNullSafe(F.col("stays"))
     return rows.join(of_class, "cid", "left").select(
         F.col("doc_id").alias(names[0]), F.col("n_shingles").alias(names[1]), component.alias(names[2]),
-        F.col("doc_id").eqNullSafe(component).alias(names[3]), F.col("text_key").alias(names[4]))
+        kept.alias(names[3]), F.col("text_key").alias(names[4]))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
