@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import (decontaminate, extract, langid, licences, near_dedup, packing, quartile_digest, slots, toxicity,
-                          warc)
+from tidemark.llm import (decontaminate, extract, langid, licences, line_dedup, near_dedup, packing, periodic_runs,
+                          quartile_digest, slots, toxicity, warc)
 from tidemark.llm.common import crc_bucket
 
 QUERIES, SQL = {}, {}
@@ -104,6 +104,28 @@ def near_dedup_tensored(spark, sf):
     return near_dedup.near_duplicates(_table(spark, sf, "documents"))
 
 
+#: Lines one by one; ids are unique in the given tables.
+LINE_SQL = r"""WITH lines AS (SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+      FROM (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS i
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
+    repeated AS (SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+    marked AS (SELECT l.*, coalesce(doc_id <> last, false) AS dropped FROM lines l LEFT JOIN repeated USING (k))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id"""
+
+
+@query("op12_line_dedup", LINE_SQL)
+def line_dedup_cuckoo(spark, sf):
+    return line_dedup.dedup_lines(_table(spark, sf, "documents"))
+
+
+@query("op13_periodic_runs")
+def runs_of_words(spark, sf):
+    return periodic_runs.collapse_runs(_table(spark, sf, "documents"), rewrite=periodic_runs.planted_run)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
