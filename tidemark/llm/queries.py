@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import (decontaminate, extract, langid, licences, line_dedup, near_dedup, packing, periodic_runs,
-                          quartile_digest, slots, toxicity, warc)
+from tidemark.llm import (collocations, decontaminate, extract, langid, licences, line_dedup, near_dedup, packing,
+                          periodic_runs, quartile_digest, slots, toxicity, warc)
 from tidemark.llm.common import crc_bucket
 
 QUERIES, SQL = {}, {}
@@ -104,6 +104,32 @@ def near_dedup_tensored(spark, sf):
     return near_dedup.near_duplicates(_table(spark, sf, "documents"))
 
 
+#: All grams of each length counted by themselves.
+PHRASE_SQL = r"""WITH pieces AS (SELECT lang, list_filter(string_split_regex(p, '[ \t]+'), lambda w: w <> '') AS w
+      FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+    grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+      FROM pieces, range(1, 6) t(k) WHERE len(w) >= k),
+    f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+    totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT * FROM f WHERE k >= 2 AND f >= 100),
+    inside AS (SELECT lang, g, max(f) AS most FROM (SELECT lang, g[1:k - 1] AS g, f FROM candidates WHERE k > 2
+      UNION ALL SELECT lang, g[2:k] AS g, f FROM candidates WHERE k > 2) GROUP BY ALL),
+    own AS (SELECT c.* FROM candidates c LEFT JOIN inside i USING (lang, g) WHERE most IS NULL OR 100 * most < 100 * c.f),
+    cuts AS (SELECT o.lang, array_to_string(o.g, ' ') AS phrase, cut, o.f AS a, l.f AS l, r.f AS r, n,
+        (1000 * o.f::HUGEINT * n // (l.f::HUGEINT * r.f))::BIGINT AS score
+      FROM own o JOIN totals USING (lang), range(1, 5) t(cut), f l, f r
+      WHERE cut < o.k AND l.lang = o.lang AND l.g = o.g[1:cut] AND r.lang = o.lang AND r.g = o.g[cut + 1:o.k]),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM best QUALIFY rank <= 2000"""
+
+
+@query("op11_phrase_collocations", PHRASE_SQL)
+def phrases(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
 #: Lines one by one; ids are unique in the given tables.
 LINE_SQL = r"""WITH lines AS (SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
