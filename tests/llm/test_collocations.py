@@ -90,6 +90,8 @@ def test_small_buffers_and_many_batches_change_nothing(spark, monkeypatch):
     assert {(r["lang"], r["phrase"]): r["f"] for r in graph.spelled(graph.grams).collect()} == want
     monkeypatch.setattr(co, "BUFFER", 50)
     monkeypatch.setattr(co, "CACHE", 5)
+    joined = co._joined
+    monkeypatch.setattr(co, "_joined", lambda batches: joined(batches, 3))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         again = co.Graph(docs, least=3)

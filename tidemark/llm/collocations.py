@@ -18,6 +18,7 @@ moved, and grams are dealt by their first three words, not by a word or a pair t
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,37 +31,42 @@ from tidemark.sources.sinks import materialize
 LONGEST = 5
 UNKNOWN = "und"
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
-#: Punctuation and line ends become one line end, A-Z are lower-cased.
-_PIECES = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Punctuation and line ends become this byte, which no UTF-8 text has; A-Z are lower-cased.
+_END = b"\xff"
+_PIECES = bytes(_END[0] if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Codes held by a task before they are counted and given out; entries of its table of words.
 BUFFER, CACHE = 1 << 20, 1 << 19
 #: Bits of a bitmap of frequent words or pairs, at most.
 MOST_BITS = 1 << 27
 
 
-def pieces(text: bytes) -> list[list[bytes]]:
-    """The words of each piece: pieces end at punctuation and line ends, words at blanks and tabs."""
-    return [p.split() for p in text.translate(_PIECES).split(b"\n")]
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text, with ``_END`` where a piece ends: pieces end at punctuation and line ends, words at blanks
+    and tabs."""
+    return text.translate(_PIECES).replace(_END, b" \xff ").split()
 
 
 class Coder(dict):
-    """Codes of the words of one language; 0 for words that are surely not wanted."""
+    """Numbers of the words of one language in one task; ``codes`` has the code of each number. Number 0, of code 0,
+    is that of piece ends and of words that are surely not in the bitmap ``wanted``."""
 
-    def __init__(self, lang: str, seed: int, wanted: np.ndarray | None = None):
+    def __init__(self, lang: str, seed: int, wanted: bytes = b""):
         name = lang.encode()
         self.prefix, self.wanted = seed.to_bytes(4) + len(name).to_bytes(4) + name, wanted
+        self.start = zlib.crc32(name + b" ")
+        self[_END], self.codes = 0, [0]
 
     def code(self, word: bytes) -> int:
         return int.from_bytes(hashlib.blake2b(self.prefix + word, digest_size=8).digest()) or 1
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        code = self.code(word)
-        if self.wanted is not None and not in_bitmap(self.wanted, np.array([code], np.uint64))[0]:
-            code = 0
-        self[word] = code
-        return code
+        at = zlib.crc32(word, self.start) & 8 * len(self.wanted) - 1
+        number = 0
+        if self.wanted[at >> 3] >> (at & 7) & 1:
+            number = len(self.codes)
+            self.codes.append(self.code(word))
+        self[word] = number
+        return number
 
 
 def in_bitmap(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -95,21 +101,32 @@ def _texts(batches) -> Iterator[tuple[str, bytes]]:
             yield lang, data[begin:end]
 
 
-def _coded(batches, seed: int, words: np.ndarray) -> Iterator[np.ndarray]:
+def _coded(batches, seed: int, words: bytes) -> Iterator[np.ndarray]:
     """Codes of many texts in a row, 0 at piece ends and in place of unwanted words."""
-    coders, held = {}, []
+    coders, done, held, size = {}, [], {}, 0
+
+    def give():  # of each language what has been read so far
+        for lang, parts in held.items():
+            codes = np.array(coders[lang].codes, np.uint64)
+            done.extend(codes[np.array(part)] for part in parts)
+        held.clear()
+
     for lang, text in _texts(batches):
-        coder = coders.get(lang) or coders.setdefault(lang, Coder(lang, seed, words))
-        take = coder.__getitem__
-        for piece in pieces(text):
-            if len(piece) > 1:
-                held.extend(map(take, piece))
-                held.append(0)
-        if len(held) >= BUFFER:
-            yield np.array(held, np.uint64)
-            held = []
-    if held:
-        yield np.array(held, np.uint64)
+        coder = coders.get(lang)
+        if coder is None or len(coder) >= CACHE:
+            give()
+            coder = coders[lang] = Coder(lang, seed, words)
+        part = list(map(coder.__getitem__, words_of(text)))
+        part.append(0)
+        held.setdefault(lang, []).append(part)
+        size += len(part)
+        if size >= BUFFER:
+            give()
+            yield np.concatenate(done)
+            done, size = [], 0
+    give()
+    if done:
+        yield np.concatenate(done)
 
 
 def _signed(x: np.ndarray):
@@ -137,8 +154,8 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
 
         for k, (lang, text) in enumerate(_texts(batches)):
             found = counts.setdefault(lang, Counter())
-            for piece in pieces(text):
-                found.update(piece)
+            found.update(words_of(text))
+            found.pop(_END, None)
             if not k % 64 and sum(map(len, counts.values())) >= CACHE:
                 yield from rows()
                 counts.clear()
@@ -153,7 +170,7 @@ def count_pairs(docs: DataFrame, seed: int, words) -> DataFrame:
     import pyarrow as pa
 
     def make(batches):
-        for codes in _coded(batches, seed, words.value):
+        for codes in _coded(batches, seed, words.value.tobytes()):
             pairs = pair_codes(codes)
             found, n = np.unique(pairs[pairs != 0], return_counts=True)
             for k in range(0, len(found), 100_000):
@@ -190,7 +207,7 @@ def gram_rows(docs: DataFrame, seed: int, words, pairs) -> DataFrame:
     import pyarrow as pa
 
     def make(batches):
-        for codes in _coded(batches, seed, words.value):
+        for codes in _coded(batches, seed, words.value.tobytes()):
             found = pair_codes(codes)
             linked = (found != 0) & in_bitmap(pairs.value, found)
             rows, n = longest_grams(codes, linked)
@@ -201,6 +218,21 @@ def gram_rows(docs: DataFrame, seed: int, words, pairs) -> DataFrame:
     return docs.mapInArrow(make, ", ".join(f"{w} long" for w in WORDS) + ", n long")
 
 
+def _joined(batches, rows: int = 1 << 16) -> Iterator:
+    """Batches put together to about so many rows; none is empty."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def flows(rows: DataFrame, least: int) -> DataFrame:
     """(k, w1, .., w5, f): the grams of 3 to LONGEST words that occur ``least`` times, and of those of 2 words the
     sums of each task. One sort by words: a gram's count is the sum over the rows that begin with it."""
@@ -215,10 +247,8 @@ def flows(rows: DataFrame, least: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.full(int(some.sum()), k), pa.int32()), *map(pa.array, padded),
                                                pa.array(f[some], pa.int64())], ["k", *WORDS, "f"])
 
-        for batch in batches:
+        for batch in _joined(batches):
             table = [batch.column(i).to_numpy() for i in range(LONGEST + 1)]
-            if not len(table[0]):
-                continue
             changed = np.zeros(len(table[0]), bool)
             for k in range(1, LONGEST + 1):
                 changed[1:] |= table[k - 1][1:] != table[k - 1][:-1]
@@ -262,7 +292,8 @@ class Graph:
             seed += 1
         self.totals = self.words.groupBy("lang").agg(F.sum("n").alias("n"))
         send = spark.sparkContext.broadcast
-        words = send(bitmap_of(self.words.where(F.col("n") >= least).select("code")))
+        spot = F.crc32(F.concat("lang", F.lit(" "), "word").cast("binary"))  # as Coder has it
+        words = send(bitmap_of(self.words.where(F.col("n") >= least).select(spot.alias("spot"))))
         pairs = send(bitmap_of(count_pairs(taken, seed, words).where(F.col("n") >= least).select("pair")))
         found = materialize(flows(gram_rows(taken, seed, words, pairs), least), "phrase-flows")
         words.unpersist()
