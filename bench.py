@@ -50,19 +50,26 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()
     only = sys.argv[1:]
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in [*QUERIES, "tune_lr", "tune_rf", "tune_gbt"]:
         if only and name not in only:
             continue
         start = time.time()
-        if name.startswith("tune_"):
-            spent = tune(spark, sf, name.removeprefix("tune_"))
-        else:
-            queries[name](spark, sf).write.format("noop").mode("overwrite").save()
-            spent = time.time() - start
+        try:
+            if name.startswith("tune_"):
+                spent = tune(spark, sf, name.removeprefix("tune_"))
+            else:
+                queries[name](spark, sf).write.format("noop").mode("overwrite").save()
+                spent = time.time() - start
+        except Exception as error:  # the other timings are worth having; the entry is named in the result
+            errors[name] = f"{type(error).__name__}: {error}"[:300]
+            print(name, "failed:", errors[name], file=sys.stderr, flush=True)
+            continue
         times[name] = round(spent, 3)
-        print(name, times[name], file=sys.stderr)
+        print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf")}))
+                      "queries": times, "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf"),
+                      **({"errors": errors} if errors else {})}))
 
 
 if __name__ == "__main__":

@@ -126,3 +126,117 @@ def test_split_uses_the_whole_hash(spark):
     assert split.with_split(rows.where("k IS NULL"), "k").select("side").distinct().count() == 1
     folds = {r["fold"] for r in split.with_folds(rows, "k").where("k IS NULL").collect()}
     assert len(folds) == 1 and folds <= {0, 1, 2}
+
+
+def _lr(points=3):
+    algo = tr.algorithms(max_iter=20)["lr"]
+    return tr.Algorithm(algo.name, algo.experiment, algo.classifier, algo.grid[:points])
+
+
+class Dies(Exception):
+    pass
+
+
+def _counted(monkeypatch, after=None):
+    """Count the fits of grid points; the one after ``after`` fits dies."""
+    from pyspark.ml.classification import LogisticRegression
+    fits, fit = [], LogisticRegression.fit
+
+    def counting(self, rows, params=None):
+        fits.append(params)
+        if after is not None and len(fits) > after:
+            raise Dies("the machine is gone")
+        return fit(self, rows, params)
+
+    monkeypatch.setattr(LogisticRegression, "fit", counting)
+    return fits
+
+
+def test_tuning_goes_on_where_it_died(spark, rows, tmp_path, monkeypatch):
+    from tidemark.operators.journal import FitJournal
+    want = tr.tune(rows, SPEC, _lr())
+    journal = FitJournal(spark, str(tmp_path / "fits"))
+    with monkeypatch.context() as m:
+        _counted(m, after=4)
+        with pytest.raises(Dies):
+            tr.tune(rows, SPEC, _lr(), parallelism=2, journal=journal)
+    kept = journal.table().count()
+    assert 3 <= kept <= 4
+    with monkeypatch.context() as m:
+        fits = _counted(m)
+        got = tr.tune(rows.repartition(3), SPEC, _lr(), journal=journal)  # the same rows in other partitions
+        assert len(fits) == 9 - kept + 1  # the missing ones, and the refit
+    assert sum(got.fold_auc, []) == pytest.approx(sum(want.fold_auc, []), abs=1e-12)  # sums run in another order
+    assert got.best == want.best
+    with monkeypatch.context() as m:
+        fits = _counted(m)
+        assert tr.tune(rows, SPEC, _lr(), journal=journal, fold_parallelism=1).fold_auc == got.fold_auc and len(fits) == 1
+        tr.tune(rows, SPEC, _lr(1), folds=2, journal=journal)
+        tr.tune(rows.where("k > 5"), SPEC, _lr(1), journal=journal)
+        assert len(fits) == 1 + (2 + 1) + (3 + 1)  # other folds, other rows: nothing of the journal counts
+
+
+def test_a_failing_fit_leaves_a_failed_run_and_the_finished_ones(spark, rows, tmp_path, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+    from tidemark import jobs
+    from tidemark.operators import runs
+    algos = {"lr": _lr(1), "rf": tr.algorithms()["rf"]}
+    seen = []
+
+    def fit(self, *args):
+        seen.append({(r["status"], r["reason"]) for r in jobs.stored(spark, str(tmp_path), "run_events").collect()})
+        raise Dies("no room\nfor trees")
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    with pytest.raises(Dies):
+        jobs.training_job(rows, SPEC, str(tmp_path), "m", algos, folds=2)
+    assert seen[0] == {("RUNNING", None), ("FINISHED", None)}  # the forest's run exists before its first fit
+    events = jobs.stored(spark, str(tmp_path), "run_events")
+    states = {r["run_id"]: r["status"] for r in runs.run_states(events).collect()}
+    assert sorted(states.values()) == ["FAILED", "FINISHED"]
+    failed = runs.run_failures(events).first()
+    assert failed["reason"] == "Dies: no room" and states[failed["run_id"]] == "FAILED"
+    params = jobs.stored(spark, str(tmp_path), "run_params").where(F.col("run_id") == failed["run_id"])
+    assert {r["key"]: r["value"] for r in params.collect()}["algorithm"] == "Random Forest"
+    assert {r["run_id"] for r in jobs.stored(spark, str(tmp_path), "run_metrics").collect()} == set(states) - {failed["run_id"]}
+    monkeypatch.undo()
+    fits = _counted(monkeypatch)
+    assert jobs.training_job(rows, SPEC, str(tmp_path), "m", algos, folds=2).first()["version"] == 1
+    assert len(fits) == 1  # the folds of the regression are in the journal, the refit is not
+    states = [r["status"] for r in runs.run_states(jobs.stored(spark, str(tmp_path), "run_events")).collect()]
+    assert sorted(states) == ["FAILED", "FINISHED", "FINISHED", "FINISHED"]
+
+
+def test_abandoned_runs_are_closed(spark):
+    from tidemark.operators import runs
+    events = spark.createDataFrame([("a", "e", "RUNNING", 100), ("b", "e", "RUNNING", 100), ("b", "e", "FINISHED", 150),
+                                    ("c", "e", "RUNNING", 900)], "run_id string, experiment_id string, status string, at long") \
+        .withColumn("at", F.timestamp_seconds("at")).withColumn("reason", F.lit(None).cast("string"))
+    more = runs.abandoned(events, F.timestamp_seconds(F.lit(500)))
+    both = runs.run_failures(events.unionByName(more)).collect()
+    assert [(r["run_id"], r["reason"]) for r in both] == [("a", "abandoned")]
+
+
+def test_threads_do_not_share_local_properties(spark):
+    """Each task has properties of its own: what one sets, or clears, no other sees."""
+    import time
+    sc = spark.sparkContext
+
+    def own(i):
+        sc.setLocalProperty("tidemark.test", str(i))
+        time.sleep(0.05)
+        return sc.getLocalProperty("tidemark.test")
+
+    assert tr.run_in_threads(spark, own, list(range(24)), 8) == [str(i) for i in range(24)]
+    done = []
+
+    def some_die(i):
+        if i == 3:
+            raise Dies(i)
+        time.sleep(0.05)
+        done.append(i)
+
+    with pytest.raises(Dies):
+        tr.run_in_threads(spark, some_die, list(range(50)), 2)
+    assert len(done) < 10
+    assert tr.run_in_threads(spark, own, [], 4) == []

@@ -1,7 +1,7 @@
 """The whole jobs: train and register, score requests, promote, compare, report drift.
 
 All state lives in tables under one root folder that every executor can reach:
-``experiments run_events run_params run_metrics models versions stage_events tags
+``experiments run_events run_params run_metrics fits models versions stage_events tags
 predictions`` and, per run, ``artifacts/<run_id>/``.
 """
 
@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import drift, importance, registry as reg, runs, scoring, training as tr
+from tidemark.operators.journal import FitJournal
 from tidemark.operators.metrics import confusion_matrix, roc_curve
 from tidemark.operators.profile import exploration_summary
 from tidemark.operators.split import cached, split
@@ -64,7 +65,10 @@ def training_job(rows: DataFrame, spec: FeatureSpec, root: str, name: str,
                  folds: int = tr.FOLDS, tags: Mapping[str, str] | None = None, partitions: int | None = None) -> DataFrame:
     """Profile, split, tune every algorithm, log the runs, register the champion, promote it if it
     passes the gate. ``rows`` are cleaned and carry ``spec.key``. Rows that no fit can use, for want of a
-    number or the label, are written to the ``quarantine`` table. Returns the promotion decision."""
+    number or the label, are written to the ``quarantine`` table. Returns the promotion decision.
+
+    Runs are in the tables while they run (``runs.RunLog``) and every finished fit is in ``fits``: a job that died
+    and is started again with the same rows fits only what is missing."""
     spark = rows.sparkSession
     known = tr.usable(spec) & F.col(spec.label).isNotNull()
     reason = F.when(F.col(spec.label).isNull(), F.lit("no label")).otherwise("a number is missing")
@@ -75,11 +79,10 @@ def training_job(rows: DataFrame, spec: FeatureSpec, root: str, name: str,
     sinks.write_exploration(exploration_summary(rows.drop(spec.key), spec), f"{root}/exploration")
 
     train, test = split(rows, key=spec.key)
-    done = tr.train_all(train, test, spec, algos, folds, partitions=partitions)
     wanted = spark.createDataFrame([(a.experiment,) for a in algos.values()], "name string")
     sinks.append(runs.ensure_experiments(stored(spark, root, "experiments"), wanted), f"{root}/experiments")
-    for table, part in zip(("run_events", "run_params", "run_metrics"), runs.runs_tables(spark, done)):
-        sinks.append(part, f"{root}/{table}")
+    done = tr.train_all(train, test, spec, algos, folds, partitions=partitions,
+                        journal=FitJournal(spark, f"{root}/fits"), recorder=runs.RunLog(spark, root))
     grids = {a.name: a.grid_points() for a in algos.values()}
     for run in done:
         write_artifacts(spark, run, spec, test, grids[run.algorithm], f"{root}/artifacts/{run.run_id}")

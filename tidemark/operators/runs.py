@@ -1,6 +1,6 @@
 """Experiments and runs as append-only tables.
 
-experiments(name, experiment_id) · run_events(run_id, experiment_id, status, at)
+experiments(name, experiment_id) · run_events(run_id, experiment_id, status, at, reason)
 run_params(run_id, key, value) · run_metrics(run_id, key, value)
 """
 
@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import fixed
-from tidemark.operators.training import TrainedRun
+from tidemark.operators.training import Recorder, TrainedRun
+from tidemark.sources.sinks import append
 from tidemark.spec import RUN_METRICS, RUN_PARAMS
 
-RUN_EVENTS = "run_id string, experiment_id string, status string, at timestamp"
+RUN_EVENTS = "run_id string, experiment_id string, status string, at timestamp, reason string"
 PARAMS = "run_id string, key string, value string"
 METRICS = "run_id string, key string, value double"
 
@@ -42,11 +43,12 @@ def log_metrics(wide: DataFrame, run_id: str = "run_id", names: Sequence[str] =
             .where(F.col("value").isNotNull()))
 
 
-def log_run(runs: DataFrame, status: str, at: Column | str) -> DataFrame:
-    """Event rows that start or finish runs."""
+def log_run(runs: DataFrame, status: str, at: Column | str, reason: Column | str | None = None) -> DataFrame:
+    """Event rows that start or end runs; ``reason`` says why a run failed."""
     when = F.col(at) if isinstance(at, str) else at
+    why = F.col(reason) if isinstance(reason, str) else F.lit(None) if reason is None else reason
     return runs.select("run_id", "experiment_id", F.lit(status).alias("status"),
-                       when.cast("timestamp").alias("at"))
+                       when.cast("timestamp").alias("at"), why.cast("string").alias("reason"))
 
 
 def run_states(events: DataFrame) -> DataFrame:
@@ -60,6 +62,20 @@ def run_states(events: DataFrame) -> DataFrame:
                 (F.unix_micros("ended_at") - F.unix_micros("started_at")) / 1_000_000, 3)))
 
 
+def run_failures(events: DataFrame) -> DataFrame:
+    """The runs whose latest status is FAILED: when they began and ended, and the reason given last."""
+    last = F.max_by(F.struct("status", "reason"), F.struct("at", F.col("status") != "RUNNING"))
+    return (events.groupBy("run_id", "experiment_id").agg(
+        last.alias("last"), F.min("at").alias("started_at"), F.max("at").alias("failed_at"))
+        .where("last.status = 'FAILED'").select("run_id", "experiment_id", "started_at", "failed_at", "last.reason"))
+
+
+def abandoned(events: DataFrame, before: Column) -> DataFrame:
+    """FAILED events for runs that began before a time and never ended: the job that had them is gone."""
+    open_ = run_states(events).where((F.col("status") == "RUNNING") & (F.col("started_at") < before))
+    return log_run(open_, "FAILED", before, F.lit("abandoned"))
+
+
 def _pivot(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Fixed key list, so one aggregate without a pass to find the keys."""
     return rows.groupBy("run_id").agg(*[
@@ -122,6 +138,10 @@ def run_config(spark: SparkSession, algorithm: str, grid: Sequence[dict[str, str
         "algorithm string, num_cv_folds int, train_test_split string, param_grid array<map<string,string>>")
 
 
+def _moment(seconds: str) -> Column:
+    return F.timestamp_micros((F.col(seconds) * 1_000_000).cast("bigint"))
+
+
 def runs_tables(spark: SparkSession, runs: Sequence[TrainedRun]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(run_events, run_params, run_metrics) rows of finished trainings, ready to append."""
     events, params, metrics = [], [], []
@@ -130,6 +150,33 @@ def runs_tables(spark: SparkSession, runs: Sequence[TrainedRun]) -> tuple[DataFr
         params += [(r.run_id, k, v) for k, v in r.params.items()]
         metrics += [(r.run_id, k, float(v)) for k, v in r.metrics.items()]
     ev = spark.createDataFrame(events, "run_id string, experiment string, status string, at double").select(
-        "run_id", experiment_id(F.col("experiment")).alias("experiment_id"), "status",
-        F.timestamp_micros((F.col("at") * 1_000_000).cast("bigint")).alias("at"))
+        "run_id", experiment_id(F.col("experiment")).alias("experiment_id"), "status", _moment("at").alias("at"),
+        F.lit(None).cast("string").alias("reason"))
     return ev, log_params(spark.createDataFrame(params, PARAMS)), spark.createDataFrame(metrics, METRICS)
+
+
+class RunLog(Recorder):
+    """Writes each run into the tables under ``root`` while it exists: RUNNING and the parameters before its first
+    fit, the metrics and FINISHED when it is done, FAILED and the reason when it raised. Rows are only added."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def _event(self, run_id: str, experiment: str, status: str, at: float, reason: str | None = None) -> None:
+        row = self.spark.createDataFrame([(run_id, experiment, at, reason)],
+                                         "run_id string, experiment string, at double, reason string")
+        row = row.withColumn("experiment_id", experiment_id(F.col("experiment")))
+        append(log_run(row, status, _moment("at"), "reason").coalesce(1), f"{self.root}/run_events")
+
+    def started(self, run_id, algorithm, params, at) -> None:
+        self._event(run_id, algorithm.experiment, "RUNNING", at)
+        rows = self.spark.createDataFrame([(run_id, k, v) for k, v in params.items()], PARAMS)
+        append(log_params(rows).coalesce(1), f"{self.root}/run_params")
+
+    def finished(self, run) -> None:
+        rows = self.spark.createDataFrame([(run.run_id, k, float(v)) for k, v in run.metrics.items()], METRICS)
+        append(rows.coalesce(1), f"{self.root}/run_metrics")
+        self._event(run.run_id, run.experiment, "FINISHED", run.ended)
+
+    def failed(self, run_id, algorithm, reason, at) -> None:
+        self._event(run_id, algorithm.experiment, "FAILED", at, reason)

@@ -70,6 +70,33 @@ def run_states(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})
 
 
+_LIFE_SQL = SUPPLIER_RUNS_SQL.rstrip() + """,
+lives AS (SELECT *, CASE WHEN accuracy IS NULL OR auc_roc < 0.5::DOUBLE THEN 'FAILED'
+                         WHEN f1_score < 0.3::DOUBLE THEN 'RUNNING' ELSE 'FINISHED' END status FROM supplier_runs)"""
+
+
+@query("run_life_cycle", with_sql(_LIFE_SQL) + """
+SELECT run_id, CASE status WHEN 'RUNNING' THEN 'FAILED' ELSE status END status, created_at started_at,
+       CASE status WHEN 'FAILED' THEN 'AUC below one half' WHEN 'RUNNING' THEN 'abandoned' END reason,
+       CASE WHEN status <> 'RUNNING' THEN 30.0::DOUBLE END seconds_known FROM lives""")
+def run_life_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs that finish, fail, or are left running by a job that is gone; the last are closed as abandoned."""
+    rows = runs_table(spark, sf).withColumn("experiment_id", runs.experiment_id(F.col("algorithm")))
+    bad = F.col("accuracy").isNull() | (F.col("auc_roc") < 0.5)
+    silent = ~bad & F.coalesce(F.col("f1_score") < 0.3, F.lit(False))
+    end = F.col("created_at") + F.expr("interval 30 seconds")
+    events = (runs.log_run(rows, "RUNNING", "created_at")
+              .unionByName(runs.log_run(rows.where(F.coalesce(bad, F.lit(False))), "FAILED", end, F.lit("AUC below one half")))
+              .unionByName(runs.log_run(rows.where(~F.coalesce(bad, F.lit(False)) & ~silent), "FINISHED", end)))
+    late = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    closed = events.unionByName(runs.abandoned(events, late))
+    states = runs.run_states(closed)
+    why = runs.run_failures(closed).select("run_id", "reason")
+    return states.join(why, "run_id", "left").select(
+        "run_id", "status", F.col("started_at").cast("timestamp_ntz").alias("started_at"), "reason",
+        F.when(F.coalesce(F.col("reason") != "abandoned", F.lit(True)), F.col("duration_seconds")).alias("seconds_known"))
+
+
 @query("run_view", with_sql(SUPPLIER_RUNS_SQL) + f"""
 SELECT run_id, {", ".join(f'"{m}"' for m in RUN_METRICS)}, algorithm, repeat(name || ' | ', 60) param_grid
 FROM supplier_runs""")
