@@ -141,3 +141,79 @@ def test_no_traffic_is_zero_errors(spark):
 def test_range_must_fit_steps(spark, sf):
     with pytest.raises(ValueError):
         mon.rate(spark.read.parquet(f"{sf}/events.parquet"), [], "1 minute", "25 seconds")
+
+
+def test_selected_quantiles_are_exact(spark):
+    """Also with ties, null values and keys, one row a range, and a value that a third of the rows have."""
+    import datetime as dt
+    import random
+    import statistics
+    rnd = random.Random(8)
+    at = dt.datetime(2024, 1, 1)
+    rows = [(at + dt.timedelta(seconds=rnd.randrange(1200)), rnd.choice(["a", "b", None]),
+             rnd.choice([None, 1.5, round(rnd.random(), 2), rnd.lognormvariate(0, 3)])) for _ in range(900)]
+    rows += [(at + dt.timedelta(hours=5), "a", 3.0), (at + dt.timedelta(hours=6), "a", None)]
+    log = spark.createDataFrame(rows, "ts timestamp, handler string, latency_s double")
+    want = {}
+    for t, h, v in rows:
+        if v is not None:
+            slot = int((t - at).total_seconds()) // 60
+            for k in range(5):
+                want.setdefault((slot - k, h), []).append(v)
+
+    def quantile(values, q):
+        values = sorted(values)
+        place = q * (len(values) - 1)
+        low = int(place)
+        high = min(low + 1, len(values) - 1)
+        return values[low] * (1 - (place - low)) + values[high] * (place - low)
+
+    for buckets in (2, 7, 256):
+        got = mon.selected_quantiles(log, "latency_s", (0.0, 0.5, 0.95, 1.0), "5 minutes", "1 minute", ["handler"], buckets=buckets)
+        found = {(round((r["window_start"] - at).total_seconds()) // 60, r["handler"]): r for r in got.collect()}
+        assert set(found) == set(want)
+        for key, values in want.items():
+            r = found[key]
+            assert r["n"] == len(values)
+            for q, name in ((0.0, "p0"), (0.5, "p50"), (0.95, "p95"), (1.0, "p100")):
+                assert r[name] == pytest.approx(quantile(values, q), rel=1e-12)
+            assert r["p50"] == pytest.approx(statistics.median(values), rel=1e-12)
+    assert mon.latency_quantiles(log.limit(0), by=["handler"]).count() == 0
+
+
+def test_selection_moves_less_than_two_copies_of_the_log(spark):
+    """Rows of the shuffles of one run, counted by Spark: the joined side and the selected values."""
+    log = spark.range(60_000).selectExpr("timestamp_seconds(1704067200 + id div 50) AS ts", "rand(3) * 10 AS latency_s")
+    log = log.checkpoint()
+    moved = mon.latency_quantiles(log, (0.5, 0.95), "5 minutes", "15 seconds")
+    got = moved.collect()
+    written = 0
+    stack = [moved._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            stack.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            stack.append(node.plan())
+            continue
+        if name == "Exchange":
+            written += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    assert len(got) > 80 and 0 < written < 2 * 60_000
+
+
+def test_silent_ranges_are_zero(spark):
+    rows = [("2024-01-01 00:00:10", "a", 200), ("2024-01-01 00:03:10", "a", 500), ("2024-01-01 00:01:00", None, 500)]
+    log = spark.createDataFrame(rows, "ts string, handler string, status int").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = mon.error_rate(log, "1 minute", "1 minute", ["handler"], silent=True)
+    got = sorted(((r["handler"] or "", r["window_start"].minute, r["n"], r["errors"], r["error_pct"]) for r in out.collect()))
+    assert got == [("", 1, 1, 1, 100.0), ("a", 0, 1, 0, 0.0), ("a", 1, 0, 0, 0.0), ("a", 2, 0, 0, 0.0), ("a", 3, 1, 1, 100.0)]
+    whole = mon.rate(log, range="2 minutes", step="1 minute", silent=True).orderBy("window_start").collect()
+    assert [r["n"] for r in whole] == [1, 2, 1, 1, 1] and whole[0]["per_second"] == 1 / 120
+    mean = mon.avg_latency(log.withColumn("latency_s", F.lit(2.0)), "1 minute", "1 minute", ["handler"], silent=True)
+    assert [(r["n"], r["avg_latency"]) for r in mean.where("handler = 'a'").orderBy("window_start").collect()] == [
+        (1, 2.0), (0, None), (0, None), (1, 2.0)]
+    assert mon.error_rate(log.limit(0), "1 minute", "1 minute", silent=True).count() == 0

@@ -92,3 +92,96 @@ def test_stream_scored_by_a_fitted_model(spark, sf, valid_row, tmp_path):
               s.score_with_model(v.typed(v.validate(rows)), model, numeric, "3", "tenure").collect()}
     got = {r["status"]: r["churn_probability"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == wanted and got["valid"] is not None and got["invalid"] is None
+
+
+def _traffic(n=300, seconds=40):
+    import random
+    rnd = random.Random(4)
+    return [(NOON + dt.timedelta(seconds=seconds * i), rnd.choice(["a", "b", None]), rnd.choice([None, rnd.random(), 0.5, 2.0]))
+            for i in range(n)]
+
+
+def _rows(frame, names):
+    return sorted((tuple(r) for r in frame.select(*names).collect()), key=repr)
+
+
+def test_panes_hold_one_row_of_state_and_give_the_batch_ranges(spark, tmp_path):
+    """At 5 minutes / 15 seconds an event used to enter 20 windows; now it enters one pane."""
+    rows = _traffic()
+    folder = str(tmp_path / "in")
+    drop_in(spark, folder, 1, rows)
+    panes = live.stream_panes(log_stream(spark, folder), ["handler"], "15 seconds", "1 hour")
+    query = live.update_to(panes, f"{tmp_path}/out", f"{tmp_path}/mark")
+    query.awaitTermination()
+    kept = sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress)
+    assert kept == len({(int((t - NOON).total_seconds()) // 15, h) for t, h, _ in rows}) <= len(rows)
+    now = live.latest(spark.read.parquet(f"{tmp_path}/out"), ["__slot", "handler"])
+    names = ["window_start", "handler", "n", "per_second"]
+    want = mon.rate(spark.createDataFrame(rows, LOG), ["handler"], "5 minutes", "15 seconds")
+    assert _rows(live.ranges_of_panes(now, "5 minutes", "15 seconds", ["handler"]), names) == _rows(want, names)
+
+
+def test_ranges_are_appended_once_the_watermark_has_passed(spark, tmp_path):
+    rows = _traffic()
+    folder = str(tmp_path / "in")
+    drop_in(spark, folder, 1, rows)
+    later = NOON + dt.timedelta(days=2)
+    drop_in(spark, folder, 2, [(later, "a", 1.0)])
+    drop_in(spark, folder, 3, [(later, "a", 1.0)])
+    stream = live.stream_ranges(log_stream(spark, folder), ["handler"], "5 minutes", "1 minute", "1 minute", value="latency_s",
+                                quantiles=(0.5,))
+    query = live.append_to(stream, f"{tmp_path}/out", f"{tmp_path}/mark")
+    query.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    names = ["window_start", "handler", "n"]
+    want = mon.rate(spark.createDataFrame(rows, LOG), ["handler"], "5 minutes", "1 minute")
+    assert _rows(got, names) == _rows(want, names)
+    exact = mon.latency_quantiles(spark.createDataFrame(rows, LOG), (0.5,), "5 minutes", "1 minute", ["handler"], exact=False)
+    assert _rows(got.where("p50 IS NOT NULL"), ["window_start", "handler"]) == _rows(exact.where("p50 IS NOT NULL"), ["window_start", "handler"])
+
+
+def test_streamed_quantiles_stay_within_the_rank_error(spark, tmp_path):
+    import random
+    rnd = random.Random(9)
+    rows = [(NOON + dt.timedelta(seconds=i // 40), "a", rnd.lognormvariate(0, 2)) for i in range(40_000)]
+    folder = str(tmp_path / "in")
+    drop_in(spark, folder, 1, rows)
+    panes = live.stream_panes(log_stream(spark, folder), [], "1 minute", "1 hour", value="latency_s")
+    live.update_to(panes, f"{tmp_path}/out", f"{tmp_path}/mark").awaitTermination()
+    now = live.latest(spark.read.parquet(f"{tmp_path}/out"), ["__slot"])
+    for r in live.ranges_of_panes(now, "5 minutes", "1 minute", (), (0.5, 0.95)).collect():
+        start = r["window_start"]
+        mine = [v for t, _, v in rows if start <= t < start + dt.timedelta(minutes=5)]
+        assert r["n"] == len(mine)
+        for q, value in ((0.5, r["p50"]), (0.95, r["p95"])):
+            assert abs(sum(v <= value for v in mine) / len(mine) - q) < 0.03
+
+
+def test_snapshots_bound_what_is_read(spark, tmp_path):
+    """Files do not grow with the number of batches, and a replayed batch changes nothing."""
+    folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    schema = spark.createDataFrame([], "handler string, n long").schema
+    want = {}
+    for number in range(13):
+        names = ["a", "b", None, f"h{number % 4}"]
+        drop_in(spark, folder, number, [(NOON, h, 1.0) for h in names])
+        for h in names:
+            want[h] = want.get(h, 0) + 1
+
+    def run():
+        counts = live.stream_counts(log_stream(spark, folder), ["handler"])
+        live.snapshot_to(counts, out, mark, ["handler"], every=3).awaitTermination()
+        return {r["handler"]: r["n"] for r in live.read_latest(spark, out, schema, ["handler"]).collect()}
+
+    assert run() == want
+    assert len(os.listdir(f"{out}/batches")) <= 2 * 3 + 1 and len(os.listdir(f"{out}/snapshots")) == 2
+    last = max(int(n.partition("=")[2]) for n in os.listdir(f"{out}/snapshots"))
+    for name in os.listdir(f"{mark}/commits"):  # the batch of the last snapshot, and all after it, are played again
+        if name.lstrip(".").split(".")[0].isdigit() and int(name.lstrip(".").split(".")[0]) >= last:
+            os.remove(f"{mark}/commits/{name}")
+    assert run() == want
+
+
+def test_nothing_to_read_is_an_empty_table(spark, tmp_path):
+    schema = spark.createDataFrame([], "handler string, n long").schema
+    assert live.read_latest(spark, str(tmp_path / "none"), schema, ["handler"]).count() == 0

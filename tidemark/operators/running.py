@@ -22,7 +22,7 @@ def exact_total(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def _with_range(df: DataFrame, order: str, size: int) -> DataFrame:
+def with_range(df: DataFrame, order: str, size: int) -> DataFrame:
     """Add how many of the sorted ``__bounds`` lie below ``order``, by halving: each step is a
     projection that stays in generated code."""
     out = df.withColumn("__range", F.lit(0))
@@ -50,7 +50,7 @@ def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by:
     cuts = [i / ranges for i in range(1, ranges)]
     overall = df.agg(F.struct(F.percentile_approx(order, cuts, 10 * ranges).alias("bounds"),
                               *[F.sum(c) for c in totals.values()])).scalar()
-    work = _with_range(df.withColumn("__bounds", overall["bounds"]), order, len(cuts)).withColumns(
+    work = with_range(df.withColumn("__bounds", overall["bounds"]), order, len(cuts)).withColumns(
         {f"__{n}": c for n, c in totals.items()})
 
     per_range = work.groupBy(*by, "__range").agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in totals])

@@ -63,6 +63,41 @@ def error_rate(spark: SparkSession, sf: str) -> DataFrame:
     return mon.error_rate(live(spark, sf), "5 hours", "1 hour").withColumn("error_pct", F.round("error_pct", 9))
 
 
+def _silent_sql(counts: str, step_s: int, keys: str = "") -> str:
+    """Every range between the first and the last of a series; ``counts`` is a table with window_start and the keys."""
+    lead = f"{keys}, " if keys else ""
+    group = f" GROUP BY {keys}" if keys else ""
+    return f"""every AS (SELECT {lead}unnest(generate_series(min(window_start), max(window_start), INTERVAL {step_s} SECOND)) AS window_start
+FROM {counts}{group})"""
+
+
+@query("error_rate_silent", with_sql(_ranged(HOUR, HOUR // 4) + """, counts AS (SELECT window_start, handler, count(*) n,
+  count(*) FILTER (WHERE status >= 400) errors FROM ranged GROUP BY ALL), """ + _silent_sql("counts", HOUR // 4, "handler")) + """
+SELECT window_start, handler, coalesce(n, 0)::BIGINT n, coalesce(errors, 0)::BIGINT errors,
+       round(coalesce(100 * errors::DOUBLE / n, 0), 9)::DOUBLE error_pct
+FROM every LEFT JOIN counts USING (window_start, handler)""")
+def error_rate_silent(spark: SparkSession, sf: str) -> DataFrame:
+    """Zero where a handler was silent."""
+    out = mon.error_rate(live(spark, sf), "1 hour", "15 minutes", ["handler"], silent=True)
+    return out.withColumn("error_pct", F.round("error_pct", 9))
+
+
+@query("request_rate_silent", with_sql(_ranged(60, 15) + """, counts AS (SELECT window_start, method, count(*) n
+  FROM ranged GROUP BY ALL), """ + _silent_sql("counts", 15, "method")) + """
+SELECT window_start, method, coalesce(n, 0)::BIGINT n, coalesce(n, 0) / 60.0::DOUBLE per_second
+FROM every LEFT JOIN counts USING (window_start, method)""")
+def request_rate_silent(spark: SparkSession, sf: str) -> DataFrame:
+    return mon.rate(live(spark, sf), ["method"], silent=True)
+
+
+@query("latency_quantiles_by", with_sql(_ranged(5 * HOUR, HOUR)) + """
+SELECT window_start, handler, count(*) n, round(quantile_cont(latency_s, 0.05), 6) p5, round(quantile_cont(latency_s, 0.99), 6) p99
+FROM ranged GROUP BY window_start, handler""")
+def latency_quantiles_by(spark: SparkSession, sf: str) -> DataFrame:
+    out = mon.latency_quantiles(live(spark, sf), (0.05, 0.99), "5 hours", "1 hour", ["handler"])
+    return out.withColumns({c: F.round(c, 6) for c in ("p5", "p99")})
+
+
 @query("total_error_rate", with_sql(LIVE_SQL) + """
 SELECT count(*) n, count(*) FILTER (WHERE status >= 400) errors,
        round(100 * (count(*) FILTER (WHERE status >= 400))::DOUBLE / count(*), 9) error_pct FROM live""")

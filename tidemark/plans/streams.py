@@ -64,8 +64,10 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("stream_rate", with_sql(LOG_SQL.rstrip() + f", ranged AS (SELECT *, {covered_sql(5 * HOUR, HOUR)} FROM log)") + """
 SELECT window_start, handler, count(*) n, count(*) / 18000.0::DOUBLE per_second FROM ranged GROUP BY ALL""")
 def stream_rate(spark: SparkSession, sf: str) -> DataFrame:
-    updates = live.stream_rate(_log_stream(spark, sf), ["handler"], "5 hours", "1 hour", "1 hour")
-    out = _replay(spark, updates, ["window_start", "handler"], "rates")
+    """Panes on the stream, ranges when they are read."""
+    panes = live.stream_panes(_log_stream(spark, sf), ["handler"], "1 hour", "1 hour")
+    now = _replay(spark, panes, ["__slot", "handler"], "panes")
+    out = live.ranges_of_panes(now, "5 hours", "1 hour", ["handler"])
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -76,8 +78,45 @@ def stream_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return _replay(spark, updates, ["handler", "le"], "histogram")
 
 
+def _latency_panes(spark: SparkSession, sf: str) -> DataFrame:
+    panes = live.stream_panes(_log_stream(spark, sf), [], "1 hour", "1 hour", "ts", "latency_s")
+    return _replay(spark, panes, ["__slot"], "latency")
+
+
 @query("stream_latency")
 def stream_latency(spark: SparkSession, sf: str) -> DataFrame:
-    """Approximate latency quantiles keep a bounded state per range."""
-    updates = live.stream_rate(_log_stream(spark, sf), [], "5 hours", "1 hour", "1 hour", "ts", "latency_s", (0.5, 0.95))
-    return _replay(spark, updates, ["window_start"], "latency")
+    """Approximate latency quantiles: a sketch is the state of a pane, ranges merge sketches."""
+    return live.ranges_of_panes(_latency_panes(spark, sf), "5 hours", "1 hour", (), (0.5, 0.95))
+
+
+@query("stream_latency_ranks", with_sql(LOG_SQL.rstrip() + f", ranged AS (SELECT *, {covered_sql(5 * HOUR, HOUR)} FROM log)") + """
+SELECT window_start, count(*) n, true p50_close, true p95_close FROM ranged WHERE latency_s IS NOT NULL GROUP BY window_start""")
+def stream_latency_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the streamed quantiles lie within three percent of the rows of the rank they stand for."""
+    found = live.ranges_of_panes(_latency_panes(spark, sf), "5 hours", "1 hour", (), (0.5, 0.95))
+    log = shape_log(table(spark, sf, "events")).where("latency_s IS NOT NULL")
+    ranged = mon.cover(log.select(F.window("ts", "1 hour").start.alias("__slot"), "latency_s"), "5 hours", "1 hour")
+
+    def close(q: float, name: str):
+        under, upto = F.count_if(F.col("latency_s") < F.col(name)), F.count_if(F.col("latency_s") <= F.col(name))
+        n = F.count(F.lit(1))
+        return (under / n <= q + 0.03) & (upto / n >= q - 0.03)
+
+    return (ranged.withColumn("window_start", F.col("window_start").cast("timestamp"))
+            .join(found.select("window_start", "p50", "p95"), "window_start").groupBy("window_start")
+            .agg(F.count(F.lit(1)).alias("n"), close(0.5, "p50").alias("p50_close"), close(0.95, "p95").alias("p95_close"))
+            .withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+
+
+@query("stream_snapshots", with_sql(LOG_SQL) + """
+SELECT handler, confidence, count(*) n FROM log GROUP BY ALL""")
+def stream_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Running counters over batches of a few files, with a snapshot after every second batch."""
+    keys, spread = ["handler", "confidence"], work_dir(spark, "log-files")
+    log = table(spark, sf, "events")
+    log.repartition(6, "event_id" if "event_id" in log.columns else log.columns[0]).write.parquet(spread)
+    arriving = shape_log(live.read_stream(spark, spread, log.schema, files_per_batch=1))
+    counts = live.stream_counts(arriving, keys)
+    out = work_dir(spark, "snapshots")
+    live.snapshot_to(counts, out, work_dir(spark, "snapshots-checkpoint"), keys, every=2).awaitTermination()
+    return live.read_latest(spark, out, counts.schema, keys)
