@@ -113,6 +113,8 @@ def test_one_of_near_copies_with_equal_and_null_ids(spark):
         [(1, True, False), (None, False, True), (None, False, False), (7, False, False)], key=str)
     marks = near_dedup.near_duplicates(df).collect()
     assert {r.component_id for r in marks if r.n_shingles} == {1, None}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in marks)  # the contract of the query: by id alone
+    assert sum(r.kept for r in marks if r.doc_id == 1) == 3 and sum(r.stays for r in marks if r.doc_id == 1) == 1
 
 
 @pytest.mark.parametrize("path", [[1, 5, 4, 3, 2], [2, 3, 4, 5, 1, 6], [3, 7, 1, 5, 4, 6, 2, 8]])

@@ -346,14 +346,15 @@ def _remaining_pairs(left: DataFrame, rare: DataFrame, percent: int) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75,
-                    names: tuple[str, ...] = ("doc_id", "n_shingles", "component_id", "kept", "text_key")) -> DataFrame:
+                    names: tuple[str, ...] = ("doc_id", "n_shingles", "component_id", "kept", "text_key", "stays")) -> DataFrame:
     """Every row with the number of its shingles, its component and whether it is the one that stays.
 
     Shingles are 5 words (A-Z lower-cased, separated by white space); a shorter text is one shingle, a null
     or wordless text has none and is linked with nothing. Texts with equal sets form one class; classes are
     linked where 100 * intersection >= ``percent`` * union. component_id is the smallest key reachable; rows
-    of a null key join a component but do not name it, and a component of null keys only has a null id. kept:
-    the row has the component's smallest (key, text_key), null keys last; texts without shingles are kept.
+    of a null key join a component but do not name it, and a component of null keys only has a null id. kept: the
+    row's key is the component's, so near copies of one key are all kept. stays: the row has the component's smallest
+    (key, text_key), null keys last, so of each component one row stays; texts without shingles are kept and stay.
     Repeated rows (same key and text) are each reported alike. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -387,21 +388,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         named.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     low = named.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "text_key")).alias("low"))
     of_class = named.join(low, "label").select(F.col("cid"), F.col("low.rep").alias("component"),
-                                               F.col("low.text_key").alias("stays"))
+                                               F.col("low.text_key").alias("first_text"))
     rows = prints.select("doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, cid).alias("cid"))
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    kept = F.col("cid").isNull() | F.col("doc_id").eqNullSafe(component) & F.col("text_key").eqNullSafe(F.col("stays"))
+    kept = F.col("doc_id").eqNullSafe(component)
+    stays = F.col("cid").isNull() | kept & F.col("text_key").eqNullSafe(F.col("first_text"))
     return rows.join(of_class, "cid", "left").select(
         F.col("doc_id").alias(names[0]), F.col("n_shingles").alias(names[1]), component.alias(names[2]),
-        kept.alias(names[3]), F.col("text_key").alias(names[4]))
+        kept.alias(names[3]), F.col("text_key").alias(names[4]), stays.alias(names[5]))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one document of each component stays, and one of rows that
     repeat key and text. Columns are those of ``docs``; only rows that may go are moved between tasks."""
     marks = materialize(near_duplicates(docs, key, text, percent), "near-marks")
-    gone = marks.where("NOT kept").select("doc_id", "text_key").distinct()
-    repeated = marks.where("kept").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
+    gone = marks.where("NOT stays").select("doc_id", "text_key").distinct()
+    repeated = marks.where("stays").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     tagged = docs.withColumns({"_tm_key": F.col(key), "_tm_text": _text_key(text)})
     flagged = maybe_in(tagged, "_tm_text", gone.union(repeated).select("text_key"), "_tm_maybe")
