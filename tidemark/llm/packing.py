@@ -14,6 +14,7 @@ powers of two, which need no padding.
 from __future__ import annotations
 
 import base64
+import re
 import sys
 import zlib
 from array import array
@@ -28,6 +29,8 @@ TOKENS = 1024
 SEGMENTS = 256
 GROUP = 4096
 CACHE_WORDS = 400_000
+#: The pattern's white space (Unicode's), in runs that are encoded by themselves.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{5000,}")
 
 
 class Packer:
@@ -162,7 +165,26 @@ class Tokenizer:
                 ids.byteswap()
             return ids.tobytes()
 
-        self.plain, self.words = plain, Words(plain)
+        self.words = Words(plain)
+        self._plain, blank = plain, tiktoken.Encoding("blank", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
+
+        def blanks(text: str) -> bytes:
+            ids = array("I", blank.encode_ordinary(text))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            return ids.tobytes()
+
+        self._blanks = blanks
+
+    def plain(self, text: str) -> bytes:
+        """Any text. The pattern takes a run of white space but for its last character as one piece (all of it at the
+        end of the text), and needs stack for each character: long runs are cut out and encoded as that piece."""
+        out, at = [], 0
+        for run in LONG_BLANKS.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += [self._plain(text[at:run.start()]), self._blanks(text[run.start():end])]
+            at = end
+        return self._plain(text) if not out else b"".join([*out, self._plain(text[at:])])
 
     def encode(self, text: str) -> bytes:
         flat = text.replace("\n", " ")
@@ -173,19 +195,22 @@ class Tokenizer:
 
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens: int = TOKENS,
-                   segments: int = SEGMENTS, loss: int | None = None, ranks: str | None = None) -> DataFrame:
+                   segments: int = SEGMENTS, loss: int | None = None, ranks: str | None = None,
+                   loss_tokens: str | None = None) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all documents.
 
     A document's ids are those of its text followed by id 0; null text has that id only. Each id lies in
     one piece. A sequence holds at most ``tokens`` ids, ``segments`` pieces and ``loss`` loss-bearing ids
-    (all ids bear loss here). Repeated rows and null keys are packed like other rows; very long texts are
+    as the column ``loss_tokens`` counts them per document (instruction data: the answers), spread evenly over a
+    document that is cut; null, and no such column, means that every id bears loss. Repeated rows and null keys are packed like other rows; very long texts are
     cut; an empty table gives no pieces; other columns are not read. Sequence ids join the number of the
     partition and a counter.
     """
     import pyarrow as pa
 
     small_batches(docs.sparkSession)
-    taken = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    bearing = F.lit(None).cast("long") if loss_tokens is None else F.col(loss_tokens).cast("long")
+    taken = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), bearing.alias("b"))
     kind = taken.schema["k"].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -202,8 +227,8 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tok
 
         def settle(tail):
             loads = [len(r[1]) // 4 for r in rests]
-            for k, s, n, sequence, offset in packer.pack(loads, loads, tail):
-                start, ids, total = rests[k]
+            for k, s, n, sequence, offset in packer.pack(loads, [r[3] for r in rests], tail):
+                start, ids, total, _ = rests[k]
                 pieces.append((keys[k], start + s, n, zlib.crc32(ids[4 * s:4 * (s + n)]), total, base + sequence, offset))
             keys.clear()
             rests.clear()
@@ -211,7 +236,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tok
         keys_type = None
         for batch in batches:
             keys_type = batch.column(0).type
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, body, bears in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 ids = tokenizer.encode(body or "") + b"\0\0\0\0"
                 total, at = len(ids) // 4, 0
                 while total - at > whole:
@@ -219,7 +244,8 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tok
                     packer.next += 1
                     at += whole
                 keys.append(doc)
-                rests.append((at, ids[4 * at:], total))
+                bears = total if bears is None else min(max(bears, 0), total)
+                rests.append((at, ids[4 * at:], total, -(-bears * (total - at) // total)))
             if len(rests) >= GROUP:
                 settle("binary")
             if pieces:
