@@ -14,7 +14,8 @@ from tidemark.llm import decontaminate, langid, near_dedup, packing, toxicity
 from tidemark.llm.common import crc_bucket
 from tidemark.sources.sinks import materialize
 
-#: A language must get this mean probability; two languages in equal parts still pass.
+#: A language must get this mean probability; two languages in equal parts still pass. Of more than four
+#: languages each may get less: 1.4 times an even share.
 LEAST_LANGUAGE_SCORE = 0.35
 
 
@@ -37,7 +38,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if model is None:  # nothing to learn from: only the letters count
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = langid.predict(docs, model, keep=tuple(docs.columns), names=("_tm_lang", "_tm_score"))
-    return found.where((F.col("_tm_lang") != langid.UNDETERMINED) & (F.col("_tm_score") >= LEAST_LANGUAGE_SCORE)) \
+    least = min(LEAST_LANGUAGE_SCORE, 1.4 / len(model.languages))
+    return found.where((F.col("_tm_lang") != langid.UNDETERMINED) & (F.col("_tm_score") >= least)) \
         .select(*_columns(docs))
 
 

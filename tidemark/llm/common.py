@@ -32,6 +32,22 @@ def arrow_output(batch, kept: int, added: list):
                                       [*(f"k{i}" for i in range(kept)), *(f"p{i}" for i in range(len(added)))])
 
 
+def fit_in_task(sample: DataFrame, fit):
+    """``fit(rows)`` of a bounded, ordered sample (one partition), run by a task: neither the rows nor the arrays of the
+    training take memory of the driver, which gets the model only. None where there is no row."""
+    import pickle
+
+    import pyarrow as pa
+
+    def make(batches):
+        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], ["model"])
+
+    found = sample.mapInArrow(make, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
+
+
 def size_of(text: str) -> Column:
     """UTF-8 bytes of a text column; null has none."""
     return F.coalesce(F.octet_length(text).cast("long"), F.lit(0).cast("long"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import arrow_input, arrow_output, small_batches, text_buffers
+from tidemark.llm.common import arrow_input, arrow_output, fit_in_task, small_batches, text_buffers
 
 SEGMENT = 64
 HIDDEN = 8
@@ -175,41 +175,43 @@ def fit(texts: list[bytes], labels: list[str], steps: int = 260, batch: int = 25
     return model
 
 
-def training_rows(docs: DataFrame, per_language: int, max_languages: int, text: str, lang: str,
-                  key: str) -> tuple[list[bytes], list[str]]:
-    """A bounded sample of labelled texts, chosen by a hash of the key.
-
-    At most ``per_language`` texts of each of the ``max_languages`` most frequent languages, of each text
-    at most 2,048 characters from a place that the hash picks.
+def training_rows(docs: DataFrame, per_language: int, text: str, lang: str, key: str) -> DataFrame | None:
+    """A bounded sample (lang, spread, text) of labelled texts, chosen by a hash of the key: about 1.5 times
+    ``per_language`` texts of every language; of each text at most 2,048 characters from a place that the hash
+    picks. In order of the hash, in one partition. None without a label.
     """
     labelled = docs.where(F.col(lang).isNotNull())
-    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages).collect()
+    counts = labelled.groupBy(lang).count().collect()
     if not counts:
-        return [], []
-    spread = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20))
+        return None
+    spread = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
     share = F.create_map(*[x for r in counts for x in (
-        F.lit(r[0]), F.lit(min(1 << 20, int(1.5 * per_language * (1 << 20) / r["count"]) + 64)))])
+        F.lit(r[0]), F.lit(min(1 << 40, int((1.5 * per_language + 64) * (1 << 40) / r["count"]))))])
     n = F.length(text)
     start = F.when(n > 2048, F.pmod(F.xxhash64(F.lit(1), F.col(key).cast("string")), n - 2047)).otherwise(0) + 1
-    rows = (labelled.withColumn("_spread", spread)
+    return (labelled.withColumn("_spread", spread)
             .where((F.col("_spread") < share[F.col(lang)]) & F.col(text).rlike(r"\p{L}"))
             .select(F.col(lang).alias("lang"), "_spread", F.substring(text, start.cast("int"), F.lit(2048)).alias("text"))
-            .limit(2 * per_language * max_languages).collect())
-    rows.sort(key=lambda r: (r["lang"], r["_spread"], r["text"]))
-    texts, labels, taken = [], [], {}
-    for r in rows:
-        if taken.setdefault(r["lang"], 0) < per_language:
-            taken[r["lang"]] += 1
-            texts.append(r["text"].encode("utf-8", "replace"))
-            labels.append(r["lang"])
-    return texts, labels
+            .orderBy("_spread", "lang", "text").limit(4 * (per_language + 64) * len(counts)))
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = 500,
-          max_languages: int = 64, **settings) -> Model | None:
-    """Fit a model on the labelled rows of ``docs``; None where no row has a language and a letter."""
-    texts, labels = training_rows(docs, per_language, max_languages, text, lang, key)
-    return fit(texts, labels, **settings) if texts else None
+          **settings) -> Model | None:
+    """Fit a model on the labelled rows of ``docs``, in a task; None where no row has a language and a letter.
+    Every language that has rows is learnt: the sample grows with their number, not with the rows."""
+    sample = training_rows(docs, per_language, text, lang, key)
+
+    def learn(rows):
+        texts, labels, taken = [], [], {}
+        for label, _, body in rows:
+            if taken.setdefault(label, 0) < per_language:
+                taken[label] += 1
+                texts.append(body.encode("utf-8", "replace"))
+                labels.append(label)
+        return vars(fit(texts, labels, **settings))
+
+    found = None if sample is None else fit_in_task(sample, learn)
+    return Model(**found) if found else None
 
 
 def _has_letter(text: str | None) -> bool:
