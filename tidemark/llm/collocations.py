@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import mix64, small_batches, text_buffers
-from tidemark.sources.sinks import materialize
+from tidemark.sources.sinks import materialize, scratch
 
 LONGEST = 5
 UNKNOWN = "und"
@@ -77,13 +77,14 @@ def in_bitmap(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
 def bitmap_of(codes: DataFrame) -> np.ndarray:
     """A bitmap of a column of codes, 16 bits a code and ``MOST_BITS`` at most; it is put together by tasks."""
     page = 1 << 15
-    bits = max(page, min(MOST_BITS, 1 << (16 * codes.count()).bit_length()))
-    spot = F.col(codes.columns[0]).bitwiseAND(F.lit(bits - 1))
-    pages = (codes.select(F.shiftright(spot, 15).alias("page"), spot.bitwiseAND(F.lit(page - 1)).alias("bit"))
-             .groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")))
-    out = np.zeros(bits // 8, np.uint8)
-    for row in pages.toLocalIterator():
-        out[row["page"] * (page // 8):(row["page"] + 1) * (page // 8)] = np.frombuffer(row["bits"], np.uint8)
+    with scratch(codes.toDF("code"), "phrase-frequent") as codes:  # counted and then read: made once
+        bits = max(page, min(MOST_BITS, 1 << (16 * codes.count()).bit_length()))
+        spot = F.col("code").bitwiseAND(F.lit(bits - 1))
+        pages = (codes.select(F.shiftright(spot, 15).alias("page"), spot.bitwiseAND(F.lit(page - 1)).alias("bit"))
+                 .groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")))
+        out = np.zeros(bits // 8, np.uint8)
+        for row in pages.toLocalIterator():
+            out[row["page"] * (page // 8):(row["page"] + 1) * (page // 8)] = np.frombuffer(row["bits"], np.uint8)
     return out
 
 
