@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,6 +170,31 @@ def test_menus_adverts_and_comments_in_an_article_go(tag, part):
     assert "GONE" not in text and "First" in text and "Last" in text
 
 
+def test_parts_between_kept_siblings_stay():
+    body = ("<div><h1>Head</h1></div><div><p>First {1}</p><p>Second {1}</p><p>Third {1}</p></div><h2>Sub</h2><div><p>Tiny part</p></div>stray words<ul><li>item one</ul>"
+            "<p class='notice'>A notice to readers</p><div><a href='a'>GONE one</a> <a href='b'>GONE two</a></div>"
+            "<div class='ad'>GONE</div><div><p>{1}</p></div><blockquote>last words</blockquote><div>GONE</div>")
+    text = extract.main_text(f"<html><body>{body.format('', PROSE)}</body></html>")
+    prose = PROSE.strip()
+    assert text.split("\n\n") == ["Head", f"First {prose}", f"Second {prose}", f"Third {prose}", "Sub", "Tiny part", "stray words", "item one", "A notice to readers",
+                                  prose, "last words"]
+
+
+def test_short_paragraphs_with_other_full_stops():
+    body = f"<p>短い段落です。</p><div><p>{PROSE}</p></div><p>本当？</p>"
+    text = extract.main_text(f"<html><body><div>{body}</div></body></html>")
+    assert text.split("\n\n") == ["短い段落です。", PROSE.strip(), "本当？"]
+
+
+@pytest.mark.parametrize("part", ["<div><p>word, and more</p>", "<div></b></span>", "<blockquote><li></li>", "<address>x",
+                                  "<b><table><tr><td><div></b>x", "<div><main></main>", "<article><header>a</header>",
+                                  "<div><article>x", "<p><b>", "<ul><li><div></li>"])
+def test_time_grows_with_the_number_of_elements(part):
+    start = time.process_time()
+    extract.main_text(part * 50_000)
+    assert time.process_time() - start < 20  # quadratic work takes minutes
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<script>x", "<!-- never closed", "</p></div>", "<a href='",
                                   "<div>" * 5000, "plain text only", "<p>" + "x" * 200000])
 def test_odd_pages_do_not_fail(page):

@@ -3,17 +3,20 @@
 A page becomes a tree of elements with a forgiving parser. Parts that are never main text are left
 out (scripts, forms, navigation, footers, hidden elements). Elements whose class, id or role says advert,
 sidebar, comments and the like do not take part in the choice; inside what is chosen, and in any article, only
-those go that a whole name calls a menu, advert or comment list and whose own text does not deny it. Every paragraph earns points for its length and its commas and passes them
-to its ancestors, in full to the parent, half to the grandparent, less further up; a container's points
-are discounted by the share of its text that is links. The best container is kept, together with
-siblings that score well or read like text.
+those go that a whole name calls a menu, advert or comment list and whose own text does not deny it. Every paragraph earns
+points for its length and its commas and passes them to its ancestors, in full to the parent, half to the grandparent, a
+sixth to the next and two thirds of that with each further level; a container's points are discounted by the share of its
+text that is links. The best container is kept, together with siblings that score well or read like text, all that stands
+between these and is no collection of links, a heading before them and lists, tables and quotes right after them.
+
+Parsing and scoring visit every element a fixed number of times, however deep the page is nested.
 """
 
 from __future__ import annotations
 
 import html as html_entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -62,11 +65,24 @@ ROLES = frozenset("navigation complementary contentinfo search banner menu menub
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold other blocks; those of a whole page are no article text for being there.
 HOLDERS = frozenset("div section ul ol dl table tbody tr td header aside fieldset details".split())
+#: What belongs to the text before it, if no link is in it.
+APPENDED = frozenset("ul ol dl blockquote pre table figure".split())
+#: Ends of a sentence.
+STOPS = re.compile("[.!?…。！？．｡]")
+#: Where the search for an open p ends.
+PARAGRAPH_STOPS = SCOPES | {"p", "td", "th", "li"}
+#: Cells and tables keep these end tags from what is open around them.
+CELLS = frozenset("td th table".split())
+KEPT_BY_CELLS = frozenset("p b i a span".split())
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hint", "names", "dropped", "soft", "score", "length", "linked", "order", "own")
+    """An element. Besides its own marks it knows the nearest element, itself included, at which the search for an open
+    p ends, the depths of the nearest scope and cell, and whether an article (or main) surrounds or is it."""
+
+    __slots__ = ("tag", "parent", "children", "hint", "names", "dropped", "soft", "score", "length", "linked", "order", "own",
+                 "depth", "stop", "scope", "cell", "article", "inside", "freed")
 
     def __init__(self, tag, parent, hint="", names=(), dropped=False, soft=False):
         self.tag, self.parent, self.hint, self.names = tag, parent, hint, names
@@ -74,47 +90,71 @@ class Node:
         self.children = []
         self.score = 0.0
         self.length = self.linked = 0
+        self.freed = False
+        self.depth = depth = parent.depth + 1 if parent else 0
+        self.stop = self if parent is None or tag in PARAGRAPH_STOPS else parent.stop
+        self.scope = depth if parent is None or tag in SCOPES else parent.scope
+        self.cell = depth if tag in CELLS else parent.cell if parent else -1
+        self.article = tag == "article" or parent is not None and parent.article
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+
+
+class OpenElements:
+    """The path from the root to the element that takes what comes next, with the open elements of every tag."""
+
+    def __init__(self, root: Node):
+        self.here = root
+        self._by_tag = defaultdict(list)
+
+    def enter(self, node: Node) -> None:
+        self.here = node
+        self._by_tag[node.tag].append(node)
+
+    def close(self, node: Node) -> None:
+        """End ``node`` and all that is open inside it."""
+        while self.here is not node.parent:
+            self._by_tag[self.here.tag].pop()
+            self.here = self.here.parent
+
+    def nearest(self, tags, below: int) -> Node | None:
+        """The deepest open element of the tags that is deeper than ``below``."""
+        found = [self._by_tag[t][-1] for t in tags if self._by_tag.get(t)]
+        best = max(found, key=lambda n: n.depth, default=None)
+        return best if best is not None and best.depth > below else None
 
 
 def parse(source: str) -> Node:
     """The element tree; children are nodes and strings. Unclosed and stray tags are tolerated."""
     root = Node("html", None)
-    here, at = root, 0
+    path, at = OpenElements(root), 0
     size = len(source)
     while at < size:
         found = TOKEN.search(source, at)
         if not found:
-            here.children.append(source[at:])
+            path.here.children.append(source[at:])
             break
         if found.start() > at:
-            here.children.append(source[at:found.start()])
+            path.here.children.append(source[at:found.start()])
         at = found.end()
         closing, tag, attributes = found[1], found[2], found[3]
         if tag is None:
             if found[0].startswith("<![CDATA["):
-                here.children.append(found[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+                path.here.children.append(found[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         tag = tag.lower()
         if closing:
-            node = here
-            while node is not root and node.tag != tag and not (node.tag in ("td", "th", "table") and tag in ("p", "b", "i", "a", "span")):
-                node = node.parent
-            if node is not root and node.tag == tag:
-                here = node.parent
+            ended = path.nearest((tag,), path.here.cell if tag in KEPT_BY_CELLS else -1)
+            if ended is not None:
+                path.close(ended)
             continue
-        if tag in BLOCKS:  # a block ends an open paragraph, with whatever is open inside it
-            node = here
-            while node is not root and node.tag not in SCOPES and node.tag not in ("p", "td", "th", "li"):
-                node = node.parent
-            if node.tag == "p":
-                here = node.parent
+        if tag in BLOCKS and path.here.stop.tag == "p":  # a block ends an open paragraph, with whatever is open inside it
+            path.close(path.here.stop)
         if tag in CLOSES:
-            node = here
-            while node is not root and node.tag not in CLOSES[tag] and node.tag not in SCOPES:
-                node = node.parent
-            while node is not root and node.tag in CLOSES[tag]:
-                here = node.parent
-                node = here
+            ended = path.nearest(CLOSES[tag], path.here.scope)
+            while ended is not None and ended is not root and ended.tag in CLOSES[tag]:
+                path.close(ended)
+                ended = path.here
+        here = path.here
         found_attributes = {}
         for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
             if name:
@@ -128,29 +168,21 @@ def parse(source: str) -> Node:
                     bool(hide) or _never(tag, own[2], here), _unwanted(tag, hint))
         if tag == "main" and not node.dropped:
             up = here
-            while up is not None and up.tag != "main":  # what holds the main part is no menu
-                up.dropped = up.dropped and not up.soft
+            while up is not None and up.tag != "main" and not up.freed:  # what holds the main part is no menu
+                up.dropped, up.freed = up.dropped and not up.soft, True
                 up = up.parent
         here.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
             at = end.end() if end else size
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
-            here = node
+            path.enter(node)
     return root
 
 
-def _inside_article(node) -> bool:
-    while node is not None:
-        if node.tag in ("article", "main"):
-            return True
-        node = node.parent
-    return False
-
-
 def _never(tag: str, role: str, parent) -> bool:
     """Elements that are dropped wherever they are."""
-    if tag in DROPPED or tag == "header" and not _inside_article(parent):
+    if tag in DROPPED or tag == "header" and not parent.inside:
         return True
     return tag not in ("html", "body", "article", "main") and not ROLES.isdisjoint(role.lower().split())
 
@@ -268,22 +300,16 @@ def main_nodes(root: Node) -> list[Node]:
     """The best container, with siblings that belong to it, in page order."""
     _weigh(root)
     for node in _order(root):
-        if node.tag == "article" and not _in_tag(node, "article"):
+        if node.tag == "article" and not node.parent.article:
             _settle(node)
     kept = _choose(root)
     for node in kept:
+        if isinstance(node, str):
+            continue
         _settle(node, node.tag not in ("html", "body"))
     return kept
 
 
-def _in_tag(node: Node, tag: str) -> bool:
-    while node.parent is not None:
-        node = node.parent
-        if node.tag == tag:
-            return True
-    return False
-
-
 def _choose(root: Node) -> list[Node]:
     order = _order(root)
     for node in reversed(order):  # lengths of text and of link text, from the leaves up
@@ -293,7 +319,7 @@ def _choose(root: Node) -> list[Node]:
             elif not c.dropped:
                 node.length += c.length
                 node.linked += c.length if c.tag == "a" else c.linked
-    candidates = set()
+    given, candidates = defaultdict(float), set()
     for node in order:
         if node.tag not in BLOCKS and node is not root:
             continue
@@ -305,11 +331,16 @@ def _choose(root: Node) -> list[Node]:
         if len(text) < 25:
             points *= 0.25
         holder = node if node.tag in ("div", "section", "article", "main", "body", "td", "html") else node.parent or node
-        level = 0
-        while holder is not None:
-            holder.score += points if level == 0 else points / 2 if level == 1 else points / (3 * level)
-            candidates.add(holder)
-            holder, level = holder.parent, level + 1
+        given[holder] += points
+        candidates.add(holder)
+    near, far = defaultdict(float), defaultdict(float)  # points from children, and from below these
+    for node in reversed(order):
+        if node in candidates:
+            node.score = given[node] + near[node] / 2 + far[node]
+            if node.parent is not None:
+                near[node.parent] += given[node]
+                far[node.parent] += near[node] / 6 + far[node] * 2 / 3
+                candidates.add(node.parent)
     if not candidates:
         return [root]
     for node in candidates:
@@ -317,8 +348,7 @@ def _choose(root: Node) -> list[Node]:
             node.score = 1.5 * node.score + 5
         node.score *= 1 - (node.linked / node.length if node.length else 0.0)
     best = max(candidates, key=lambda n: (n.score, -n.order))
-    while best.parent is not None and not _inside_article(best) is False and best.tag not in ("article", "main") \
-            and _inside_article(best.parent):
+    while best.parent is not None and best.tag not in ("article", "main") and best.parent.inside:
         best = best.parent  # an article is kept whole
     if best.parent is None:
         return [best]
@@ -328,11 +358,43 @@ def _choose(root: Node) -> list[Node]:
             continue
         density = c.linked / c.length if c.length else 0.0
         if c is best or c in candidates and c.score >= floor and (c.tag == best.tag or density < 0.25) \
-                or c.tag == "p" and (c.length > 80 and density < 0.25 or 0 < c.length <= 80 and not c.linked and "." in _own_text(c)):
+                or c.tag == "p" and (c.length > 80 and density < 0.25 or 0 < c.length <= 80 and not c.linked and STOPS.search(_own_text(c))):
             kept.append(c)
-    first = kept[0]
-    heads = [c for c in best.parent.children if isinstance(c, Node) and not c.dropped and c.tag in ("h1", "h2") and c.order < first.order]
-    return [*heads[-1:], *kept] if best.tag not in ("article", "main") else kept
+    if best.tag in ("article", "main"):
+        return kept
+    return _with_neighbours(best.parent.children, kept)
+
+
+def _heading_only(node: Node) -> bool:
+    """Whether an element is a heading, or holds nothing but one."""
+    while node.tag not in HEADINGS:
+        inner = [c for c in node.children if (c.strip() if isinstance(c, str) else not c.dropped and c.length)]
+        if len(inner) != 1 or isinstance(inner[0], str):
+            return False
+        node = inner[0]
+    return True
+
+
+def _with_neighbours(siblings: list, kept: list[Node]) -> list:
+    """The kept siblings, what stands between them unless it is mostly links, the last heading before them, and lists,
+    tables and quotes without links that follow at once."""
+    chosen = {id(c) for c in kept}
+    first, last = (next(i for i in places if id(siblings[i]) in chosen)
+                   for places in (range(len(siblings)), reversed(range(len(siblings)))))
+    heads = [c for c in siblings[:first] if isinstance(c, Node) and not c.dropped and c.length and c.linked < c.length
+             and _heading_only(c)]
+    out = heads[-1:]
+    for c in siblings[first:last + 1]:
+        if isinstance(c, Node) and c.dropped and c.soft and c.tag not in HOLDERS:
+            c.dropped = _is_other(c)
+        if isinstance(c, str) or id(c) in chosen or not c.dropped and c.linked < 0.5 * max(c.length, 1):
+            out.append(c)
+    for c in siblings[last + 1:]:
+        if isinstance(c, str) and not c.strip() or isinstance(c, Node) and c.tag in APPENDED and not c.dropped and not c.linked:
+            out.append(c)
+        else:
+            break
+    return out
 
 
 def main_text(source: str | None) -> str:
