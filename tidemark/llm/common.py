@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +18,19 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def short_plan_texts(spark: SparkSession, length: int = 2000):
+    """Inside, Spark keeps only the head of the texts that describe plans: the driver stores one for every query, makes a
+    new one after each of its stages and writes each to the event log, and with constant arrays in a plan they are long."""
+    key = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(length))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def arrow_input(docs: DataFrame, keep: tuple[str, ...], text: str) -> tuple[DataFrame, str, int]:
     """The kept columns as k0, k1, ..., the text if it is not among them, their schema, and the text's place."""
     cols = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]

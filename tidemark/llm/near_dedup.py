@@ -20,7 +20,7 @@ import zlib
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, WordHasher, maybe_in, mix64, small_batches, text_buffers
+from tidemark.llm.common import ASCII_LOWER, WordHasher, maybe_in, mix64, short_plan_texts, small_batches, text_buffers
 from tidemark.sources.sinks import materialize, scratch
 
 SHINGLE = 5
@@ -382,7 +382,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["text_key"] == wanted["text_key"])
         return near.join(wanted, same).groupBy("cid").agg(F.first("text").alias("text"))  # rows may repeat
 
-    labels = find_links(classes, texts_of, percent)
+    with short_plan_texts(spark):
+        labels = find_links(classes, texts_of, percent)
     named = classes.select("cid", "rep", "text_key")
     named = named.withColumn("label", F.col("cid")) if labels is None else \
         named.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
@@ -401,7 +402,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one document of each component stays, and one of rows that
     repeat key and text. Columns are those of ``docs``; only rows that may go are moved between tasks."""
-    marks = materialize(near_duplicates(docs, key, text, percent), "near-marks")
+    with short_plan_texts(docs.sparkSession):
+        marks = materialize(near_duplicates(docs, key, text, percent), "near-marks")
     gone = marks.where("NOT stays").select("doc_id", "text_key").distinct()
     repeated = marks.where("stays").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
     columns = [F.col(f"`{c}`") for c in docs.columns]
