@@ -1,6 +1,7 @@
 """The whole jobs over one registry folder."""
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tests.test_clean_validate import request
 from tidemark import jobs
 from tidemark.operators import training as tr
 from tidemark.plans.views import customers
+from tidemark.sources import sinks
 from tidemark.spec import CUSTOMER
 
 
@@ -62,3 +64,34 @@ def test_train_register_promote_score_roll_back(spark, rows, valid_row, tmp_path
     assert {r["winner"] for r in table.collect()} == {"tie"} and verdict.first()["winner_version"] is None
     jobs.roll_back(spark, root, "churn")
     assert [r["version"] for r in jobs.serving(spark, root).collect()] == [1]
+
+
+def test_eight_writers_register_at_once(spark, tmp_path):
+    """Each gets a version number of its own, with its tags and events; the model is listed once."""
+    root = str(tmp_path)
+    best = spark.createDataFrame([("r", "LogisticRegression", 0.9, 0.8, 0.7, 1.0)], "run_id string, algorithm string, "
+                                 "auc_roc double, accuracy double, f1_score double, training_duration_seconds double")
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda k: jobs.register(spark, root, "a/model", best.withColumn("run_id", F.lit(f"run{k}")), {"by": str(k)}),
+                      range(8)))
+    versions = jobs.stored(spark, root, "versions").collect()
+    assert sorted(r["version"] for r in versions) == list(range(1, 9))
+    assert {r["run_id"] for r in versions} == {f"run{k}" for k in range(8)}
+    assert [r["name"] for r in jobs.stored(spark, root, "models").collect()] == ["a/model"]
+    by = {r["version"]: r["value"] for r in jobs.stored(spark, root, "tags").where("key = 'by'").collect()}
+    assert by == {r["version"]: r["run_id"][3:] for r in versions}
+    assert jobs.stored(spark, root, "stage_events").groupBy("version").count().where("count = 2").count() == 8
+
+
+def test_a_claim_is_given_once(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda k: sinks.claim(spark, f"{tmp_path}/claims/{k % 50}"), range(400)))
+    assert sum(got) == 50
+    assert jobs.claim_version(spark, str(tmp_path), "m") == 1 and jobs.claim_version(spark, str(tmp_path), "m") == 2
+
+
+def test_registering_no_run_claims_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "run_id string, algorithm string, auc_roc double, accuracy double, f1_score double, "
+                                     "training_duration_seconds double")
+    jobs.register(spark, str(tmp_path), "m", none)
+    assert jobs.stored(spark, str(tmp_path), "versions").isEmpty() and jobs.claim_version(spark, str(tmp_path), "m") == 1

@@ -7,10 +7,10 @@ predictions`` and, per run, ``artifacts/<run_id>/``.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import drift, importance, registry as reg, runs, scoring, training as tr
@@ -31,12 +31,8 @@ SCHEMAS = {
 
 def stored(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A registry table; empty while nothing has been written to it."""
-    try:
-        return spark.read.schema(SCHEMAS[table]).parquet(f"{root}/{table}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], SCHEMAS[table])
+    rows = sinks.read_shared(spark, f"{root}/{table}", SCHEMAS[table])
+    return rows.distinct() if table in ("experiments", "models") else rows  # two writers may have added one name
 
 
 def _now():
@@ -80,7 +76,7 @@ def training_job(rows: DataFrame, spec: FeatureSpec, root: str, name: str,
 
     train, test = split(rows, key=spec.key)
     wanted = spark.createDataFrame([(a.experiment,) for a in algos.values()], "name string")
-    sinks.append(runs.ensure_experiments(stored(spark, root, "experiments"), wanted), f"{root}/experiments")
+    sinks.append_shared(runs.ensure_experiments(stored(spark, root, "experiments"), wanted), f"{root}/experiments")
     done = tr.train_all(train, test, spec, algos, folds, partitions=partitions,
                         journal=FitJournal(spark, f"{root}/fits"), recorder=runs.RunLog(spark, root))
     grids = {a.name: a.grid_points() for a in algos.values()}
@@ -97,19 +93,36 @@ def run_table(spark: SparkSession, root: str) -> DataFrame:
     return runs.run_view(stored(spark, root, "run_metrics"), stored(spark, root, "run_params"))
 
 
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next version number of a model, for this caller alone: whoever creates the number's marker file has it, others
+    go on to the next one. A job that dies between claim and registration leaves a gap."""
+    last = stored(spark, root, "versions").where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
+    folder = f"{root}/claims/{hashlib.md5(name.encode()).hexdigest()}"
+    while True:
+        last += 1
+        if sinks.claim(spark, f"{folder}/{last}"):
+            return last
+
+
 def register(spark: SparkSession, root: str, name: str, best: DataFrame, tags: Mapping[str, str] | None = None) -> None:
-    """Register one run as the next version of a model: description, tags (also the caller's), stage Staging."""
+    """Register one run as the next version of a model: description, tags (also the caller's), stage Staging.
+    Several jobs may do so at once. ``best`` holds one run; none registers nothing."""
+    best = sinks.materialize(best, "champion")
+    if best.isEmpty():
+        return
     metrics = [F.col(c) for c in ("algorithm", "auc_roc", "accuracy", "f1_score", "training_duration_seconds")]
     named = best.withColumn("name", F.lit(name))
-    sinks.append(reg.ensure_models(stored(spark, root, "models"), named), f"{root}/models")
+    sinks.append_shared(reg.ensure_models(stored(spark, root, "models"), named), f"{root}/models")
     candidate = named.select("name", "run_id", F.concat(F.lit(f"{root}/artifacts/"), "run_id", F.lit("/model")).alias("source"),
                              runs.describe_run(*metrics).alias("description"), _now().alias("created_at"))
-    version = sinks.materialize(reg.register_versions(candidate, stored(spark, root, "versions")), "new-version")
-    sinks.append(version, f"{root}/versions")
-    sinks.append(reg.registration_events(version), f"{root}/stage_events")
+    number = claim_version(spark, root, name)
+    version = sinks.materialize(candidate.withColumn("version", F.lit(number)).select(*stored(spark, root, "versions").columns),
+                                "new-version")
+    sinks.append_shared(version, f"{root}/versions")
+    sinks.append_shared(reg.registration_events(version), f"{root}/stage_events")
     tagged = version.join(best.select("run_id", "algorithm", "auc_roc"), "run_id")
     own = {k: F.lit(v) for k, v in (tags or {}).items()}
-    sinks.append(reg.tag_versions(tagged, {**reg.standard_tags(F.col("algorithm"), F.col("auc_roc")), **own}), f"{root}/tags")
+    sinks.append_shared(reg.tag_versions(tagged, {**reg.standard_tags(F.col("algorithm"), F.col("auc_roc")), **own}), f"{root}/tags")
 
 
 def _target(spark: SparkSession, name: str, version: int | None) -> DataFrame | None:
@@ -124,14 +137,14 @@ def promote(spark: SparkSession, root: str, name: str, threshold: float = GATE_T
     table, target = run_table(spark, root), _target(spark, name, version)
     decision = sinks.materialize(
         reg.promotion_decisions(versions, events, table, threshold, force, target), "decision")
-    sinks.append(reg.promote(versions, events, table, _now(), threshold, force, target), f"{root}/stage_events")
+    sinks.append_shared(reg.promote(versions, events, table, _now(), threshold, force, target), f"{root}/stage_events")
     return decision
 
 
 def roll_back(spark: SparkSession, root: str, name: str, version: int | None = None) -> None:
     """Put the previous (or a given) version back into Production."""
     events = stored(spark, root, "stage_events").where(F.col("name") == name)
-    sinks.append(reg.rollback(events, _now(), _target(spark, name, version)), f"{root}/stage_events")
+    sinks.append_shared(reg.rollback(events, _now(), _target(spark, name, version)), f"{root}/stage_events")
 
 
 def compare(spark: SparkSession, root: str, name: str, v1: int, v2: int,

@@ -9,12 +9,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.sources.sinks import append
+from tidemark.sources.sinks import append_shared, read_shared
 
 FITS = "study string, fit string, algorithm string, params string, fold int, auc double, at timestamp"
 
@@ -43,12 +41,7 @@ class FitJournal:
 
     def table(self) -> DataFrame:
         """All rows; empty while nothing has been written."""
-        try:
-            return self.spark.read.schema(FITS).parquet(self.path).drop("entry")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], FITS)
+        return read_shared(self.spark, self.path, FITS)
 
     def study(self, rows: DataFrame, *settings) -> str:
         return _digest([rows_digest(rows), *settings])
@@ -65,5 +58,4 @@ class FitJournal:
     def add(self, study: str, algorithm: str, params: dict[str, str], fold: int, auc: float) -> None:
         row = [(study, self.fit_name(params), algorithm, json.dumps(params, sort_keys=True), fold, float(auc))]
         rows = self.spark.createDataFrame(row, FITS.rsplit(",", 1)[0])
-        # a folder of its own: writers to one folder clear away each other's unfinished files
-        append(rows.withColumn("at", F.current_timestamp()).coalesce(1), f"{self.path}/entry={uuid.uuid4().hex}")
+        append_shared(rows.withColumn("at", F.current_timestamp()).coalesce(1), self.path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import fixed
 from tidemark.operators.training import Recorder, TrainedRun
-from tidemark.sources.sinks import append
+from tidemark.sources.sinks import append_shared
 from tidemark.spec import RUN_METRICS, RUN_PARAMS
 
 RUN_EVENTS = "run_id string, experiment_id string, status string, at timestamp, reason string"
@@ -166,16 +166,16 @@ class RunLog(Recorder):
         row = self.spark.createDataFrame([(run_id, experiment, at, reason)],
                                          "run_id string, experiment string, at double, reason string")
         row = row.withColumn("experiment_id", experiment_id(F.col("experiment")))
-        append(log_run(row, status, _moment("at"), "reason").coalesce(1), f"{self.root}/run_events")
+        append_shared(log_run(row, status, _moment("at"), "reason").coalesce(1), f"{self.root}/run_events")
 
     def started(self, run_id, algorithm, params, at) -> None:
         self._event(run_id, algorithm.experiment, "RUNNING", at)
         rows = self.spark.createDataFrame([(run_id, k, v) for k, v in params.items()], PARAMS)
-        append(log_params(rows).coalesce(1), f"{self.root}/run_params")
+        append_shared(log_params(rows).coalesce(1), f"{self.root}/run_params")
 
     def finished(self, run) -> None:
         rows = self.spark.createDataFrame([(run.run_id, k, float(v)) for k, v in run.metrics.items()], METRICS)
-        append(rows.coalesce(1), f"{self.root}/run_metrics")
+        append_shared(rows.coalesce(1), f"{self.root}/run_metrics")
         self._event(run.run_id, run.experiment, "FINISHED", run.ended)
 
     def failed(self, run_id, algorithm, reason, at) -> None:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import fixed
 from tidemark.session import work_dir
@@ -32,6 +35,43 @@ def append(rows: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
     rows.write.mode("append").partitionBy(*by).parquet(path)
 
 
+def append_shared(rows: DataFrame, path: str) -> None:
+    """Add rows to a table that several jobs write: each write gets a folder of its own (entry=..), because writers to
+    one folder clear away each other's unfinished files. ``read_shared`` reads such a table."""
+    append(rows, f"{path}/entry={uuid.uuid4().hex}")
+
+
+def read_shared(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All rows that ``append_shared`` wrote; an empty table while there are none."""
+    try:
+        return spark.read.schema(schema).parquet(path).drop("entry")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty marker file; False if it is there already. Of several callers exactly one gets True, provided
+    that the store creates files exclusively, as HDFS and POSIX file systems do."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(place.getParent())
+    if store.getUri().getScheme() == "file":  # Hadoop's local files check first and create later
+        try:
+            open(store.makeQualified(place).toUri().getPath(), "x").close()
+            return True
+        except FileExistsError:
+            return False
+    try:
+        store.create(place, False).close()
+        return True
+    except Py4JJavaError:
+        if not store.exists(place):
+            raise
+        return False
+
+
 def materialize(rows: DataFrame, name: str) -> DataFrame:
     """Write rows to a new table in the shared work folder and read it back.
 
