@@ -91,14 +91,16 @@ def distribution_shift(scored: DataFrame, cohort: str = "cohort", base: str = "b
 
 
 def progress(scored: DataFrame, order: str, every: int = 50, cohort: str = "cohort",
-             score: str = "churn_probability", prediction: str = "churn_prediction") -> DataFrame:
-    """Running churn percentage, mean score and errors after every ``every`` rows of a cohort."""
+             score: str = "churn_probability", prediction: str = "churn_prediction",
+             tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Running churn percentage, mean score and errors after every ``every`` rows of a cohort. Rows that may have one
+    ``order`` value in large numbers need a ``tiebreak``, by which they are ordered and spread."""
     ok = F.col(score).isNotNull()
     sums = {
         "sent": F.lit(1), "success": F.when(ok, 1).otherwise(0),
         "churned": F.when(ok & F.col(prediction), 1).otherwise(0), "score": F.coalesce(score, F.lit(0)),
     }
-    run = running_totals(scored.select(cohort, order, score, prediction), order, sums, [cohort])
+    run = running_totals(scored.select(cohort, order, *tiebreak, score, prediction), order, sums, [cohort], tiebreak=tiebreak)
     seen = F.greatest("success_run", F.lit(1))
     return run.where(F.col("sent_run") % every == 0).select(
         cohort, F.col("sent_run").alias("sent"), F.col("sent_all").alias("total"),

@@ -3,7 +3,9 @@
 A window without, or with a very hot, partition key sorts all its rows in one task.
 Here the order column is cut into ranges at approximate quantiles. Each range gets its own
 window, which starts with one extra row carrying the totals of the ranges before it (four rows
-per shuffle partition and group). The result is exact whatever the quantiles are.
+per shuffle partition and group). The result is exact whatever the quantiles are. Where a
+tiebreak is given the ranges are cut on (order, tiebreak), so a bulk load whose rows all have
+one time is cut as well.
 """
 
 from __future__ import annotations
@@ -22,35 +24,56 @@ def exact_total(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def with_range(df: DataFrame, order: str, size: int) -> DataFrame:
+#: Sampled rows per range, on average, from which bounds over (order, tiebreak) are taken.
+SAMPLED = 40
+
+
+def _bounds_over_ties(df: DataFrame, key: Column, ranges: int) -> Column:
+    """Bounds of ranges over a struct: every n-th of a sorted sample of about ``SAMPLED`` rows a range. The sample is
+    drawn by hash, so that a task run again draws the same rows."""
+    every = df.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / (SAMPLED * ranges)))).scalar()
+    drawn = df.where(F.pmod(F.xxhash64(key, F.lit("bounds")), every) == 0).agg(F.array_sort(F.collect_set(key)).alias("all"))
+    places = F.sequence(F.lit(1), F.lit(ranges - 1))
+    return drawn.select(F.transform(places, lambda i: F.get(
+        "all", F.floor(i * F.size("all") / ranges).cast("int")))).scalar()
+
+
+def with_range(df: DataFrame, order: str | Column, size: int) -> DataFrame:
     """Add how many of the sorted ``__bounds`` lie below ``order``, by halving: each step is a
     projection that stays in generated code."""
+    order = F.col(order) if isinstance(order, str) else order
     out = df.withColumn("__range", F.lit(0))
     low = F.col("__range")
     for step in (1 << p for p in range(size.bit_length() - 1, -1, -1)):
         bound = F.get("__bounds", low + (step - 1))
-        out = out.withColumn("__range", F.when(bound < F.col(order), low + step).otherwise(low))
+        out = out.withColumn("__range", F.when(bound < order, low + step).otherwise(low))
     return out.drop("__bounds")
 
 
 def running_totals(df: DataFrame, order: str, totals: Mapping[str, Column], by: Sequence[str] = (),
-                   descending: bool = False, tiebreak: Sequence[Column | str] = (),
+                   descending: bool = False, tiebreak: Sequence[str] = (),
                    ranges: int | None = None) -> DataFrame:
     """For each ``name: column`` of ``totals`` append ``name_run`` (sum over the rows of the
     group up to this one in ``order``) and ``name_all`` (sum over the whole group).
 
-    ``order`` is a number, date or timestamp without nulls and with few repeats (group
-    equal values first). Rows of ``by`` with null keys form their own group.
+    ``order`` is a number, date or timestamp without nulls. Equal values come in the order of the
+    ``tiebreak`` columns (ascending, nulls first). Without a tiebreak, and when ``descending``, they stay in one
+    range, so group them first. Rows of ``by`` with null keys form their own group.
 
-    The input is read by three branches: the quantiles, the totals per range, and the rows.
+    The input is read by three branches (four with a tiebreak): the quantiles, the totals per range, and the rows.
     They use the same columns, so an input that ends in a ``groupBy`` is shuffled only once.
     """
     by = list(by)
     ranges = ranges or _default_ranges(df)
     cuts = [i / ranges for i in range(1, ranges)]
-    overall = df.agg(F.struct(F.percentile_approx(order, cuts, 10 * ranges).alias("bounds"),
-                              *[F.sum(c) for c in totals.values()])).scalar()
-    work = with_range(df.withColumn("__bounds", overall["bounds"]), order, len(cuts)).withColumns(
+    if tiebreak and not descending:
+        key = F.struct(order, *tiebreak)
+        bounds = _bounds_over_ties(df, key, ranges)
+    else:
+        key = F.col(order)
+        bounds = df.agg(F.struct(F.percentile_approx(order, cuts, 10 * ranges).alias("bounds"),
+                                 *[F.sum(c) for c in totals.values()])).scalar()["bounds"]
+    work = with_range(df.withColumn("__bounds", bounds), key, len(cuts)).withColumns(
         {f"__{n}": c for n, c in totals.items()})
 
     per_range = work.groupBy(*by, "__range").agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in totals])
@@ -104,7 +127,8 @@ def quantile_name(q: float) -> str:
 
 
 def number_rows(df: DataFrame, order: str, by: Sequence[str] = (), name: str = "row_number",
-                tiebreak: Sequence[Column | str] = ()) -> DataFrame:
-    """Row number within each group, without one task per group."""
+                tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Row number within each group, without one task per group; one order value may be that of all rows
+    if a ``tiebreak`` is given."""
     out = running_totals(df, order, {"__row": F.lit(1)}, by, tiebreak=tiebreak)
     return out.withColumn(name, F.col("__row_run")).drop("__row_run", "__row_all")
