@@ -66,6 +66,31 @@ def test_train_register_promote_score_roll_back(spark, rows, valid_row, tmp_path
     assert [r["version"] for r in jobs.serving(spark, root).collect()] == [1]
 
 
+def test_large_batches_are_rejected_as_a_whole(spark, valid_row, tmp_path):
+    """1,001 rows are too many, 1,000 are not; rows without a batch have no limit; other errors stay first."""
+    one = request(spark, valid_row)
+    many = one.crossJoin(spark.range(1001).select(F.lit("large").alias("batch"), F.col("id").alias("n")))
+    fits = one.crossJoin(spark.range(1000).select(F.lit("fits").alias("batch"), F.col("id").alias("n")))
+    free = one.crossJoin(spark.range(1001).select(F.lit(None).cast("string").alias("batch"), F.col("id").alias("n")))
+    rows = many.withColumn("tenure", F.when(F.col("n") == 0, -1).otherwise(F.col("tenure"))).unionByName(fits).unionByName(free)
+    out = jobs.score_customers(rows, str(tmp_path), "churn", batch="batch")
+    got = {(r["batch"], r["status"]): (r["n"], r["scored"]) for r in out.groupBy("batch", "status").agg(
+        F.count(F.lit(1)).alias("n"), F.count("churn_probability").alias("scored")).collect()}
+    assert got == {("large", "invalid"): (1001, 0), ("fits", "valid"): (1000, 1000), (None, "valid"): (1001, 1001)}
+    details = {r["detail"] for r in out.where("batch = 'large'").select("detail").collect()}
+    over = "batch: 1001 rows, at most 1000 allowed"
+    assert details == {over, f"tenure: Input should be greater than or equal to 0; {over}"}
+
+
+def test_rare_categories_in_the_training_job(spark, rows, tmp_path):
+    root = str(tmp_path)
+    jobs.training_job(rows, CUSTOMER, root, "churn", one_point("lr"), folds=2, max_categories=3)
+    loss = {r["column_name"]: r for r in spark.read.parquet(f"{root}/category_loss").collect()}
+    assert set(loss) == set(CUSTOMER.categorical)
+    assert loss["gender"]["rows_lost"] == 0 and loss["gender"]["kept_values"] == 2
+    assert loss["PaymentMethod"]["kept_values"] <= 3
+
+
 def test_eight_writers_register_at_once(spark, tmp_path):
     """Each gets a version number of its own, with its tags and events; the model is listed once."""
     root = str(tmp_path)

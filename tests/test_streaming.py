@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_clean_validate import request
 from tidemark.operators import monitor as mon, scoring as s, training as tr, validate as v
 from tidemark.plans.views import customers
+from tidemark.sources.tables import explode_batch
 from tidemark.spec import CUSTOMER, CUSTOMER_FIELDS, request_schema
 from tidemark.streaming import live
 
@@ -39,6 +40,21 @@ def test_scores_equal_batch(spark, valid_row, tmp_path):
     assert got.count() == 3 and got.exceptAll(wanted).isEmpty()
 
 
+def test_large_batches_on_a_stream(spark, valid_row, tmp_path):
+    """Arrays of 4 and 3 rows and none at all, with at most 3 allowed."""
+    one = request(spark, valid_row, text=True)
+    struct = F.struct(*one.columns)
+    lists = [one.select(F.lit(name).alias("batch_id"), F.array_repeat(struct, n).alias("customers")) for name, n in (("a", 4), ("b", 3), ("c", 0))]
+    lists[0].union(lists[1]).union(lists[2]).write.json(f"{tmp_path}/in")
+    stream = live.read_stream(spark, f"{tmp_path}/in", lists[0].schema, "json")
+    rows = explode_batch(stream, size="batch_rows")
+    live.append_to(live.score_stream(rows, size="batch_rows", max_batch=3), f"{tmp_path}/out", f"{tmp_path}/mark").awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    got = {(r["batch_id"], r["status"]): r["n"] for r in out.groupBy("batch_id", "status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {("a", "invalid"): 4, ("b", "valid"): 3, ("c", "invalid"): 1}
+    assert {r["detail"] for r in out.where("batch_id = 'a'").collect()} == {"batch: 4 rows, at most 3 allowed"}
+
+
 def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     folder = str(tmp_path / "in")
     drop_in(spark, folder, 1, [(NOON, "a", 1.0)] * 3)

@@ -1,6 +1,7 @@
 """Feature stages, tuning, importance, models and streams."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.ml import Pipeline
@@ -43,6 +44,53 @@ def test_ties_in_frequency_are_alphabetical(spark):
     assert list(fe.category_indexers(SPEC).fit(df).labelsArray[0]) == ["c", "a", "b"]
 
 
+def _kept_plainly(values, most):
+    counts = Counter(v for v in values if v is not None)
+    total = sum(counts.values())
+    return {v: n for v, n in counts.items() if len(counts) <= most or n * most > total}
+
+
+@pytest.mark.parametrize("most", [1, 3, 100, 5000])
+def test_kept_categories_of_many_values(spark, most):
+    """Against plain counting: a few hot values among many rare ones, exactly ``most`` values, none at all."""
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, F.concat(F.lit("m"), (F.col("id") % 7).cast("string")))
+        .when(F.col("id") % 11 == 0, None).otherwise(F.col("id").cast("string")).alias("many"),
+        (F.col("id") % 100).cast("string").alias("hundred"), F.lit(None).cast("string").alias("none"),
+        F.col("id").cast("string").alias("a.b"))
+    df = df.withColumnRenamed("a.b", "unique").repartition(7)
+    kept = fe.kept_categories(df, df.columns, most)
+    got = {c: {} for c in df.columns}
+    for r in kept.collect():
+        got[r["column_name"]][r["value"]] = r["count"]
+    rows = df.collect()
+    assert got == {c: _kept_plainly([r[c] for r in rows], most) for c in df.columns}
+    loss = {r["column_name"]: (r["kept_values"], r["rows"], r["rows_lost"]) for r in fe.category_loss(df, kept, df.columns).collect()}
+    changed = fe.keep_categories(df, kept, df.columns)
+    left = changed.agg(*[F.count(c).alias(c) for c in df.columns]).first()
+    for c in df.columns:
+        rows_of = sum(r[c] is not None for r in rows)
+        assert loss[c] == (len(got[c]), rows_of, rows_of - left[c])
+
+
+def test_kept_categories_of_nothing(spark, rows):
+    assert fe.kept_categories(rows.limit(0), ["color"]).isEmpty()
+    kept = fe.kept_categories(rows, ["color"])
+    assert fe.keep_categories(rows, kept, ["color"]).exceptAll(rows).isEmpty()
+    with pytest.raises(ValueError):
+        fe.kept_categories(rows, ["color"], 0)
+
+
+def test_dropped_categories_take_the_unseen_slot(spark, rows):
+    kept = fe.kept_categories(rows, ["color"], 2)
+    few = fe.keep_categories(rows, kept, ["color"])
+    fitted = Pipeline(stages=[fe.category_indexers(SPEC), fe.one_hot(SPEC)]).fit(few)
+    assert list(fitted.stages[0].labelsArray[0]) == ["red"]
+    for table in (few, rows):  # scoring data keep their rare values
+        vec = fitted.transform(table).where("color IS NULL OR color <> 'red'").select(vector_to_array("color_vec"))
+        assert {tuple(r[0]) for r in vec.collect()} == {(0.0,)}
+
+
 def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "a double, b double")
     assert [(round(r["a_std"], 4), r["b_std"]) for r in fe.standardize(df, ["a", "b"]).collect()] == [(-0.7071, 0.0), (0.7071, 0.0)]

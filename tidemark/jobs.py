@@ -13,14 +13,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import drift, importance, registry as reg, runs, scoring, training as tr
+from tidemark.operators import drift, features, importance, registry as reg, runs, scoring, training as tr
 from tidemark.operators.journal import FitJournal
 from tidemark.operators.metrics import confusion_matrix, roc_curve
 from tidemark.operators.profile import exploration_summary
 from tidemark.operators.split import cached, split
-from tidemark.operators.validate import typed, validate
+from tidemark.operators.validate import typed, validate, with_batch_limit
 from tidemark.sources import models, sinks
-from tidemark.spec import CUSTOMER_FIELDS, GATE_THRESHOLD, FeatureSpec
+from tidemark.spec import CUSTOMER_FIELDS, GATE_THRESHOLD, MAX_BATCH, FeatureSpec
 
 SCHEMAS = {
     "experiments": "name string, experiment_id string", "run_events": runs.RUN_EVENTS, "run_params": runs.PARAMS,
@@ -58,10 +58,13 @@ def write_artifacts(spark: SparkSession, run: tr.TrainedRun, spec: FeatureSpec,
 
 def training_job(rows: DataFrame, spec: FeatureSpec, root: str, name: str,
                  algos: Mapping[str, tr.Algorithm] | None = None, threshold: float = GATE_THRESHOLD,
-                 folds: int = tr.FOLDS, tags: Mapping[str, str] | None = None, partitions: int | None = None) -> DataFrame:
+                 folds: int = tr.FOLDS, tags: Mapping[str, str] | None = None, partitions: int | None = None,
+                 max_categories: int | None = None) -> DataFrame:
     """Profile, split, tune every algorithm, log the runs, register the champion, promote it if it
     passes the gate. ``rows`` are cleaned and carry ``spec.key``. Rows that no fit can use, for want of a
-    number or the label, are written to the ``quarantine`` table. Returns the promotion decision.
+    number or the label, are written to the ``quarantine`` table. Returns the promotion decision. With ``max_categories``
+    text columns of more values keep only their frequent ones (``features.kept_categories``), counted on the training
+    side; the rows that lose a value are in the ``category_loss`` table, and at scoring such values count as unseen.
 
     Runs are in the tables while they run (``runs.RunLog``) and every finished fit is in ``fits``: a job that died
     and is started again with the same rows fits only what is missing."""
@@ -75,6 +78,10 @@ def training_job(rows: DataFrame, spec: FeatureSpec, root: str, name: str,
     sinks.write_exploration(exploration_summary(rows.drop(spec.key), spec), f"{root}/exploration")
 
     train, test = split(rows, key=spec.key)
+    if max_categories and spec.categorical:
+        kept = sinks.materialize(features.kept_categories(train, spec.categorical, max_categories), "kept-categories")
+        sinks.append(features.category_loss(train, kept, spec.categorical), f"{root}/category_loss")
+        train = features.keep_categories(train, kept, spec.categorical)
     wanted = spark.createDataFrame([(a.experiment,) for a in algos.values()], "name string")
     sinks.append_shared(runs.ensure_experiments(stored(spark, root, "experiments"), wanted), f"{root}/experiments")
     done = tr.train_all(train, test, spec, algos, folds, partitions=partitions,
@@ -182,12 +189,16 @@ def drift_job(requests: DataFrame, root: str, name: str) -> tuple[DataFrame, Dat
 
 
 def score_customers(requests: DataFrame, root: str, name: str, key: str | None = None,
-                    log: bool = True) -> DataFrame:
+                    log: bool = True, batch: str | None = None, max_batch: int = MAX_BATCH) -> DataFrame:
     """Validate request rows and score them with the Production model, or with the rules while
     there is none. Every row is answered; answers are appended to the prediction log, by date, and the
-    rows returned are the logged ones."""
+    rows returned are the logged ones. With ``batch``, the column that names a row's batch, batches of more than
+    ``max_batch`` rows are rejected as a whole: their rows get no score and the reason."""
     spark = requests.sparkSession
-    out = _answers(typed(validate(requests, CUSTOMER_FIELDS), CUSTOMER_FIELDS), root, name, key)
+    checked = validate(requests, CUSTOMER_FIELDS)
+    if batch:
+        checked = with_batch_limit(checked, batch, max_batch)
+    out = _answers(typed(checked, CUSTOMER_FIELDS), root, name, key)
     if not log:
         return out
     job = uuid.uuid4().hex

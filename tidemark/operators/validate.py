@@ -74,6 +74,24 @@ def check_batch_sizes(df: DataFrame, batch: str, low: int = 1, high: int = MAX_B
             .withColumn("accepted", F.col("batch_size").between(low, high)))
 
 
+def reject_large(validated: DataFrame, size: str, high: int = MAX_BATCH) -> DataFrame:
+    """Rows whose batch, of ``size`` rows, is too large become invalid, with an error of their own after the others.
+    Rows without a size belong to no batch and are left as they are."""
+    message = F.when(F.col(size) > high, F.concat(F.lit("batch: "), F.col(size).cast("string"), F.lit(f" rows, at most {high} allowed")))
+    errors = F.array_compact(F.concat("errors", F.array(message)))
+    return (validated.withColumn("errors", errors).withColumn("detail", F.array_join("errors", "; "))
+            .withColumn("status", F.when(F.size("errors") == 0, "valid").otherwise("invalid")))
+
+
+def with_batch_limit(validated: DataFrame, batch: str, high: int = MAX_BATCH) -> DataFrame:
+    """The same for rows that name their ``batch``: sizes are counted before the shuffle and only batches that are too
+    large are joined back. A null batch is no batch. Reads its input twice."""
+    large = (check_batch_sizes(validated, batch, 0, high).where("NOT accepted")
+             .select(F.col(batch).alias("__batch"), F.col("batch_size").alias("__size")))
+    joined = validated.join(large, validated[batch] == large["__batch"], "left")
+    return reject_large(joined, "__size", high).drop("__batch", "__size")
+
+
 def check_list_sizes(df: DataFrame, list_field: str, low: int = 1, high: int = MAX_BATCH) -> DataFrame:
     """The same check on batches that arrive as arrays; an empty or missing list is rejected."""
     size = F.coalesce(F.size(list_field), F.lit(0))

@@ -79,6 +79,26 @@ def category_index_ml(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, value string, index int")
 
 
+_MOST = 50
+
+
+@query("kept_categories", """WITH pairs AS (
+  SELECT 'o_custkey' column_name, o_custkey::VARCHAR AS value FROM orders
+  UNION ALL SELECT 'o_orderdate', CAST(o_orderdate AS DATE)::VARCHAR FROM orders
+  UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders
+  UNION ALL SELECT 'spender', CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE o_orderkey::VARCHAR END FROM orders),
+counts AS (SELECT column_name, value, count(*) AS "count" FROM pairs WHERE value IS NOT NULL GROUP BY column_name, value),
+sums AS (SELECT column_name, sum("count") total, count(*) different FROM counts GROUP BY column_name)
+SELECT column_name, value, "count" FROM counts JOIN sums USING (column_name)
+WHERE different <= """ + str(_MOST) + ' OR "count" * ' + str(_MOST) + ' > total')
+def kept_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of few, of many equally rare, and of some frequent and many rare values."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    wide = orders.select("o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority", F.when(
+        F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(F.col("o_orderkey").cast("string")).alias("spender"))
+    return fe.kept_categories(wide, wide.columns, _MOST)
+
+
 _CATEGORIES = {f.name: f.allowed for f in CUSTOMER_FIELDS if f.name in CUSTOMER.categorical}
 
 

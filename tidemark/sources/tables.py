@@ -55,12 +55,15 @@ def parse_requests(df: DataFrame, body: str, list_field: str = "customers",
     return df.withColumn(list_field, parsed[list_field]).drop(body)
 
 
-def explode_batch(df: DataFrame, list_field: str = "customers") -> DataFrame:
+def explode_batch(df: DataFrame, list_field: str = "customers", size: str | None = None) -> DataFrame:
     """One row per request of a batch, with its zero-based position. A batch that is empty or could not be
-    read gives one row without position and fields, which validation then rejects."""
+    read gives one row without position and fields, which validation then rejects. ``size`` names a column that
+    tells each row how many its batch has (0 for none), as ``validate.reject_large`` takes it."""
     keep = [c for c in df.columns if c != list_field]
+    if size:
+        keep = [*keep, F.greatest(F.coalesce(F.size(list_field), F.lit(0)), F.lit(0)).alias(size)]
     out = df.select(*keep, F.posexplode_outer(list_field).alias("position", "request"))
-    return out.select(*keep, "position", "request.*")
+    return out.select(*[c for c in out.columns if c != "request"], "request.*")
 
 
 def load_report(raw: DataFrame, keep: "F.Column") -> DataFrame:

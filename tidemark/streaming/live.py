@@ -20,8 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.monitor import cover, quantile_name, seconds, sketch_ranges, sketched
 from tidemark.operators.scoring import CUSTOMER_RULES, Term, score_batch, score_with_model
-from tidemark.operators.validate import typed, validate
-from tidemark.spec import CUSTOMER_FIELDS, Field
+from tidemark.operators.validate import reject_large, typed, validate
+from tidemark.spec import CUSTOMER_FIELDS, MAX_BATCH, Field
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet",
@@ -37,10 +37,13 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, format: st
 
 def score_stream(stream: DataFrame, rules: Sequence[Term] = CUSTOMER_RULES,
                  fields: Sequence[Field] = CUSTOMER_FIELDS, version: str | None = None,
-                 key: str | None = None, model: PipelineModel | None = None) -> DataFrame:
+                 key: str | None = None, model: PipelineModel | None = None, size: str | None = None,
+                 max_batch: int = MAX_BATCH) -> DataFrame:
     """Validate and score arriving rows with the rules, or with a fitted model; stateless, so every row
-    is answered once."""
-    rows = typed(validate(stream, fields), fields)
+    is answered once. ``size`` names the column of ``explode_batch`` with the rows of a row's batch: batches of
+    more than ``max_batch`` rows are rejected as a whole."""
+    checked = validate(stream, fields)
+    rows = typed(reject_large(checked, size, max_batch) if size else checked, fields)
     if model is None:
         return score_batch(rows, rules, version, key)
     return score_with_model(rows, model, [f.name for f in fields if f.type != "string"], version, key)
