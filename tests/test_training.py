@@ -82,6 +82,7 @@ def test_kept_categories_of_nothing(spark, rows):
 
 
 def test_dropped_categories_take_the_unseen_slot(spark, rows):
+    rows = rows.union(rows.where("color = 'red'"))  # above half of the rows
     kept = fe.kept_categories(rows, ["color"], 2)
     few = fe.keep_categories(rows, kept, ["color"])
     fitted = Pipeline(stages=[fe.category_indexers(SPEC), fe.one_hot(SPEC)]).fit(few)
