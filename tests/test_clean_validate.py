@@ -156,3 +156,31 @@ def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
     rows = src.read_table(spark, str(tmp_path), schema, corrupt="line").collect()
     assert sorted(str(r["line"]) for r in rows) == ["3,z,more", "None", "abc,y"]
+
+
+UNEVEN = [31325.35, 84888.92, 269567.47, 110190.86, 3002.4]  # 498975; added as doubles in any order 498974.99999999994
+
+
+def test_exact_sum(spark):
+    from tidemark.functions.columns import exact_sum
+    groups = [UNEVEN, UNEVEN[::-1], [float("nan"), 1.0], [float("inf"), 1.0], [1e300, 1.0], [None, 1.5], [None], [9e27] * 3]
+    rows = spark.createDataFrame([(k, v) for k, g in enumerate(groups) for v in g], "k int, v double")
+    out = {r["k"]: r["s"] for r in rows.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert str(out.pop(2)) == "nan"
+    assert out == {0: 498975.0, 1: 498975.0, 3: float("inf"), 4: 1e300, 5: 1.5, 6: None, 7: pytest.approx(2.7e28)}
+
+
+def test_mean_charge_from_exact_sums(spark, tmp_path):
+    """A mean / 3000 of 33.265 exactly, which the sum of doubles made 33.26."""
+    from datetime import datetime
+    from tidemark.plans.views import raw_customers
+    orders = [(k * 10 + i, k, "F", p, datetime(2000, 11, 1), "5-LOW")
+              for k, prices in enumerate([UNEVEN, UNEVEN[::-1], [None, 6000.0]]) for i, p in enumerate(prices)]
+    (spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                   "o_orderdate timestamp_ntz, o_orderpriority string")
+     .write.parquet(f"{tmp_path}/orders.parquet"))
+    (spark.createDataFrame([(k, str(k)) for k in range(4)], "c_custkey long, c_name string")
+     .withColumns({"c_nationkey": F.lit(1), "c_acctbal": F.lit(1.0), "c_mktsegment": F.lit("BUILDING")})
+     .write.parquet(f"{tmp_path}/customer.parquet"))
+    rows = {r["customerID"]: (r["MonthlyCharges"], r["TotalCharges"]) for r in raw_customers(spark, str(tmp_path)).collect()}
+    assert rows == {"0": (33.27, "33.27"), "1": (33.27, "33.27"), "2": (2.0, "2.00"), "3": (0.0, " ")}

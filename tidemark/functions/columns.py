@@ -16,6 +16,14 @@ def repair_numeric(c: Column | str, blank: float = 0.0) -> Column:
     return F.when(F.trim(c) == "", F.lit(float(blank))).otherwise(c.try_cast("double"))
 
 
+def exact_sum(c: Column | str) -> Column:
+    """Aggregate: sum of doubles as the decimals they are written with, the same in any order of the rows. A value that
+    no decimal(38,10) holds (NaN, infinite, huge) makes it the plain sum of doubles."""
+    c = col(c)
+    exact = c.try_cast("decimal(38,10)")
+    return F.coalesce(F.when(F.count(exact) == F.count(c), F.try_sum(exact).cast("double")), F.sum(c))
+
+
 def is_missing(c: Column | str, dtype: str) -> Column:
     """Null, or empty when the column holds text."""
     c = col(c)

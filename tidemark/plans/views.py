@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.columns import confidence_level
+from tidemark.functions.columns import confidence_level, exact_sum
 from tidemark.operators import registry, runs
 from tidemark.operators.clean import clean_customers
 from tidemark.operators.metrics import evaluate_groups
@@ -57,7 +57,7 @@ def raw_customers(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(pre & (F.col("o_orderpriority") == "5-LOW")).alias("n_low"),
         F.min(F.when(pre, F.col("o_orderdate"))).alias("first_order"),
         F.max(price).alias("top"), F.min(price).alias("bottom"),
-        F.sum(paid).alias("paid"), F.count(paid).alias("n_paid"),
+        exact_sum(paid).alias("paid"), F.count(paid).alias("n_paid"),
         F.max_by("o_orderpriority", place).alias("last_priority"),
         F.max_by("o_orderstatus", place).alias("last_status"))
     base = table(spark, sf, "customer").join(history, F.col("c_custkey") == F.col("o_custkey"), "left")
