@@ -120,3 +120,17 @@ def test_registering_no_run_claims_nothing(spark, tmp_path):
                                      "training_duration_seconds double")
     jobs.register(spark, str(tmp_path), "m", none)
     assert jobs.stored(spark, str(tmp_path), "versions").isEmpty() and jobs.claim_version(spark, str(tmp_path), "m") == 1
+
+
+def test_the_training_job_makes_its_rows_once(spark, rows, tmp_path):
+    """Rows can be costly to make (features of whole texts): profile, split, fits and artifacts share one pass over them."""
+    made = spark.sparkContext.accumulator(0)
+    known = rows.limit(300).collect()
+
+    def count(row):
+        made.add(1)
+        return row
+
+    costly = spark.createDataFrame(spark.sparkContext.parallelize(known, 2).map(count), rows.schema)
+    jobs.training_job(costly, CUSTOMER, str(tmp_path), "churn", one_point("lr"), folds=2)
+    assert made.value == len(known)

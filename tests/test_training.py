@@ -289,3 +289,17 @@ def test_threads_do_not_share_local_properties(spark):
         tr.run_in_threads(spark, some_die, list(range(50)), 2)
     assert len(done) < 10
     assert tr.run_in_threads(spark, own, [], 4) == []
+
+
+def test_document_features_by_hand(spark, tmp_path):
+    """Runs of characters are dropped at once; a run may be as long as the text."""
+    from tidemark.plans.views import document_features
+    texts = ["a1 b2, b2!\n٣ é-", "", "x" * 1_000_000 + "7", None]
+    (spark.createDataFrame([(k, t, "en", "web", len(t or "")) for k, t in enumerate(texts)],
+                           "doc_id long, text string, lang string, source string, n_chars long")
+     .write.parquet(f"{tmp_path}/documents.parquet"))
+    rows = {r["doc_id"]: r for r in document_features(spark, str(tmp_path), None).collect()}
+    assert (rows[0]["digit_ratio"], rows[0]["punct_ratio"]) == (3 / 15, 5 / 15)  # , ! ٣ é -
+    assert (rows[0]["n_words"], rows[0]["n_lines"]) == (5.0, 2.0)
+    assert (rows[1]["digit_ratio"], rows[2]["digit_ratio"], rows[2]["punct_ratio"]) == (0.0, 1 / 1_000_001, 0.0)
+    assert rows[3]["digit_ratio"] is None

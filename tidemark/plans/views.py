@@ -471,7 +471,7 @@ def document_features(spark: SparkSession, sf: str, label: str | None = "quality
         F.size(words).cast("double").alias("n_words"),
         (F.size(F.array_distinct(words)) / F.size(words)).alias("unique_ratio"),
         (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("double").alias("n_lines"),
-        share("[^0-9]").alias("digit_ratio"), share("[\\w\\s]").alias("punct_ratio"))
+        share("[^0-9]+").alias("digit_ratio"), share("[\\w\\s]+").alias("punct_ratio"))
     if label is None:
         return features
     labels = table(spark, sf, "labels").select(
