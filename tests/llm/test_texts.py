@@ -104,6 +104,30 @@ def test_toxicity_held_out(spark):
     assert np.mean([p for p, t in marked if t]) > 0.85
 
 
+def test_toxicity_thresholds_from_all_labelled_texts(spark):
+    """The thresholds are those of the plain rule over every labelled text left out, not of a sample."""
+    from pyspark.sql import functions as F
+    words = ["fine", "good", "calm", "vile", "mean", "grim", "plain", "word", "text", "day"]
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat_ws(" ", *[F.element_at(
+            F.array(*map(F.lit, words)), (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(10)) + 1).cast("int")) for k in range(4)]).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("text").contains("vile") != (F.col("doc_id") % 9 == 0), 1).otherwise(0).alias("toxic"))
+    model = toxicity.train(docs, labels, per_class=60, steps=40)
+    left_out = docs.join(labels, "doc_id").where(toxicity._spread("doc_id") % 5 == 4).collect()
+    assert len(left_out) > 400
+    rows, counts = toxicity.hashed_words(*toxicity.lowered([r.text for r in left_out]), WordHasher(toxicity.SEPARATORS))
+    plain = toxicity.Model(**vars(model))
+    toxicity._calibrate(plain, rows, counts, np.array([r.toxic for r in left_out], float))
+    assert model.thresholds == pytest.approx(plain.thresholds, abs=1e-4)
+
+
+def test_toxicity_best_thresholds(spark):
+    rows = [(0, 0.9, 1), (0, 0.8, 0), (0, 0.7, 1), (0, 0.3, 0), (1, 0.6, 1), (1, 0.2, 0), (2, 0.5, 0)]
+    found = toxicity.best_thresholds(spark.createDataFrame(rows, "language int, score double, label int"))
+    assert {k: (round(v[0], 9), *v[1:]) for k, v in found.items()} == {
+        0: (0.5, 2, 2), 1: (0.4, 1, 1), 2: (0.25, 0, 1), -1: (0.55, 3, 4)}
+
+
 def test_toxicity_odd_rows(spark, odd):
     texts = [f"good word{k} text" for k in range(40)] + [f"bad{k % 3} vile{k} text" for k in range(40)]
     model = toxicity.fit(texts, [0] * 40 + [1] * 40, ["en", None] * 40, steps=100)
