@@ -2,6 +2,7 @@
 
 import collections
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -117,6 +118,34 @@ def test_one_of_near_copies_with_equal_and_null_ids(spark):
     assert sum(r.kept for r in marks if r.doc_id == 1) == 3 and sum(r.stays for r in marks if r.doc_id == 1) == 1
 
 
+def _stages_of(spark, work):
+    """The result of ``work()`` and how many stages its jobs had, by Spark's own count."""
+    context, group = spark.sparkContext, f"stages-{uuid.uuid4().hex}"
+    context.setJobGroup(group, "counted")
+    try:
+        found = work()
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            context.setLocalProperty(name, None)
+    tracker = context.statusTracker()
+    return found, sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group))
+
+
+def test_components_of_stars_take_few_stages(spark):
+    """The driver keeps something of every stage it plans, and each round of the near duplicates calls this."""
+    edges = spark.createDataFrame([(1, k) for k in range(2, 60)] * 2 + [(70, 71)], "a long, b long")
+    rows, stages = _stages_of(spark, lambda: near_dedup.components(edges).collect())
+    assert sorted((r.cid, r.label) for r in rows) == [(k, 1) for k in range(1, 60)] + [(70, 70), (71, 70)]
+    assert stages <= 24
+
+
+@pytest.mark.parametrize("links, nodes", [
+    ([(2, 1), (3, 1), (5, 4)], []), ([(2, 1), (3, 2)], [2]), ([(3, 1), (3, 2)], [3]), ([(4, 3), (4, 1), (3, 1)], [3, 4]), ([], [])])
+def test_no_star(spark, links, nodes):
+    found = near_dedup._no_star(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(r.node for r in found.collect()) == nodes
+
+
 @pytest.mark.parametrize("path", [[1, 5, 4, 3, 2], [2, 3, 4, 5, 1, 6], [3, 7, 1, 5, 4, 6, 2, 8]])
 def test_components_of_one_path(spark, path):
     """After a step on the first, no node is both ends of links, but one has two smaller neighbours."""

@@ -147,15 +147,25 @@ def _triples(side: int) -> Column:
                      for i in range(SIDE)])
 
 
+def _no_star(links: DataFrame) -> DataFrame:
+    """Nodes of distinct links (a, its centre b) that have two centres, or one and are a centre themselves.
+
+    One exchange of partial sums finds both: the driver plans and runs this after every step of every round.
+    """
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("centres"), F.lit(0).alias("centre")).union(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("centres"), F.lit(1).alias("centre")))
+    return (ends.groupBy("node").agg(F.sum("centres").alias("centres"), F.max("centre").alias("centre"))
+            .where("centres > 0 AND centres + centre > 1"))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(cid, label) for all ends of ``edges`` (a, b): label is the smallest id reachable.
 
     Alternating steps that hook every neighbour to the smallest one; each step is written to the shared
     folder. Minima are aggregated before rows meet, so a hub's neighbours need not share a task. Done when all
-    links are stars: no centre has a centre itself, and every other node has one centre only.
+    links are stars (``_no_star``). Links may repeat; they are made distinct in each step.
     """
-    now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                      .where("a <> b").distinct(), name)
+    now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"), name)
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -165,8 +175,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low).distinct())
         now = materialize(small, name)
-        deep = now.select("a").join(now.select(F.col("b").alias("a")), "a", "left_semi")
-        if deep.isEmpty() and now.groupBy("a").count().where("count > 1").isEmpty():
+        if _no_star(now).isEmpty():
             return now.select(F.col("a").alias("cid"), F.col("b").alias("label")).union(
                 now.select(F.col("b").alias("cid"), F.col("b").alias("label")).distinct())
 
